@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from stallbook.functions import dates, numbers, text
 from stallbook.operators import audit, summaries
 from stallbook.operators.lines import (
+    classified_lines,
     distinct_lines,
     eligible_lines,
     judge,
@@ -64,8 +65,8 @@ def _judged(spark, folder, numbered=False):
     return judge(_raw(spark, folder, numbered))
 
 
-def _eligible(spark, folder, numbered=False):
-    return eligible_lines(_judged(spark, folder, numbered))
+def _lines(spark, folder, numbered=False):
+    return classified_lines(_judged(spark, folder, numbered))
 
 
 # --- sources and scalar functions, on every raw line
@@ -175,12 +176,12 @@ def line_disposition(spark, folder):
 
 @query
 def eligible_lines_query(spark, folder):
-    return portable(_eligible(spark, folder, numbered=True))
+    return portable(eligible_lines(_judged(spark, folder, numbered=True)))
 
 
 @query
 def category_counts_query(spark, folder):
-    return category_counts(_eligible(spark, folder))
+    return category_counts(_lines(spark, folder))
 
 
 @query
@@ -202,74 +203,74 @@ def non_excluded_lines_anti(spark, folder):
 
 @query
 def overall_metrics(spark, folder):
-    return portable(metrics(_eligible(spark, folder)))
+    return portable(metrics(_lines(spark, folder)))
 
 
 @query
 def metrics_by_key(spark, folder):
     """Grouped metrics on a key with nulls: unknown customers are a group too."""
-    return portable(metrics_by(_eligible(spark, folder), "CustomerID"))
+    return portable(metrics_by(_lines(spark, folder), "CustomerID"))
 
 
 @query
 def product_summary(spark, folder):
-    return portable(summaries.product_summary(_eligible(spark, folder)))
+    return portable(summaries.product_summary(_lines(spark, folder)))
 
 
 @query
 def description_frequency(spark, folder):
-    return summaries.description_frequency(_eligible(spark, folder))
+    return summaries.description_frequency(_lines(spark, folder))
 
 
 @query
 def country_summary(spark, folder):
-    return portable(summaries.country_summary(_eligible(spark, folder)))
+    return portable(summaries.country_summary(_lines(spark, folder)))
 
 
 @query
 def monthly_summary(spark, folder):
-    return portable(summaries.monthly_summary(_eligible(spark, folder), SETTINGS))
+    return portable(summaries.monthly_summary(_lines(spark, folder), SETTINGS))
 
 
 @query
 def month_coverage_join(spark, folder):
     """Month metrics with the coverage joined to them."""
-    eligible = _eligible(spark, folder)
-    by_month = metrics_by(summaries.with_month(eligible), "Month")
-    return portable(by_month.join(summaries.month_coverage(eligible), "Month", "left"))
+    lines = _lines(spark, folder)
+    by_month = metrics_by(summaries.with_month(lines), "Month")
+    return portable(by_month.join(summaries.month_coverage(lines), "Month", "left"))
 
 
 @query
 def customer_summary(spark, folder):
-    return portable(summaries.customer_summary(_eligible(spark, folder)))
+    return portable(summaries.customer_summary(_lines(spark, folder)))
 
 
 @query
 def customer_statistics(spark, folder):
-    return portable(summaries.customer_statistics(_eligible(spark, folder)))
+    return portable(summaries.customer_statistics(_lines(spark, folder)))
 
 
 @query
 def overall_summary(spark, folder):
-    return portable(summaries.overall_summary(_eligible(spark, folder)))
+    return portable(summaries.overall_summary(_lines(spark, folder)))
 
 
 @query
 def top_products(spark, folder):
-    products = summaries.product_totals(_eligible(spark, folder))
+    products = summaries.product_totals(_lines(spark, folder))
     return portable(summaries.top_products(products))
 
 
 @query
 def top_countries(spark, folder):
     """The best ten countries without the home country."""
-    countries = metrics_by(_eligible(spark, folder), "Country")
+    countries = metrics_by(_lines(spark, folder), "Country")
     return portable(summaries.top_countries(countries, without=SETTINGS.home_country))
 
 
 @query
 def large_value_lines(spark, folder):
-    return portable(summaries.large_value_lines(_eligible(spark, folder, numbered=True)))
+    return portable(summaries.large_value_lines(_lines(spark, folder, numbered=True)))
 
 
 # --- audit, exclusions and profile
@@ -333,13 +334,13 @@ def cleaning_summary(spark, folder):
 
 @query
 def duplicate_comparison_query(spark, folder):
-    return portable(duplicate_comparison(_eligible(spark, folder)))
+    return portable(duplicate_comparison(_lines(spark, folder)))
 
 
 @query
 def metrics_with_duplicates(spark, folder):
     """Overall metrics as if duplicates had been kept."""
-    return portable(metrics(with_every_copy(_eligible(spark, folder))))
+    return portable(metrics(with_every_copy(_lines(spark, folder))))
 
 
 @query
@@ -354,33 +355,30 @@ def reconciliation(spark, folder):
 
 @query
 def chart_products(spark, folder):
-    products = summaries.product_totals(_eligible(spark, folder))
+    products = summaries.product_totals(_lines(spark, folder))
     return portable(chartdata.chart_products(products))
 
 
 @query
 def chart_countries(spark, folder):
-    countries = written(metrics_by(_eligible(spark, folder), "Country"), "countries")
+    countries = written(metrics_by(_lines(spark, folder), "Country"), "countries")
     return portable(chartdata.chart_countries(countries, SETTINGS))
 
 
 @query
 def chart_months(spark, folder):
-    months = summaries.monthly_summary(_eligible(spark, folder), SETTINGS)
+    months = summaries.monthly_summary(_lines(spark, folder), SETTINGS)
     return portable(chartdata.chart_months(months))
 
 
 @query
 def chart_net_steps(spark, folder):
-    return portable(chartdata.chart_net_steps(metrics(_eligible(spark, folder))))
+    return portable(chartdata.chart_net_steps(metrics(_lines(spark, folder))))
 
 
 @query
 def chart_period(spark, folder):
-    coverage = _eligible(spark, folder).agg(
-        F.min("InvoiceDate").alias("coverage_start"), F.max("InvoiceDate").alias("coverage_end")
-    )
-    return chartdata.chart_period(coverage)
+    return chartdata.chart_period(_lines(spark, folder).agg(*summaries.coverage()))
 
 
 # --- sinks
@@ -389,7 +387,7 @@ def chart_period(spark, folder):
 @query
 def export_rounding(spark, folder):
     """The country table as published: two decimals."""
-    countries = summaries.country_summary(_eligible(spark, folder))
+    countries = summaries.country_summary(_lines(spark, folder))
     return portable(countries.select(*export_columns(countries)))
 
 

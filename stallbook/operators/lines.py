@@ -20,7 +20,6 @@ from stallbook.schema import (
 )
 
 COPIES = "copies"
-# The working columns that the rules and the audit read.
 ELIGIBLE = "eligible"
 
 
@@ -93,18 +92,25 @@ def judged_lines(lines: DataFrame) -> DataFrame:
 
 
 def category() -> Column:
+    """What an eligible line is; null for a line that some rule removed."""
     quantity = F.col("quantity_number")
-    return (
+    return F.when(
+        F.col("disposition") == ELIGIBLE,
         F.when(quantity > 0, POSITIVE_SALE)
         .when(F.col("cancels") & (quantity < 0), CANCELLATION)
-        .otherwise(OTHER_NEGATIVE)
+        .otherwise(OTHER_NEGATIVE),
     )
 
 
-def eligible_lines(judged: DataFrame) -> DataFrame:
-    """Survivors of all rules, normalised, with signed value, category and copies."""
+def classified_lines(judged: DataFrame) -> DataFrame:
+    """All judged lines, normalised, with signed value, category and copies.
+
+    The reports take these as they are and let removed lines, which have no category,
+    count for nothing. Filtering them out first would make Spark judge every raw line
+    once more below the shuffle, and parse each one again for the filter alone.
+    """
     kept = ["source_row"] if "source_row" in judged.columns else []
-    return judged.where(F.col("disposition") == ELIGIBLE).select(
+    return judged.select(
         F.col("invoice").alias("InvoiceNo"),
         F.col("code").alias("StockCode"),
         text.description(F.col("Description")).alias("Description"),
@@ -120,6 +126,15 @@ def eligible_lines(judged: DataFrame) -> DataFrame:
     )
 
 
+def is_eligible() -> Column:
+    return F.col("transaction_category").isNotNull()
+
+
+def eligible_lines(judged: DataFrame) -> DataFrame:
+    """Survivors of all rules."""
+    return classified_lines(judged).where(is_eligible())
+
+
 def judge(raw: DataFrame) -> DataFrame:
     """Raw lines to judged distinct lines."""
     return judged_lines(distinct_lines(raw))

@@ -1,4 +1,4 @@
-"""Sales, cancellations, other negatives and net value of eligible lines."""
+"""Sales, cancellations, other negatives and net value of classified lines."""
 
 from __future__ import annotations
 
@@ -68,15 +68,28 @@ def with_derived(sums: DataFrame) -> DataFrame:
     )
 
 
-def metrics(eligible: DataFrame) -> DataFrame:
+def metrics(lines: DataFrame) -> DataFrame:
     """One row, also for an empty population."""
-    return with_derived(eligible.agg(*base_sums()))
+    return with_derived(lines.agg(*base_sums()))
 
 
-def metrics_by(eligible: DataFrame, key: str) -> DataFrame:
-    """One row for each key, null included, cancellation-only groups included."""
-    return with_derived(eligible.groupBy(key).agg(*base_sums()))
+def sums_by(lines: DataFrame, *keys: Column | str, extra: list[Column] = ()) -> DataFrame:
+    """S, C, A and line count of each key that has an eligible line, null key included."""
+    return (
+        lines.groupBy(*keys)
+        .agg(*base_sums(), F.count("transaction_category").alias("lines"), *extra)
+        .where(F.col("lines") > 0)
+    )
+
 
+def metrics_by(lines: DataFrame, key: str) -> DataFrame:
+    """One row for each key, cancellation-only groups included."""
+    return with_derived(sums_by(lines, key).drop("lines"))
 
-def category_counts(eligible: DataFrame) -> DataFrame:
-    return eligible.groupBy("transaction_category").agg(F.count(F.lit(1)).alias("row_count"))
+
+def category_counts(lines: DataFrame) -> DataFrame:
+    return (
+        lines.groupBy("transaction_category")
+        .agg(F.count("transaction_category").alias("row_count"))
+        .where(F.col("row_count") > 0)
+    )

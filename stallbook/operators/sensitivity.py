@@ -13,18 +13,18 @@ from stallbook.operators.metrics import base_sums, difference, with_derived
 COMPARED = ["positive_sales_gbp", "cancellation_value_gbp", "net_value_gbp"]
 
 
-def with_every_copy(eligible: DataFrame) -> DataFrame:
-    """Eligible lines valued as if duplicates had been kept."""
-    return eligible.withColumn(
+def with_every_copy(lines: DataFrame) -> DataFrame:
+    """Classified lines valued as if duplicates had been kept."""
+    return lines.withColumn(
         "signed_value_gbp", times_copies(F.col("signed_value_gbp"), F.col(COPIES))
     )
 
 
-def duplicate_comparison(eligible: DataFrame) -> DataFrame:
+def duplicate_comparison(lines: DataFrame) -> DataFrame:
     """Three metrics before and after deduplication, from one pass over the lines."""
     copied = times_copies(F.col("signed_value_gbp"), F.col(COPIES))
     names = ["positive_sales_gbp", "cancellation_value_gbp", "other_negative_value_gbp"]
-    sums = eligible.agg(
+    sums = lines.agg(
         F.struct(*base_sums(copied)).alias("before"), F.struct(*base_sums()).alias("after")
     )
     sides = sums.select(

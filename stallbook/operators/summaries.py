@@ -1,18 +1,20 @@
-"""The summary tables of eligible lines."""
+"""The summary tables. They take classified lines; only eligible ones count."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.functions import dates
 from stallbook.functions.rates import percentage
+from stallbook.operators.lines import is_eligible
 from stallbook.operators.metrics import (
     RATE,
-    base_sums,
     metrics_by,
     net,
+    of_category,
     resums,
+    sums_by,
     total,
     with_derived,
 )
@@ -84,27 +86,25 @@ def _share(table: DataFrame, name: str) -> DataFrame:
     return table.withColumn(name, percentage(F.col("positive_sales_gbp"), whole))
 
 
-def description_frequency(eligible: DataFrame) -> DataFrame:
+def description_frequency(lines: DataFrame) -> DataFrame:
     """Lines of each product that carry each label; blank labels do not count."""
     return (
-        eligible.where(F.col("Description") != "")
-        .groupBy("StockCode", "Description")
-        .agg(F.count(F.lit(1)).alias("row_count"))
+        lines.groupBy("StockCode", "Description")
+        .agg(F.count("transaction_category").alias("row_count"))
+        .where((F.col("row_count") > 0) & (F.col("Description") != ""))
     )
 
 
-def product_totals(eligible: DataFrame) -> DataFrame:
+def product_totals(lines: DataFrame) -> DataFrame:
     """S, C, A and the display label of each product.
 
     Lines are first added up by product and label, which any product's lines share
     out evenly; the label is then the most frequent one, the first in the alphabet
     among equals, and the code itself where all are blank.
     """
-    by_label = eligible.groupBy("StockCode", "Description").agg(
-        *base_sums(), F.count(F.lit(1)).alias("row_count")
-    )
+    by_label = sums_by(lines, "StockCode", "Description")
     named = F.when(
-        F.col("Description") != "", F.struct(-F.col("row_count"), F.col("Description").alias("label"))
+        F.col("Description") != "", F.struct(-F.col("lines"), F.col("Description").alias("label"))
     )
     return (
         by_label.groupBy("StockCode")
@@ -121,9 +121,9 @@ def product_totals(eligible: DataFrame) -> DataFrame:
 
 
 def product_summary(
-    eligible: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
+    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
-    products = written(product_totals(eligible), "products")
+    products = written(product_totals(lines), "products")
     ranked = with_descending_ranks(
         products,
         {"positive_sales_gbp": "positive_sales_rank", "net_value_gbp": "net_value_rank"},
@@ -147,8 +147,8 @@ def top_products(products: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
-def country_summary(eligible: DataFrame) -> DataFrame:
-    countries = written(metrics_by(eligible, "Country"), "countries")
+def country_summary(lines: DataFrame) -> DataFrame:
+    countries = written(metrics_by(lines, "Country"), "countries")
     return (
         _share(countries, "sales_share_pct")
         .select(*COUNTRY_COLUMNS)
@@ -166,55 +166,49 @@ def top_countries(
     return chosen.orderBy(*_sales_first("Country")).limit(limit)
 
 
-def with_month(eligible: DataFrame) -> DataFrame:
-    return eligible.withColumn("Month", dates.month(F.col("InvoiceDate")))
+def with_month(lines: DataFrame) -> DataFrame:
+    return lines.withColumn("Month", dates.month(F.col("InvoiceDate")))
+
 
+def coverage() -> list[Column]:
+    """First and last eligible time stamp."""
+    observed = F.when(is_eligible(), F.col("InvoiceDate"))
+    return [F.min(observed).alias("coverage_start"), F.max(observed).alias("coverage_end")]
 
-def month_coverage(eligible: DataFrame) -> DataFrame:
-    """First and last eligible time stamp of each month."""
+
+def month_coverage(lines: DataFrame) -> DataFrame:
     return (
-        with_month(eligible)
+        with_month(lines)
         .groupBy("Month")
-        .agg(
-            F.min("InvoiceDate").alias("coverage_start"),
-            F.max("InvoiceDate").alias("coverage_end"),
-        )
+        .agg(*coverage())
+        .where(F.col("coverage_start").isNotNull())
     )
 
 
-def monthly_summary(eligible: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def monthly_summary(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return (
-        with_derived(
-            with_month(eligible)
-            .groupBy("Month")
-            .agg(
-                *base_sums(),
-                F.min("InvoiceDate").alias("coverage_start"),
-                F.max("InvoiceDate").alias("coverage_end"),
-            )
-        )
+        with_derived(sums_by(with_month(lines), "Month", extra=coverage()))
         .withColumn("is_partial_month", F.col("Month").isin(list(settings.partial_months)))
         .select(*MONTH_COLUMNS)
         .orderBy("Month")
     )
 
 
-def customer_totals(eligible: DataFrame) -> DataFrame:
+def customer_totals(lines: DataFrame) -> DataFrame:
     """Positive sales of each identified customer."""
     return (
-        eligible.where(
-            (F.col("transaction_category") == POSITIVE_SALE) & F.col("CustomerID").isNotNull()
-        )
+        lines.where(F.col("CustomerID").isNotNull())
         .groupBy("CustomerID")
-        .agg(total(F.col("signed_value_gbp")).alias("positive_sales_gbp"))
+        .agg(total(of_category(POSITIVE_SALE)).alias("positive_sales_gbp"))
+        .where(F.col("positive_sales_gbp") > 0)
     )
 
 
 def customer_summary(
-    eligible: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
+    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
     """Identified customers, best first, with shares of identified sales."""
-    customers = written(customer_totals(eligible), "customers")
+    customers = written(customer_totals(lines), "customers")
     whole = customers.agg(total(F.col("positive_sales_gbp")).alias("whole")).scalar()
     placed = with_positions(
         customers,
@@ -232,19 +226,13 @@ def customer_summary(
     )
 
 
-def overall_summary(eligible: DataFrame) -> DataFrame:
+def overall_summary(lines: DataFrame) -> DataFrame:
     """One row: metrics, coverage and customer concentration.
 
     The lines are added up by customer once; everything else comes from that table.
     """
     by_customer = written(
-        eligible.groupBy("CustomerID").agg(
-            *base_sums(),
-            F.count(F.lit(1)).alias("lines"),
-            F.min("InvoiceDate").alias("coverage_start"),
-            F.max("InvoiceDate").alias("coverage_end"),
-        ),
-        "by_customer",
+        sums_by(lines, "CustomerID", extra=coverage()), "by_customer"
     )
     sales, known = F.col("positive_sales_gbp"), F.col("CustomerID").isNotNull()
     best = (
@@ -278,15 +266,18 @@ def overall_summary(eligible: DataFrame) -> DataFrame:
     )
 
 
-def customer_statistics(eligible: DataFrame) -> DataFrame:
-    return overall_summary(eligible).select(*STATISTICS_COLUMNS)
+def customer_statistics(lines: DataFrame) -> DataFrame:
+    return overall_summary(lines).select(*STATISTICS_COLUMNS)
 
 
-def large_value_lines(eligible: DataFrame, limit: int = 10) -> DataFrame:
+def large_value_lines(lines: DataFrame, limit: int = 10) -> DataFrame:
     """The lines of largest absolute value, for review; nothing is removed."""
+    absolute = F.when(is_eligible(), F.abs("signed_value_gbp"))
     return (
-        eligible.withColumn("absolute_line_value_gbp", F.abs("signed_value_gbp"))
-        .orderBy(F.col("absolute_line_value_gbp").desc(), F.col("source_row").asc())
+        lines.withColumn("absolute_line_value_gbp", absolute)
+        .orderBy(F.col("absolute_line_value_gbp").desc_nulls_last(), F.col("source_row").asc())
         .limit(limit)
+        # Without enough eligible lines, the limit lets removed ones through.
+        .where(F.col("absolute_line_value_gbp").isNotNull())
         .select(*LARGE_LINE_COLUMNS)
     )
