@@ -84,9 +84,14 @@ def source_fingerprint(spark, folder):
 
 @query
 def input_unchanged(spark, folder):
-    """Files that changed between two fingerprints of all ledger inputs: none."""
+    """Every ledger input, and whether a second fingerprint found it changed."""
     paths = f"{folder}/{{lineitem,orders,customer,nation,part}}.parquet"
-    return changed_files(fingerprint(spark, paths), fingerprint(spark, paths))
+    before = fingerprint(spark, paths)
+    changed = changed_files(before, fingerprint(spark, paths))
+    return before.join(changed, "path", "left").select(
+        F.element_at(F.split("path", "/"), -1).alias("file"),
+        F.coalesce("sha256_before", "sha256_after").isNull().alias("unchanged"),
+    )
 
 
 @query

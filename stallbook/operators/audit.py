@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stallbook.functions.numbers import price_status, times_copies
-from stallbook.operators.lines import COPIES, ELIGIBLE
+from stallbook.operators.lines import COPIES, ELIGIBLE, is_excluded
 from stallbook.operators.metrics import total
 from stallbook.schema import AUDIT_COLUMNS, EXCLUDED_CODES, MONEY, REMOVAL_STEPS
 
@@ -184,7 +184,8 @@ def excluded_entries(judged: DataFrame, remove_duplicates: bool = True) -> DataF
     basis = "post_deduplication" if remove_duplicates else "raw"
     status = price_status(F.col("computable"), F.col("price_number"))
     groups = (
-        judged.where(F.col("disposition") == "excluded_codes")
+        # Right after deduplication, the rule is the code and nothing else.
+        judged.where(is_excluded(F.col("code")))
         .withColumn("status", status)
         .groupBy(F.col("code").alias("StockCode"))
         .agg(

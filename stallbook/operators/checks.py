@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.operators.audit import PARTITIONS, STATUS_COUNTS
+from stallbook.operators.lines import ELIGIBLE, category
 from stallbook.operators.metrics import difference, total
 from stallbook.schema import AUDIT_COLUMNS, CATEGORIES, MONEY, VALUE_COLUMNS
 
@@ -77,25 +78,30 @@ def exclusion_checks(excluded: DataFrame, charged: DataFrame) -> DataFrame:
     return by_code.unionByName(_compare("excluded codes", found, wanted, measures))
 
 
-def category_checks(eligible: DataFrame) -> DataFrame:
-    """No eligible line is without a known category, and S - C - A is the signed sum."""
-    known = F.col("transaction_category").isin(CATEGORIES)
-    signed = {
-        name: total(F.when(F.col("transaction_category") == name, F.col("signed_value_gbp")))
+def category_checks(judged: DataFrame) -> DataFrame:
+    """Every eligible line has a known category, and S - C - A is the signed sum."""
+    lines = judged.where(F.col("disposition") == ELIGIBLE).select(
+        "signed_value", category().alias("category")
+    )
+    known = F.coalesce(F.col("category").isin(CATEGORIES), F.lit(False))
+    sums = [
+        total(F.when(F.col("category") == name, F.col("signed_value"))).alias(name)
         for name in CATEGORIES
-    }
+    ]
+    sales, cancelled, others = map(F.col, CATEGORIES)
     return _rows(
-        eligible.agg(
-            F.count_if(~F.coalesce(known, F.lit(False))).alias("unclassified"),
-            total(F.col("signed_value_gbp")).alias("signed"),
-            *[column.alias(name) for name, column in signed.items()],
+        lines.agg(
+            F.count_if(~known).alias("unclassified"),
+            total(F.col("signed_value")).alias("signed"),
+            *sums,
         ),
         [
             _check(F.lit("unclassified eligible rows"), F.col("unclassified"), F.lit(0)),
             _check(
                 F.lit("eligible signed value versus S - C - A"),
                 F.col("signed"),
-                difference(F.col(CATEGORIES[0]), -F.col(CATEGORIES[1]), -F.col(CATEGORIES[2])),
+                # Cancellations and other negatives are still signed here.
+                difference(sales, -cancelled, -others),
             ),
         ],
     )
@@ -163,6 +169,7 @@ def require_all(checks: DataFrame) -> None:
         )
 
 
-def require_lines(eligible: DataFrame) -> None:
-    if eligible.isEmpty():
+def require_lines(charged: DataFrame) -> None:
+    """Fail when no row is left; charged is the small table of audit_by_disposition."""
+    if charged.where((F.col("disposition") == ELIGIBLE) & (F.col("row_count") > 0)).isEmpty():
         raise ValueError(EMPTY)

@@ -47,6 +47,10 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
             {
                 "invoice": text.identifier(F.col("InvoiceNo")),
                 "code": text.identifier(F.col("StockCode")),
+                "label": text.description(F.col("Description")),
+                "buyer": text.customer(F.col("CustomerID")),
+                "land": text.country(F.col("Country")),
+                "missing": F.struct(*[F.col(name).isNull().alias(name) for name in RAW_COLUMNS]),
                 "invoiced_at": dates.timestamp(F.col("InvoiceDate")),
                 "quantity_number": numbers.number(F.col("Quantity")),
                 "price_number": numbers.number(F.col("UnitPrice")),
@@ -113,12 +117,12 @@ def classified_lines(judged: DataFrame) -> DataFrame:
     return judged.select(
         F.col("invoice").alias("InvoiceNo"),
         F.col("code").alias("StockCode"),
-        text.description(F.col("Description")).alias("Description"),
+        F.col("label").alias("Description"),
         F.col("quantity_exact").alias("Quantity"),
         F.col("invoiced_at").alias("InvoiceDate"),
         F.col("price_exact").alias("UnitPrice"),
-        text.customer(F.col("CustomerID")).alias("CustomerID"),
-        text.country(F.col("Country")).alias("Country"),
+        F.col("buyer").alias("CustomerID"),
+        F.col("land").alias("Country"),
         *kept,
         F.col("signed_value").alias("signed_value_gbp"),
         category().alias("transaction_category"),
@@ -131,8 +135,16 @@ def is_eligible() -> Column:
 
 
 def eligible_lines(judged: DataFrame) -> DataFrame:
-    """Survivors of all rules."""
-    return classified_lines(judged).where(is_eligible())
+    """Survivors of all rules.
+
+    The one-element explode keeps the filter above the judgement, so that each line is
+    parsed once and not again for the filter, nor once more for each raw copy.
+    """
+    return (
+        classified_lines(judged)
+        .withColumn("transaction_category", F.explode(F.array("transaction_category")))
+        .where(is_eligible())
+    )
 
 
 def judge(raw: DataFrame) -> DataFrame:

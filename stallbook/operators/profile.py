@@ -35,7 +35,7 @@ def raw_profile(parsed: DataFrame, column_names: list[str] = RAW_COLUMNS) -> Dat
         "nonintegral_quantity_rows": rows(finite_quantity & numbers.is_fractional(quantity)),
         "invalid_or_missing_date_rows": rows(moment.isNull()),
     }
-    missing = {f"missing_{name}": rows(F.col(name).isNull()) for name in RAW_COLUMNS}
+    missing = {f"missing_{name}": rows(F.col(f"missing.{name}")) for name in RAW_COLUMNS}
     found = parsed.agg(
         F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("rows"),
         *[column.alias(name) for name, column in {**counts, **missing}.items()],

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
 
 from stallbook.operators import audit, checks, summaries
-from stallbook.operators.lines import eligible_lines, judge
+from stallbook.operators.lines import classified_lines, eligible_lines, judge
 from stallbook.operators.profile import raw_profile
 from stallbook.operators.sensitivity import duplicate_comparison
-from stallbook.schema import Settings
+from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
 from stallbook.storage import written
 
+CONCURRENT_REPORTS = 4
+
 
 @dataclass(frozen=True)
 class CleanLedger:
     """Judged lines and what follows from them; charged and profile are small tables."""
 
     judged: DataFrame
+    lines: DataFrame
     eligible: DataFrame
     charged: DataFrame
     excluded: DataFrame
@@ -34,11 +38,12 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     With remove_duplicates off, the duplicate rule removes nothing and every copy
     counts, under otherwise equal rules.
     """
-    judged = written(judge(ledger.lines), "judged")
+    judged = written(judge(ledger.lines).drop(*RAW_COLUMNS), "judged")
     charged = written(audit.audit_by_disposition(judged, remove_duplicates), "charged")
     profile = written(raw_profile(judged, ledger.column_names), "profile")
     return CleanLedger(
         judged=judged,
+        lines=classified_lines(judged),
         eligible=eligible_lines(judged),
         charged=charged,
         excluded=audit.excluded_entries(judged, remove_duplicates),
@@ -56,7 +61,7 @@ def reconcile(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
             checks.stage_checks(audit.stage_audit(cleaned.charged)),
             checks.row_checks(cleaned.charged, cleaned.profile),
             checks.exclusion_checks(tables["excluded_entries.csv"], cleaned.charged),
-            checks.category_checks(cleaned.eligible),
+            checks.category_checks(cleaned.judged),
             checks.customer_checks(overall),
             checks.group_checks(
                 overall,
@@ -71,24 +76,30 @@ def reconcile(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """The nine tables by name, each computed once and written."""
-    eligible = cleaned.eligible
-    checks.require_lines(eligible)
-    tables = {
-        "overall_summary.csv": summaries.overall_summary(eligible),
-        "product_summary.csv": summaries.product_summary(eligible),
-        "country_summary.csv": summaries.country_summary(eligible),
-        "monthly_summary.csv": summaries.monthly_summary(eligible, settings),
-        "customer_summary.csv": summaries.customer_summary(eligible),
-        "duplicate_comparison.csv": duplicate_comparison(eligible),
-        "excluded_entries.csv": cleaned.excluded,
-        "cleaning_summary.csv": cleaned.cleaning,
-        "large_value_lines.csv": summaries.large_value_lines(eligible),
-    }
-    return {
-        name: written(table, name.removesuffix(".csv")) for name, table in tables.items()
+    """The nine tables by name, each computed once and written.
+
+    The reports are independent jobs over one written table, so they run side by side.
+    """
+    checks.require_lines(cleaned.charged)
+    lines = cleaned.lines
+    reports = {
+        "overall_summary.csv": lambda: summaries.overall_summary(lines),
+        "product_summary.csv": lambda: summaries.product_summary(lines),
+        "country_summary.csv": lambda: summaries.country_summary(lines),
+        "monthly_summary.csv": lambda: summaries.monthly_summary(lines, settings),
+        "customer_summary.csv": lambda: summaries.customer_summary(lines),
+        "duplicate_comparison.csv": lambda: duplicate_comparison(lines),
+        "excluded_entries.csv": lambda: cleaned.excluded,
+        "cleaning_summary.csv": lambda: cleaned.cleaning,
+        "large_value_lines.csv": lambda: summaries.large_value_lines(lines),
     }
 
+    def build(name: str) -> DataFrame:
+        return written(reports[name](), name.removesuffix(".csv"))
+
+    with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
+        return dict(zip(reports, pool.map(build, reports)))
+
 
 def build_analysis(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """The nine tables, after all of them reconcile."""

@@ -13,14 +13,18 @@ from stallbook.storage import written
 
 FIRST_ROW = 2
 BLOCK_ROWS = 1 << 16
+# At a path of 200 characters, this many pieces are about 100 MB to broadcast.
+BROADCAST_PIECES = 500_000
 SPLIT_ERROR = "The input splits changed while rows were being numbered; run again."
 
 
-def _starts(pieces: DataFrame) -> DataFrame:
+def _starts(counted: DataFrame) -> DataFrame:
     """(file, piece, rows) -> rows before the piece, in file then piece order.
 
-    Only the per-file totals meet in one task, one row for each input file.
+    The pieces are counted once and written. Only the per-file totals meet in one
+    task, one row for each input file.
     """
+    pieces = written(counted, "pieces")
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = (
         pieces.groupBy("file")
@@ -30,25 +34,28 @@ def _starts(pieces: DataFrame) -> DataFrame:
     inside = (
         Window.partitionBy("file").orderBy("piece").rowsBetween(Window.unboundedPreceding, -1)
     )
-    return pieces.withColumn(
+    starts = pieces.withColumn(
         "piece_start", F.coalesce(F.sum("rows").over(inside), F.lit(0))
     ).join(files, "file")
+    # Few pieces spare the rows a shuffle; with more, Spark chooses the join.
+    return F.broadcast(starts) if pieces.count() <= BROADCAST_PIECES else starts
 
 
 def number_parquet_rows(df: DataFrame) -> DataFrame:
     """Rows of Parquet files know their index, so only files need counting."""
     columns = df.columns
-    placed = df.select(
-        *columns,
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.row_index").alias("row_index"),
-    )
-    counted = df.select(F.col("_metadata.file_path").alias("file")).groupBy("file").agg(
-        F.count(F.lit(1)).alias("rows")
+    file = F.col("_metadata.file_path").alias("file")
+    starts = _starts(
+        df.select(file, F.lit(0).alias("piece"))
+        .groupBy("file", "piece")
+        .agg(F.count(F.lit(1)).alias("rows"))
     )
-    starts = _starts(counted.withColumn("piece", F.lit(0))).select("file", "file_start")
-    return placed.join(starts, "file").select(
-        *columns, (F.col("file_start") + F.col("row_index") + FIRST_ROW).alias("source_row")
+    return (
+        df.select(*columns, file, F.col("_metadata.row_index").alias("row_index"))
+        .join(starts, "file")
+        .select(
+            *columns, (F.col("file_start") + F.col("row_index") + FIRST_ROW).alias("source_row")
+        )
     )
 
 
@@ -89,9 +96,7 @@ def number_repeated_rows(df: DataFrame, file: Column, index: Column, order: Colu
     placed = df.select(
         *columns, file.alias("file"), piece.alias("piece"), index.alias("index"), order.alias("order")
     )
-    starts = _starts(
-        placed.groupBy("file", "piece").agg(F.count(F.lit(1)).alias("rows"))
-    ).select("file", "piece", "file_start", "piece_start")
+    starts = _starts(placed.groupBy("file", "piece").agg(F.count(F.lit(1)).alias("rows")))
     place = F.row_number().over(Window.partitionBy("file", "piece").orderBy("index", "order"))
     return (
         placed.withColumn("place", place)
@@ -120,8 +125,8 @@ def number_frame_rows(df: DataFrame) -> DataFrame:
         placed.groupBy("file", "piece").agg(
             F.count(F.lit(1)).alias("rows"), F.min("order").alias("first_order")
         )
-    ).select("piece", "piece_start", "first_order")
-    return placed.join(starts, "piece").select(
+    )
+    return placed.join(starts, ["file", "piece"]).select(
         *columns,
         (F.col("piece_start") + F.col("order") - F.col("first_order") + FIRST_ROW).alias(
             "source_row"
