@@ -70,12 +70,12 @@ def price_status(computable: Column, price: Column) -> Column:
 
 def times_copies(value: Column, copies: Column) -> Column:
     """Exact value x copies, however many copies a line has."""
-    wide = "decimal(37,9)"
-    low = (value * (copies % LIMB).cast("decimal(8,0)")).cast(wide)
-    high = (value * F.floor(copies / LIMB).cast("decimal(8,0)")).cast(VALUE)
-    high = (high * F.lit(LIMB).cast("decimal(9,0)")).cast(wide)
+    narrow = value.cast("decimal(28,9)")
+    low = (narrow * (copies % LIMB).cast("decimal(8,0)")).cast(VALUE)
+    high = (narrow * F.floor(copies / LIMB).cast("decimal(8,0)")).cast("decimal(28,9)")
+    high = (high * F.lit(LIMB).cast("decimal(9,0)")).cast(VALUE)
     return (
-        F.when(copies == 1, value.cast(wide))
+        F.when(copies == 1, value.cast(VALUE))
         .when(copies < LIMB, low)
-        .otherwise((low + high).cast(wide))
+        .otherwise((low + high).cast(VALUE))
     )

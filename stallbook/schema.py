@@ -69,9 +69,10 @@ AUDIT_COLUMNS = [
 ]
 
 # Money is exact: quantity x price fits VALUE, and any sum of it fits MONEY.
-QUANTITY = "decimal(13,3)"
-PRICE = "decimal(14,6)"
-VALUE = "decimal(28,9)"
+# Quantities and prices are as wide as decimals kept in a long can be.
+QUANTITY = "decimal(18,3)"
+PRICE = "decimal(18,6)"
+VALUE = "decimal(37,9)"
 MONEY = "decimal(38,9)"
 
 
