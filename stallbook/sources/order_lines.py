@@ -126,11 +126,11 @@ def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) ->
 
     nations = table("nation").select("n_nationkey", "n_name")
     customers = table("customer").select("c_custkey", "c_nationkey")
-    buyers = customers.join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     orders = (
         table("orders")
         .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(buyers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
     parts = table("part").select("p_partkey", "p_name")
     number = ["source_row"] if numbered else []
