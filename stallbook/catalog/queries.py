@@ -21,7 +21,7 @@ from stallbook.operators.metrics import category_counts, metrics, metrics_by
 from stallbook.operators.profile import raw_profile
 from stallbook.operators.sensitivity import duplicate_comparison, with_every_copy
 from stallbook.plans import chartdata
-from stallbook.plans.analysis import build_tables, clean, reconcile
+from stallbook.plans.analysis import audit_and_profile, build_tables, clean, reconcile
 from stallbook.plans.publish import export_columns, run_metadata
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
@@ -34,6 +34,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The derived lines end in August 2001, a month of one day.
 SETTINGS = Settings(partial_months=("2001-08",), home_country="NATION_0")
 
+MONTH_INPUTS = ["Month", "InvoiceDate", "signed_value_gbp", "transaction_category"]
+
 REGISTERED: dict[str, Query] = {}
 
 
@@ -239,9 +241,9 @@ def monthly_summary(spark, folder):
 
 @query
 def month_coverage_join(spark, folder):
-    """Month metrics with the coverage joined to them."""
-    lines = _lines(spark, folder)
-    by_month = metrics_by(summaries.with_month(lines), "Month")
+    """Month metrics with the coverage joined to them, both from one written table."""
+    lines = written(summaries.with_month(_lines(spark, folder)).select(*MONTH_INPUTS), "months")
+    by_month = metrics_by(lines, "Month")
     return portable(by_month.join(summaries.month_coverage(lines), "Month", "left"))
 
 
@@ -328,9 +330,7 @@ def raw_profile_query(spark, folder):
 
 @query
 def cleaning_summary(spark, folder):
-    judged = written(_judged(spark, folder), "judged")
-    charged = written(audit.audit_by_disposition(judged), "charged")
-    profile = written(raw_profile(judged), "profile")
+    charged, profile = audit_and_profile(_judged(spark, folder))
     return portable(audit.cleaning_summary(charged, profile).drop("seq"))
 
 

@@ -76,6 +76,7 @@ def times_copies(value: Column, copies: Column) -> Column:
     high = (high * F.lit(LIMB).cast("decimal(9,0)")).cast(VALUE)
     return (
         F.when(copies == 1, value.cast(VALUE))
+        .when(copies == 0, F.lit(0).cast(VALUE))
         .when(copies < LIMB, low)
         .otherwise((low + high).cast(VALUE))
     )

@@ -30,15 +30,18 @@ STAGE_COLUMNS = [
 SUMMARY_COLUMNS = [*STAGE_COLUMNS, "observed_count"]
 
 
-def _count(condition: Column, rows: Column) -> Column:
+def _count(condition: Column, rows: Column | None) -> Column:
+    rows = F.lit(1) if rows is None else rows
     return F.coalesce(F.sum(F.when(condition, rows)), F.lit(0)).cast("bigint")
 
 
 def audit_sums(rows: Column | None = None) -> list[Column]:
-    """Row count and audit values of judged lines, each standing for `rows` rows."""
-    rows = F.lit(1) if rows is None else rows
+    """Row count and audit values of judged lines, each standing for one row or for rows."""
     price, computable = F.col("price_number"), F.col("computable")
-    value = times_copies(F.col("signed_value"), rows.cast("bigint"))
+    value = F.col("signed_value")
+    if rows is not None:
+        value = times_copies(value, rows.cast("bigint"))
+    rows = F.lit(1) if rows is None else rows
     return [
         F.coalesce(F.sum(rows), F.lit(0)).cast("bigint").alias("row_count"),
         total(F.when(computable & (price > 0), value)).alias(POSITIVE),
@@ -52,30 +55,50 @@ def audit_values(judged: DataFrame, rows: Column | None = None) -> DataFrame:
     return judged.agg(*audit_sums(rows))
 
 
-def audit_by_disposition(judged: DataFrame, remove_duplicates: bool = True) -> DataFrame:
+def audit_groups(judged: DataFrame, *more: Column) -> DataFrame:
+    """Audit values of first copies and of further copies, by disposition: at most 7 rows.
+
+    One pass over the lines gives all the audit needs; more aggregates may join in.
+    """
+    further = [
+        column.alias(f"further_{name}")
+        for name, column in zip(
+            ["row_count", *AUDIT_COLUMNS], audit_sums(F.col(COPIES) - 1)
+        )
+    ]
+    return judged.groupBy("disposition").agg(*audit_sums(), *further, *more)
+
+
+def charges(groups: DataFrame, remove_duplicates: bool = True) -> DataFrame:
     """Rows and audit values charged to each rule, and to the eligible lines.
 
-    A distinct line is its first row under its own disposition and copies - 1 rows
-    under the duplicate rule, unless duplicates are kept.
+    First copies are charged to their own disposition. Further copies go to the
+    duplicate rule, or where the first one goes if duplicates are kept.
     """
-    copies = F.col(COPIES)
-    if not remove_duplicates:
-        return judged.groupBy("disposition").agg(*audit_sums(copies))
-    charges = F.array(
-        F.struct(F.lit(DUPLICATES).alias("charged_to"), (copies - 1).alias("rows")),
-        F.struct(F.col("disposition").alias("charged_to"), F.lit(1).cast("bigint").alias("rows")),
+    measures = ["row_count", *AUDIT_COLUMNS]
+    further_to = F.lit(DUPLICATES) if remove_duplicates else F.col("disposition")
+    entries = F.array(
+        F.struct(F.col("disposition").alias("charged_to"), *measures),
+        F.struct(
+            further_to.alias("charged_to"),
+            *[F.col(f"further_{name}").alias(name) for name in measures],
+        ),
     )
-    # A line without copies is charged once only, so few lines are doubled.
-    charges = F.when(copies > 1, charges).otherwise(F.slice(charges, 2, 1))
     return (
-        judged.select(
-            "signed_value", "price_number", "computable", F.explode(charges).alias("charge")
+        groups.select(F.explode(entries).alias("entry"))
+        .groupBy(F.col("entry.charged_to").alias("disposition"))
+        .agg(
+            F.sum("entry.row_count").alias("row_count"),
+            *[total(F.col(f"entry.{name}")).alias(name) for name in (POSITIVE, NONPOSITIVE)],
+            F.sum(f"entry.{UNCOMPUTABLE}").alias(UNCOMPUTABLE),
         )
-        .groupBy(F.col("charge.charged_to").alias("disposition"))
-        .agg(*audit_sums(F.col("charge.rows")))
     )
 
 
+def audit_by_disposition(judged: DataFrame, remove_duplicates: bool = True) -> DataFrame:
+    return charges(audit_groups(judged), remove_duplicates)
+
+
 def stage_audit(charged: DataFrame) -> DataFrame:
     """Seven removal steps with input, removed and remaining, in order.
 
@@ -158,7 +181,7 @@ def information_records(profile: DataFrame) -> DataFrame:
 def cleaning_summary(charged: DataFrame, profile: DataFrame) -> DataFrame:
     """Removal steps, the eligible total and the raw counts, in that order.
 
-    charged and profile must be written: both are small and read several times.
+    charged and profile come from a few written rows, as they are read several times.
     """
     steps = stage_audit(charged).withColumnRenamed("step_no", "seq")
     survivors = eligible_total(charged).withColumn("seq", F.lit(100))
@@ -180,7 +203,7 @@ def exclusion_dimension(spark: SparkSession) -> DataFrame:
 
 def excluded_entries(judged: DataFrame, remove_duplicates: bool = True) -> DataFrame:
     """Counts and diagnostic values of each excluded code that occurs."""
-    rows = F.lit(1) if remove_duplicates else F.col(COPIES)
+    rows = None if remove_duplicates else F.col(COPIES)
     basis = "post_deduplication" if remove_duplicates else "raw"
     status = price_status(F.col("computable"), F.col("price_number"))
     groups = (

@@ -9,9 +9,27 @@ from stallbook.functions import dates, numbers
 from stallbook.operators.lines import COPIES
 from stallbook.schema import RAW_COLUMNS
 
+# The counts of the profile, in the order they are reported.
+COUNTS = [
+    "exact_duplicates_beyond_first",
+    "c_prefixed_invoice_rows",
+    "negative_quantity_rows",
+    "negative_quantity_without_c_prefix",
+    "c_prefixed_nonnegative_quantity_rows",
+    "zero_price_rows",
+    "negative_price_rows",
+    "zero_quantity_rows",
+    "invalid_or_nonfinite_quantity_rows",
+    "invalid_or_nonfinite_price_rows",
+    "nonintegral_quantity_rows",
+    "invalid_or_missing_date_rows",
+]
 
-def raw_profile(parsed: DataFrame, column_names: list[str] = RAW_COLUMNS) -> DataFrame:
-    """One row over parsed or judged distinct lines, each counted with its copies."""
+def profile_sums() -> list[Column]:
+    """Aggregates over parsed or judged distinct lines, each counted with its copies.
+
+    They add up over groups: the counts by sum, the extremes by themselves.
+    """
     copies = F.col(COPIES)
     quantity, price = F.col("quantity_number"), F.col("price_number")
     finite_quantity, finite_price = numbers.is_finite(quantity), numbers.is_finite(price)
@@ -22,6 +40,7 @@ def raw_profile(parsed: DataFrame, column_names: list[str] = RAW_COLUMNS) -> Dat
         return F.coalesce(F.sum(F.when(condition, copies)), F.lit(0)).cast("bigint")
 
     counts = {
+        "rows": rows(F.lit(True)),
         "exact_duplicates_beyond_first": F.coalesce(F.sum(copies - 1), F.lit(0)).cast("bigint"),
         "c_prefixed_invoice_rows": rows(cancels),
         "negative_quantity_rows": rows(finite_quantity & (quantity < 0)),
@@ -34,27 +53,46 @@ def raw_profile(parsed: DataFrame, column_names: list[str] = RAW_COLUMNS) -> Dat
         "invalid_or_nonfinite_price_rows": rows(~finite_price),
         "nonintegral_quantity_rows": rows(finite_quantity & numbers.is_fractional(quantity)),
         "invalid_or_missing_date_rows": rows(moment.isNull()),
+        **{f"missing_{name}": rows(F.col(f"missing.{name}")) for name in RAW_COLUMNS},
     }
-    missing = {f"missing_{name}": rows(F.col(f"missing.{name}")) for name in RAW_COLUMNS}
-    found = parsed.agg(
-        F.coalesce(F.sum(copies), F.lit(0)).cast("bigint").alias("rows"),
-        *[column.alias(name) for name, column in {**counts, **missing}.items()],
+    return [
+        *[column.alias(name) for name, column in counts.items()],
         F.min(valid_quantity).alias("minimum_quantity"),
         F.max(valid_quantity).alias("maximum_quantity"),
         F.min(moment).alias("first"),
         F.max(moment).alias("last"),
+    ]
+
+
+def combined_profile(groups: DataFrame, column_names: list[str] = RAW_COLUMNS) -> DataFrame:
+    """One row from the profile_sums of one or more groups."""
+    missing = [f"missing_{name}" for name in RAW_COLUMNS]
+
+    def summed(name: str) -> Column:
+        return F.coalesce(F.sum(name), F.lit(0)).cast("bigint").alias(name)
+
+    found = groups.agg(
+        *[summed(name) for name in ["rows", *COUNTS, *missing]],
+        F.min("minimum_quantity").alias("minimum_quantity"),
+        F.max("maximum_quantity").alias("maximum_quantity"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
     )
-    names = F.array(*[F.lit(name) for name in column_names])
     return found.select(
         "rows",
         F.lit(len(column_names)).cast("bigint").alias("columns"),
-        names.alias("column_names"),
+        F.array(*[F.lit(name) for name in column_names]).alias("column_names"),
         F.map_from_arrays(
             F.array(*[F.lit(name) for name in RAW_COLUMNS]), F.array(*missing)
         ).alias("missing_by_column"),
-        *counts,
+        *COUNTS,
         "minimum_quantity",
         "maximum_quantity",
         dates.iso_text(F.col("first")).alias("first_timestamp"),
         dates.iso_text(F.col("last")).alias("last_timestamp"),
     )
+
+
+def raw_profile(parsed: DataFrame, column_names: list[str] = RAW_COLUMNS) -> DataFrame:
+    """One row over parsed or judged distinct lines."""
+    return combined_profile(parsed.agg(*profile_sums()), column_names)

@@ -177,9 +177,9 @@ def coverage() -> list[Column]:
 
 
 def month_coverage(lines: DataFrame) -> DataFrame:
+    """First and last eligible time stamp of each Month; see with_month."""
     return (
-        with_month(lines)
-        .groupBy("Month")
+        lines.groupBy("Month")
         .agg(*coverage())
         .where(F.col("coverage_start").isNotNull())
     )

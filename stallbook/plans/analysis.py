@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 
 from stallbook.operators import audit, checks, summaries
 from stallbook.operators.lines import classified_lines, eligible_lines, judge
-from stallbook.operators.profile import raw_profile
+from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import duplicate_comparison
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
@@ -21,7 +21,7 @@ CONCURRENT_REPORTS = 4
 
 @dataclass(frozen=True)
 class CleanLedger:
-    """Judged lines and what follows from them; charged and profile are small tables."""
+    """Judged lines and what follows from them; charged and profile are a few rows."""
 
     judged: DataFrame
     lines: DataFrame
@@ -32,6 +32,14 @@ class CleanLedger:
     cleaning: DataFrame
 
 
+def audit_and_profile(
+    judged: DataFrame, column_names: list[str] = RAW_COLUMNS, remove_duplicates: bool = True
+) -> tuple[DataFrame, DataFrame]:
+    """What the rules removed and what the raw rows looked like, from one pass."""
+    groups = written(audit.audit_groups(judged, *profile_sums()), "audit")
+    return audit.charges(groups, remove_duplicates), combined_profile(groups, column_names)
+
+
 def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     """Judge the raw lines once and write them; all reports read only their columns.
 
@@ -39,8 +47,7 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     counts, under otherwise equal rules.
     """
     judged = written(judge(ledger.lines).drop(*RAW_COLUMNS), "judged")
-    charged = written(audit.audit_by_disposition(judged, remove_duplicates), "charged")
-    profile = written(raw_profile(judged, ledger.column_names), "profile")
+    charged, profile = audit_and_profile(judged, ledger.column_names, remove_duplicates)
     return CleanLedger(
         judged=judged,
         lines=classified_lines(judged),

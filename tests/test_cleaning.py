@@ -190,6 +190,12 @@ def test_audit_values_stay_exact_with_very_many_copies(spark, raw):
     assert str(row.signed_value_positive_price_gbp) == "999999.999999000"
 
 
+def test_the_largest_values_need_no_copies_to_be_audited(cleaned):
+    result = cleaned(line(Quantity="999999999999999", UnitPrice="100000000000"))
+    total = audit.eligible_total(result.charged).first()
+    assert total.remaining_signed_value_positive_price_gbp == 999999999999999 * 100000000000
+
+
 @pytest.mark.parametrize("change", [{"Quantity": "1e16"}, {"UnitPrice": "1e13"}])
 def test_values_beyond_capacity_fail(eligible, change):
     with pytest.raises(Exception, match="exceeds numeric capacity"):
