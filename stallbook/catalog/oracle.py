@@ -305,9 +305,9 @@ def reconciliation() -> str:
       FROM judged WHERE disposition = 'excluded_codes' GROUP BY code
     UNION ALL {excluded}
     UNION ALL SELECT 'unclassified eligible rows', 0, 0
-    UNION ALL SELECT 'eligible signed value versus S - C - A',
+    UNION ALL SELECT 'signed value of eligible lines as S - C - A',
       (SELECT sum(value) FROM eligible), s - c - a FROM total
-    UNION ALL SELECT 'identified plus unidentified positive sales',
+    UNION ALL SELECT 'sales of known and unknown customers',
       known.s + (SELECT sum(value) FROM eligible
         WHERE transaction_category = 'positive_sale' AND CustomerID IS NULL), total.s
       FROM known, total

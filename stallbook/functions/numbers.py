@@ -12,7 +12,7 @@ NUMBER_TEXT = (
     r"[ \t\n\x0b\f\r]*$"
 )
 
-CAPACITY_ERROR = "A quantity × price calculation exceeds numeric capacity."
+CAPACITY_ERROR = "Quantity times price is larger than the ledger can hold."
 PRECISION_ERROR = "UnitPrice has more decimals than the ledger keeps exactly."
 
 # Copies are multiplied in two limbs so that no product needs more than 38 digits.

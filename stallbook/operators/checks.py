@@ -98,7 +98,7 @@ def category_checks(judged: DataFrame) -> DataFrame:
         [
             _check(F.lit("unclassified eligible rows"), F.col("unclassified"), F.lit(0)),
             _check(
-                F.lit("eligible signed value versus S - C - A"),
+                F.lit("signed value of eligible lines as S - C - A"),
                 F.col("signed"),
                 # Cancellations and other negatives are still signed here.
                 difference(sales, -cancelled, -others),
@@ -112,7 +112,7 @@ def customer_checks(overall: DataFrame) -> DataFrame:
         overall,
         [
             _check(
-                F.lit("identified plus unidentified positive sales"),
+                F.lit("sales of known and unknown customers"),
                 difference(
                     F.col("identified_positive_sales_gbp"),
                     -F.col("unidentified_positive_sales_gbp"),

@@ -6,12 +6,14 @@
 from __future__ import annotations
 
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from stallbook.plans import chartdata
-from stallbook.plans.analysis import build_analysis, clean
-from stallbook.plans.publish import export_table, run_metadata
+from stallbook.plans.analysis import CONCURRENT_REPORTS, build_analysis, clean
+from stallbook.plans.publish import export_json, export_table, run_metadata
 from stallbook.schema import Settings
 from stallbook.sources.files import read_ledger
 from stallbook.sources.fingerprint import fingerprint, listing, require_unchanged
@@ -41,7 +43,7 @@ def run_analysis(
     """Publish tables, chart data, eligible lines and metadata; return the nine tables.
 
     Nothing is published until every table is computed and reconciled and the input
-    is known not to have changed. The metadata comes last and so marks a whole run.
+    is known not to have changed. The metadata says complete once all else is there.
     hash_content=False compares file lists instead of reading all bytes twice more.
     """
     take_fingerprint = fingerprint if hash_content else listing
@@ -54,20 +56,30 @@ def run_analysis(
     charts = {f"{name}.json": table for name, table in chart_tables(tables, settings).items()}
     outputs = [*tables, *charts, "eligible_lines", "input_files", METADATA]
     if source.rstrip("/") in [f"{folder}/{name}" for name in outputs]:
-        raise ValueError("An output path would overwrite the input.")
-
-    for name, table in tables.items():
-        export_table(name, table, folder)
-    for name, table in charts.items():
-        table.write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}")
-    cleaned.eligible.write.mode("overwrite").parquet(f"{folder}/eligible_lines")
-    before.write.mode("overwrite").parquet(f"{folder}/input_files")
-    run_metadata(source, folder, outputs, before, cleaned.profile).coalesce(1).write.mode(
-        "overwrite"
-    ).option("ignoreNullFields", False).json(f"{folder}/{METADATA}")
+        raise ValueError("An output would replace the input.")
+
+    def publish(name: str) -> None:
+        if name in tables:
+            export_table(name, tables[name], folder)
+        elif name in charts:
+            export_json(charts[name], f"{folder}/{name}")
+        else:
+            frames[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+
+    metadata = run_metadata(source, folder, outputs, before, cleaned.profile, settings).coalesce(1)
+    frames = {"eligible_lines": cleaned.eligible, "input_files": before}
+    export_json(metadata.withColumn("complete", F.lit(False)), f"{folder}/{METADATA}")
+    with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
+        list(pool.map(publish, [*tables, *charts, *frames]))
+    export_json(metadata.withColumn("complete", F.lit(True)), f"{folder}/{METADATA}")
     return tables
 
 
 if __name__ == "__main__":
-    session = SparkSession.builder.appName("stallbook").getOrCreate()
+    session = (
+        SparkSession.builder.appName("stallbook")
+        # A run has more different stages than the usual cache of compiled code holds.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
+        .getOrCreate()
+    )
     run_analysis(session, sys.argv[1], sys.argv[2])

@@ -61,7 +61,14 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> RawLed
     multi_line allows line breaks within quotes at the price of unsplittable files.
     """
     df = _load(
-        spark, path, "csv", header="true", escape='"', multiLine=str(multi_line).lower()
+        spark,
+        path,
+        "csv",
+        header="true",
+        escape='"',
+        multiLine=str(multi_line).lower(),
+        # Files whose header differs from the first one's fail instead of being misread.
+        enforceSchema="false",
     )
     require_columns(df.columns)
     numbered = df if ROW_NUMBER in df.columns else number_text_rows(df)

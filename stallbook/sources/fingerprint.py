@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-CHANGED = "Input workbook changed during the run."
+CHANGED = "The input changed during the run."
 
 
 def _files(spark: SparkSession, path: str) -> DataFrame:

@@ -4,20 +4,24 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+@cache
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="stallbook-")
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; local sessions get one of their own."""
+    """The folder named by spark.checkpoint.dir; without it, a local session gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("Set spark.checkpoint.dir to a folder every executor can reach.")
-    folder = tempfile.mkdtemp(prefix="stallbook-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _local_folder()
 
 
 def written(df: DataFrame, name: str) -> DataFrame:

@@ -69,6 +69,18 @@ def test_missing_path_and_missing_column(spark, tmp_path):
         read_frame(spark.createDataFrame([line()], RAW_TYPES).drop("Country", "StockCode"))
 
 
+def test_files_with_another_header_are_not_misread(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "a.csv").write_text(HEADER + "\n" + ",".join(line()) + "\n")
+    names = list(reversed(RAW_COLUMNS))
+    (folder / "b.csv").write_text(
+        ",".join(names) + "\n" + ",".join(DEFAULT[name] for name in names) + "\n"
+    )
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv(spark, str(folder)).lines.collect()
+
+
 def numbered_values(lines):
     return [row.InvoiceNo for row in lines.orderBy("source_row").collect()], sorted(
         row.source_row for row in lines.collect()
