@@ -44,7 +44,7 @@ def run_analysis(
 
     Nothing is published until every table is computed and reconciled and the input
     is known not to have changed. The metadata says complete once all else is there.
-    hash_content=False compares file lists instead of reading all bytes twice more.
+    hash_content=False compares file lists instead of reading the files twice more.
     """
     take_fingerprint = fingerprint if hash_content else listing
     before = written(take_fingerprint(spark, source), "fingerprint")

@@ -153,7 +153,9 @@ def run_metadata(
         F.count(F.lit(1)).alias("files"),
         F.sum("length").alias("bytes"),
         # Only a single file has one digest; of more, all are listed in input_files.
-        F.when(F.count(F.lit(1)) == 1, F.max("sha256")).alias("sha256"),
+        F.when(
+            (F.count(F.lit(1)) == 1) & F.bool_and("of_content"), F.max("sha256")
+        ).alias("sha256"),
     )
     described = files.select(
         F.lit(datetime.now(timezone.utc).isoformat()).alias("run_timestamp_utc"),

@@ -6,6 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+HASHED_BYTES = 512 << 20
 CHANGED = "The input changed during the run."
 
 
@@ -18,20 +19,32 @@ def _files(spark: SparkSession, path: str) -> DataFrame:
         raise
 
 
-def fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each file: path, length, sha256.
+def _seen(files: DataFrame) -> DataFrame:
+    seen = F.concat_ws("@", F.col("length").cast("string"), F.col("modificationTime").cast("string"))
+    return files.select("path", "length", F.sha2(seen, 256).alias("sha256"))
+
+
+def fingerprint(
+    spark: SparkSession, path: str, hashed_bytes: int = HASHED_BYTES
+) -> DataFrame:
+    """One row for each file: path, length, sha256, and whether that is of the content.
 
-    A file is one row and so under 2 GB; use listing for larger files.
+    A file is hashed as one value in one task, so files beyond hashed_bytes are known by
+    length and modification time instead. Spark tests the length before it reads a file.
     """
-    return _files(spark, path).select(
+    files = _files(spark, path)
+    content = files.where(F.col("length") <= hashed_bytes).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
     )
+    large = _seen(files.where(F.col("length") > hashed_bytes))
+    return content.withColumn("of_content", F.lit(True)).unionByName(
+        large.withColumn("of_content", F.lit(False))
+    )
 
 
 def listing(spark: SparkSession, path: str) -> DataFrame:
-    """The same columns from length and modification time; no content is read."""
-    seen = F.concat_ws("@", F.col("length").cast("string"), F.col("modificationTime").cast("string"))
-    return _files(spark, path).select("path", "length", F.sha2(seen, 256).alias("sha256"))
+    """The same columns without reading any content."""
+    return _seen(_files(spark, path)).withColumn("of_content", F.lit(False))
 
 
 def changed_files(before: DataFrame, after: DataFrame) -> DataFrame:

@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 from stallbook.schema import EXCLUDED_CODES, RAW_COLUMNS
 from stallbook.sources.numbering import number_repeated_rows
 
-LINE_COLUMNS = [
-    "l_orderkey",
-    "l_partkey",
-    "l_suppkey",
-    "l_linenumber",
-    "l_quantity",
-    "l_extendedprice",
-    "l_returnflag",
-]
+# What is read of each table; naming the types spares a look into the files.
+TABLES = {
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int,"
+        " l_quantity double, l_extendedprice double, l_returnflag string"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "customer": "c_custkey bigint, c_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "part": "p_partkey bigint, p_name string",
+}
 
 
 def _mark() -> Column:
@@ -106,10 +110,10 @@ def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) ->
     """
 
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
     lines = table("lineitem")
-    columns = [*LINE_COLUMNS, _mark().alias("mark")]
+    columns = [*lines.columns, _mark().alias("mark")]
     if numbered:
         columns += [
             F.col("_metadata.file_path").alias("file_path"),
@@ -124,18 +128,14 @@ def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) ->
             lines, F.col("file_path"), F.col("row_index"), F.col("copy")
         )
 
-    nations = table("nation").select("n_nationkey", "n_name")
-    customers = table("customer").select("c_custkey", "c_nationkey")
     orders = (
         table("orders")
-        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(nations, F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
     )
-    parts = table("part").select("p_partkey", "p_name")
     number = ["source_row"] if numbered else []
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(*_raw_text(), *number)
     )

@@ -282,6 +282,9 @@ def test_fingerprints(spark, tmp_path):
     before = fingerprint(spark, str(path)).collect()
     assert before[0].sha256 == hashlib.sha256(path.read_bytes()).hexdigest()
     assert before[0].length == 3000
+    assert before[0].of_content
+    large = fingerprint(spark, str(path), hashed_bytes=2999).first()
+    assert (large.length, large.of_content) == (3000, False)
     kept = spark.createDataFrame(before)
     require_unchanged(kept, fingerprint(spark, str(path)))
     seen = spark.createDataFrame(listing(spark, str(path)).collect())
