@@ -1,4 +1,9 @@
-"""The summary tables. They take classified lines; only eligible ones count."""
+"""The summary tables of classified lines, of which only eligible ones count.
+
+Each table exists as a function of lines and as a function of totals, which are the
+lines added up at any grain that has the table's key. A run adds the lines up by
+country and month once and takes four of its tables from that small result.
+"""
 
 from __future__ import annotations
 
@@ -10,7 +15,6 @@ from stallbook.functions.rates import percentage
 from stallbook.operators.lines import is_eligible
 from stallbook.operators.metrics import (
     RATE,
-    metrics_by,
     net,
     of_category,
     resums,
@@ -23,6 +27,7 @@ from stallbook.operators.ranking import (
     with_descending_ranks,
     with_positions,
 )
+from stallbook.operators.sensitivity import sums_before
 from stallbook.schema import MONEY, POSITIVE_SALE, VALUE_COLUMNS, Settings
 from stallbook.storage import written
 
@@ -80,10 +85,17 @@ def _sales_first(key: str) -> list:
     return [F.col("positive_sales_gbp").desc(), F.col(key).asc()]
 
 
-def _share(table: DataFrame, name: str) -> DataFrame:
-    """Each group's share of all sales; table must be written, as it is read twice."""
-    whole = table.agg(total(F.col("positive_sales_gbp")).alias("whole")).scalar()
-    return table.withColumn(name, percentage(F.col("positive_sales_gbp"), whole))
+def _share(table: DataFrame, whole: DataFrame, name: str) -> DataFrame:
+    """Each group's share of all sales; whole must be written, as it is read once more."""
+    sales = whole.agg(total(F.col("positive_sales_gbp")).alias("sales")).scalar()
+    return table.withColumn(name, percentage(F.col("positive_sales_gbp"), sales))
+
+
+def country_month_totals(lines: DataFrame) -> DataFrame:
+    """What the overall, country and month tables and the duplicate comparison need."""
+    return sums_by(
+        with_month(lines), "Country", "Month", extra=[*coverage(), *sums_before()]
+    )
 
 
 def description_frequency(lines: DataFrame) -> DataFrame:
@@ -129,10 +141,8 @@ def product_summary(
         {"positive_sales_gbp": "positive_sales_rank", "net_value_gbp": "net_value_rank"},
         single_task_rows,
     )
-    whole = products.agg(total(F.col("positive_sales_gbp")).alias("whole")).scalar()
     return (
-        with_derived(ranked)
-        .withColumn("sales_share_pct", percentage(F.col("positive_sales_gbp"), whole))
+        _share(with_derived(ranked), products, "sales_share_pct")
         .select(*PRODUCT_COLUMNS)
         .orderBy(*_sales_first("StockCode"))
     )
@@ -147,15 +157,19 @@ def top_products(products: DataFrame, limit: int = 10) -> DataFrame:
     )
 
 
-def country_summary(lines: DataFrame) -> DataFrame:
-    countries = written(metrics_by(lines, "Country"), "countries")
+def country_table(totals: DataFrame) -> DataFrame:
+    countries = with_derived(totals.groupBy("Country").agg(*resums()))
     return (
-        _share(countries, "sales_share_pct")
+        _share(countries, totals, "sales_share_pct")
         .select(*COUNTRY_COLUMNS)
         .orderBy(*_sales_first("Country"))
     )
 
 
+def country_summary(lines: DataFrame) -> DataFrame:
+    return country_table(written(sums_by(lines, "Country"), "countries"))
+
+
 def top_countries(
     countries: DataFrame, limit: int = 10, without: str | None = None
 ) -> DataFrame:
@@ -176,6 +190,14 @@ def coverage() -> list[Column]:
     return [F.min(observed).alias("coverage_start"), F.max(observed).alias("coverage_end")]
 
 
+def covered() -> list[Column]:
+    """First and last time stamp of groups of totals."""
+    return [
+        F.min("coverage_start").alias("coverage_start"),
+        F.max("coverage_end").alias("coverage_end"),
+    ]
+
+
 def month_coverage(lines: DataFrame) -> DataFrame:
     """First and last eligible time stamp of each Month; see with_month."""
     return (
@@ -185,79 +207,88 @@ def month_coverage(lines: DataFrame) -> DataFrame:
     )
 
 
-def monthly_summary(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
+def month_table(totals: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return (
-        with_derived(sums_by(with_month(lines), "Month", extra=coverage()))
+        with_derived(totals.groupBy("Month").agg(*resums(), *covered()))
         .withColumn("is_partial_month", F.col("Month").isin(list(settings.partial_months)))
         .select(*MONTH_COLUMNS)
         .orderBy("Month")
     )
 
 
+def monthly_summary(lines: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return month_table(sums_by(with_month(lines), "Month", extra=coverage()), settings)
+
+
 def customer_totals(lines: DataFrame) -> DataFrame:
-    """Positive sales of each identified customer."""
+    """Positive sales of each customer who has any; unknown customers are one row."""
     return (
-        lines.where(F.col("CustomerID").isNotNull())
-        .groupBy("CustomerID")
+        lines.groupBy("CustomerID")
         .agg(total(of_category(POSITIVE_SALE)).alias("positive_sales_gbp"))
         .where(F.col("positive_sales_gbp") > 0)
     )
 
 
-def customer_summary(
-    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
+def customer_table(
+    customers: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
-    """Identified customers, best first, with shares of identified sales."""
-    customers = written(customer_totals(lines), "customers")
-    whole = customers.agg(total(F.col("positive_sales_gbp")).alias("whole")).scalar()
+    """Identified customers, best first, with shares of identified sales.
+
+    customers holds one row for each customer and must be written.
+    """
+    known = customers.where(F.col("CustomerID").isNotNull() & (F.col("positive_sales_gbp") > 0))
     placed = with_positions(
-        customers,
+        known.select("CustomerID", "positive_sales_gbp"),
         [("positive_sales_gbp", True), ("CustomerID", False)],
         "display_order",
         single_task_rows,
     )
     return (
-        placed.withColumn(
-            "share_of_identified_sales_pct", percentage(F.col("positive_sales_gbp"), whole)
-        )
+        _share(placed, known, "share_of_identified_sales_pct")
         .withColumn("is_top_10", F.col("display_order") <= 10)
         .select(*CUSTOMER_COLUMNS)
         .orderBy("display_order")
     )
 
 
-def overall_summary(lines: DataFrame) -> DataFrame:
-    """One row: metrics, coverage and customer concentration.
+def customer_summary(
+    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
+) -> DataFrame:
+    return customer_table(written(customer_totals(lines), "customers"), single_task_rows)
 
-    The lines are added up by customer once; everything else comes from that table.
-    """
-    by_customer = written(
-        sums_by(lines, "CustomerID", extra=coverage()), "by_customer"
-    )
+
+def customer_sums(customers: DataFrame) -> DataFrame:
+    """One row: sales of identified customers, of the ten best of them, and of the others."""
     sales, known = F.col("positive_sales_gbp"), F.col("CustomerID").isNotNull()
     best = (
-        by_customer.where(known & (sales > 0))
+        customers.where(known & (sales > 0))
         .orderBy(*_sales_first("CustomerID"))
         .limit(10)
+        # Null when no customer is identified, as there is then nothing to concentrate.
         .agg(F.sum(sales).cast(MONEY).alias("best"))
-        .scalar()
     )
-    identified = F.col("identified_positive_sales_gbp")
+    return customers.agg(
+        total(F.when(known, sales)).alias("identified_positive_sales_gbp"),
+        total(F.when(~known, sales)).alias("unidentified_positive_sales_gbp"),
+        F.count_if(known & (sales > 0)).alias("identified_positive_customer_count"),
+    ).withColumn("top_10_customer_sales_gbp", best.scalar())
+
+
+def overall_table(totals: DataFrame, customers: DataFrame) -> DataFrame:
+    """One row: metrics, coverage and customer concentration; both must be written."""
+    found = customer_sums(customers).select(F.struct("*").alias("found")).scalar()
+    sales, identified = F.col("positive_sales_gbp"), F.col("identified_positive_sales_gbp")
     return (
         with_derived(
-            by_customer.agg(
+            totals.agg(
                 *resums(),
                 F.coalesce(F.sum("lines"), F.lit(0)).alias("eligible_row_count"),
-                F.min("coverage_start").alias("coverage_start"),
-                F.max("coverage_end").alias("coverage_end"),
-                total(F.when(known, sales)).alias("identified_positive_sales_gbp"),
-                total(F.when(~known, sales)).alias("unidentified_positive_sales_gbp"),
-                F.count_if(known & (sales > 0)).alias("identified_positive_customer_count"),
+                *covered(),
             )
         )
+        .withColumn("found", found)
+        .select("*", "found.*")
         .withColumn("identified_sales_coverage_pct", percentage(identified, sales))
-        # Null when no customer is identified, as there is then nothing to concentrate.
-        .withColumn("top_10_customer_sales_gbp", best)
         .withColumn(
             "top_10_customer_concentration_pct",
             percentage(F.col("top_10_customer_sales_gbp"), identified),
@@ -266,6 +297,11 @@ def overall_summary(lines: DataFrame) -> DataFrame:
     )
 
 
+def overall_summary(lines: DataFrame) -> DataFrame:
+    by_customer = written(sums_by(lines, "CustomerID", extra=coverage()), "by_customer")
+    return overall_table(by_customer, by_customer)
+
+
 def customer_statistics(lines: DataFrame) -> DataFrame:
     return overall_summary(lines).select(*STATISTICS_COLUMNS)
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from stallbook.operators import audit, checks, summaries
 from stallbook.operators.lines import classified_lines, eligible_lines, judge
 from stallbook.operators.profile import combined_profile, profile_sums
-from stallbook.operators.sensitivity import duplicate_comparison
+from stallbook.operators.sensitivity import comparison_table
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
 from stallbook.storage import written
@@ -85,26 +85,31 @@ def reconcile(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
 def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """The nine tables by name, each computed once and written.
 
-    The reports are independent jobs over one written table, so they run side by side.
+    The reports are independent jobs, so they run side by side.
     """
     checks.require_lines(cleaned.charged)
     lines = cleaned.lines
-    reports = {
-        "overall_summary.csv": lambda: summaries.overall_summary(lines),
-        "product_summary.csv": lambda: summaries.product_summary(lines),
-        "country_summary.csv": lambda: summaries.country_summary(lines),
-        "monthly_summary.csv": lambda: summaries.monthly_summary(lines, settings),
-        "customer_summary.csv": lambda: summaries.customer_summary(lines),
-        "duplicate_comparison.csv": lambda: duplicate_comparison(lines),
-        "excluded_entries.csv": lambda: cleaned.excluded,
-        "cleaning_summary.csv": lambda: cleaned.cleaning,
-        "large_value_lines.csv": lambda: summaries.large_value_lines(lines),
-    }
-
-    def build(name: str) -> DataFrame:
-        return written(reports[name](), name.removesuffix(".csv"))
-
     with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
+        # Two passes over the lines leave all that six of the tables need.
+        totals_job = pool.submit(written, summaries.country_month_totals(lines), "totals")
+        customers_job = pool.submit(written, summaries.customer_totals(lines), "customers")
+        reports = {
+            "overall_summary.csv": lambda: summaries.overall_table(
+                totals_job.result(), customers_job.result()
+            ),
+            "product_summary.csv": lambda: summaries.product_summary(lines),
+            "country_summary.csv": lambda: summaries.country_table(totals_job.result()),
+            "monthly_summary.csv": lambda: summaries.month_table(totals_job.result(), settings),
+            "customer_summary.csv": lambda: summaries.customer_table(customers_job.result()),
+            "duplicate_comparison.csv": lambda: comparison_table(totals_job.result()),
+            "excluded_entries.csv": lambda: cleaned.excluded,
+            "cleaning_summary.csv": lambda: cleaned.cleaning,
+            "large_value_lines.csv": lambda: summaries.large_value_lines(lines),
+        }
+
+        def build(name: str) -> DataFrame:
+            return written(reports[name](), name.removesuffix(".csv"))
+
         return dict(zip(reports, pool.map(build, reports)))
 
 
