@@ -360,8 +360,23 @@ def cleaning() -> str:
 
 def oracle() -> dict[str, str]:
     best = f"SELECT *, row_number() OVER (ORDER BY s DESC, Country) AS place FROM country WHERE s > 0"
+    products = f"""{ELIGIBLE}, {LABELS} SELECT StockCode, Description, {METRICS},
+        {rate('s', TOTAL_SALES)} AS sales_share_pct,
+        rank() OVER (ORDER BY s DESC) AS positive_sales_rank,
+        rank() OVER (ORDER BY s - c - a DESC) AS net_value_rank FROM product"""
+    customers = f"""{ELIGIBLE}, {CUSTOMERS} SELECT CustomerID,
+        {money('ranked.s')} AS positive_sales_gbp,
+        {rate('ranked.s', 'known.s')} AS share_of_identified_sales_pct,
+        place AS display_order, place <= 10 AS is_top_10 FROM ranked, known"""
     return {
         "raw_lines": f"{RAW} SELECT * FROM raw",
+        "source_rows": """SELECT 1 + row_number() OVER () AS source_row,
+            l_orderkey, l_partkey, l_suppkey, l_linenumber FROM lineitem""",
+        "numeric_identifiers": """SELECT 1 + row_number() OVER () AS source_row,
+            CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS quantity_text,
+            CASE WHEN l_extendedprice % 1 = 0
+                 THEN CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) END AS whole_price_text
+            FROM lineitem""",
         "parsed_numbers": by_row(
             """CASE WHEN finite_quantity THEN qty END AS quantity,
             CASE WHEN finite_price THEN cost END AS price,
@@ -398,10 +413,8 @@ def oracle() -> dict[str, str]:
         "overall_metrics": f"{ELIGIBLE}, {OVERALL} SELECT {METRICS} FROM total",
         "metrics_by_key": f"""{ELIGIBLE} SELECT CustomerID, {METRICS}
             FROM (SELECT CustomerID, {SUMS} FROM eligible GROUP BY CustomerID)""",
-        "product_summary": f"""{ELIGIBLE}, {LABELS} SELECT StockCode, Description, {METRICS},
-            {rate('s', TOTAL_SALES)} AS sales_share_pct,
-            rank() OVER (ORDER BY s DESC) AS positive_sales_rank,
-            rank() OVER (ORDER BY s - c - a DESC) AS net_value_rank FROM product""",
+        "product_summary": products,
+        "product_summary_distributed": products,
         "description_frequency": f"""{ELIGIBLE} SELECT StockCode, Description, count(*) AS row_count
             FROM eligible WHERE Description <> '' GROUP BY 1, 2""",
         "country_summary": f"""{ELIGIBLE}, {COUNTRIES} SELECT Country, {METRICS},
@@ -411,10 +424,8 @@ def oracle() -> dict[str, str]:
             Month = '2001-08' AS is_partial_month FROM month""",
         "month_coverage_join": f"""{ELIGIBLE}, {MONTHS} SELECT Month, {METRICS},
             {second('first')} AS coverage_start, {second('last')} AS coverage_end FROM month""",
-        "customer_summary": f"""{ELIGIBLE}, {CUSTOMERS} SELECT CustomerID,
-            {money('ranked.s')} AS positive_sales_gbp,
-            {rate('ranked.s', 'known.s')} AS share_of_identified_sales_pct,
-            place AS display_order, place <= 10 AS is_top_10 FROM ranked, known""",
+        "customer_summary": customers,
+        "customer_summary_distributed": customers,
         "customer_statistics": f"""{ELIGIBLE}, {CUSTOMERS}, {OVERALL}
             SELECT {STATISTICS} FROM known, total""",
         "overall_summary": f"""{ELIGIBLE}, {CUSTOMERS}, {OVERALL}

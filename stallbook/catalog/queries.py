@@ -26,6 +26,7 @@ from stallbook.plans.publish import export_columns, run_metadata
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
 from stallbook.sources.fingerprint import changed_files, fingerprint
+from stallbook.sources.numbering import number_parquet_rows
 from stallbook.sources.order_lines import raw_order_lines
 from stallbook.storage import written
 
@@ -96,6 +97,27 @@ def input_unchanged(spark, folder):
     )
 
 
+@query
+def source_rows(spark, folder):
+    """Row numbers of a Parquet source, as any reader of one gets them."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return number_parquet_rows(lines).select(
+        "source_row", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"
+    )
+
+
+@query
+def numeric_identifiers(spark, folder):
+    """Numeric source columns as text: whole numbers without a fraction."""
+    lines = number_parquet_rows(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    price = F.col("l_extendedprice")
+    return lines.select(
+        "source_row",
+        text.number_as_identifier(F.col("l_quantity")).alias("quantity_text"),
+        F.when(price % 1 == 0, text.number_as_identifier(price)).alias("whole_price_text"),
+    )
+
+
 @query
 def parsed_numbers(spark, folder):
     lines = _raw(spark, folder, numbered=True)
@@ -224,6 +246,13 @@ def product_summary(spark, folder):
     return portable(summaries.product_summary(_lines(spark, folder)))
 
 
+@query
+def product_summary_distributed(spark, folder):
+    """The same table by the way that ranks more products than one task should."""
+    lines = _lines(spark, folder)
+    return portable(summaries.product_summary(lines, single_task_rows=0))
+
+
 @query
 def description_frequency(spark, folder):
     return summaries.description_frequency(_lines(spark, folder))
@@ -252,6 +281,13 @@ def customer_summary(spark, folder):
     return portable(summaries.customer_summary(_lines(spark, folder)))
 
 
+@query
+def customer_summary_distributed(spark, folder):
+    """The same table by the way that orders more customers than one task should."""
+    lines = _lines(spark, folder)
+    return portable(summaries.customer_summary(lines, single_task_rows=0))
+
+
 @query
 def customer_statistics(spark, folder):
     return portable(summaries.customer_statistics(_lines(spark, folder)))
