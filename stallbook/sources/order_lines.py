@@ -37,65 +37,67 @@ def _mark() -> Column:
 
 
 def _raw_text() -> list[Column]:
+    """The eight raw columns; each key is turned to text once, whatever surrounds it."""
     mark, flag = F.col("mark"), F.col("l_returnflag")
-    order, part = F.col("l_orderkey").cast("string"), F.col("l_partkey").cast("string")
-    count = F.col("l_quantity").cast("int").cast("string")
-    price = (
-        F.col("l_extendedprice").cast("decimal(18,2)")
-        + F.col("l_linenumber").cast("decimal(10,0)") * F.lit("0.001").cast("decimal(4,3)")
-    ).cast("decimal(18,3)").cast("string")
-
-    invoice = (
-        F.when(mark == 50, " ")
-        .when(mark.between(64, 66), F.concat(F.lit("C"), order))
-        .when((flag == "R") & (mark % 10 == 7), F.concat(F.lit(" c"), order, F.lit(" ")))
-        .when(flag == "R", F.concat(F.lit("C"), order))
-        .otherwise(order)
-    )
+    missing = F.lit(None).cast("string")
+    returned = flag == "R"
+    padded = returned & (mark % 10 == 7)
+
+    before = F.when(padded, " c").when(returned | mark.between(64, 66), "C").otherwise("")
+    after = F.when(padded, " ").otherwise("")
+    invoice = F.when(
+        mark != 50, F.concat(before, F.col("l_orderkey").cast("string"), after)
+    ).otherwise(" ")
+
     excluded = F.array(*[F.lit(code) for code, _, _ in EXCLUDED_CODES])
     stock_code = (
         F.when(mark == 51, " ")
         .when(
             mark < 2 * len(EXCLUDED_CODES),
-            F.element_at(excluded, (F.floor(mark / 2) + 1).cast("int")),
+            F.element_at(excluded, (F.shiftright(mark, 1) + 1).cast("int")),
         )
-        .otherwise(part)
+        .otherwise(F.col("l_partkey").cast("string"))
     )
+    ending = F.when(F.col("l_linenumber") % 3 == 0, " ALT").otherwise("")
     description = (
-        F.when(mark.between(72, 79), F.lit(None).cast("string"))
+        F.when(mark.between(72, 79), missing)
         .when(mark.between(80, 89), "  ")
-        .when(F.col("l_linenumber") % 3 == 0, F.concat(F.col("p_name"), F.lit(" ALT")))
-        .otherwise(F.col("p_name"))
+        .otherwise(F.concat(F.col("p_name"), ending))
     )
+    negative = (returned & ~mark.between(64, 66)) | ((flag == "A") & (mark >= 900))
     quantity = (
         F.when(mark == 53, "bad")
         .when(mark == 54, "inf")
         .when(mark == 55, "1.5")
         .when(mark.between(62, 63), "0")
-        .when(mark.between(64, 66), count)
-        .when((flag == "R") | ((flag == "A") & (mark >= 900)), F.concat(F.lit("-"), count))
-        .otherwise(count)
+        .otherwise(
+            F.concat(
+                F.when(negative, "-").otherwise(""),
+                F.col("l_quantity").cast("int").cast("string"),
+            )
+        )
     )
     date = F.when(mark == 52, "not a date").otherwise(
         F.substring(F.col("o_orderdate").cast("string"), 1, 19)
     )
+    price = (
+        F.col("l_extendedprice").cast("decimal(18,2)")
+        + F.col("l_linenumber").cast("decimal(10,0)") * F.lit("0.001").cast("decimal(4,3)")
+    ).cast("decimal(18,3)")
     unit_price = (
-        F.when(mark == 56, F.lit(None).cast("string"))
+        F.when(mark == 56, missing)
         .when(mark == 57, "-inf")
-        .when(mark.between(58, 59), F.concat(F.lit("-"), price))
         .when(mark.between(60, 61), "0")
-        .otherwise(price)
+        .otherwise(
+            F.concat(F.when(mark.between(58, 59), "-").otherwise(""), price.cast("string"))
+        )
     )
     customer = (
-        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", F.lit(None).cast("string"))
+        F.when(F.col("o_orderpriority") == "4-NOT SPECIFIED", missing)
         .when(mark == 90, " ")
         .otherwise(F.col("o_custkey").cast("string"))
     )
-    country = (
-        F.when(mark == 70, F.lit(None).cast("string"))
-        .when(mark == 71, " ")
-        .otherwise(F.col("n_name"))
-    )
+    country = F.when(mark == 70, missing).when(mark == 71, " ").otherwise(F.col("n_name"))
     values = [
         invoice, stock_code, description, quantity, date, unit_price, customer, country,
     ]
