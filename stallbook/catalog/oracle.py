@@ -347,7 +347,8 @@ def cleaning() -> str:
     audited = [POSITIVE, NONPOSITIVE, UNCOMPUTABLE]
     gaps = ", ".join(f"NULL AS {side}_{name}" for side in ("input", "removed") for name in audited)
     counts = " UNION ALL ".join(
-        f"""SELECT 'informational_raw' AS record_type, '{name}' AS step, "{name}" AS observed_count FROM counted_once"""
+        f"""SELECT 'informational_raw' AS record_type, '{name}' AS step,
+          "{name}" AS observed_count FROM counted_once"""
         for name in COUNTED
     )
     return f"""{JUDGED}, {stages()}, counted_once AS (SELECT {named(COUNTED)} FROM judged)
@@ -359,7 +360,8 @@ def cleaning() -> str:
 
 
 def oracle() -> dict[str, str]:
-    best = f"SELECT *, row_number() OVER (ORDER BY s DESC, Country) AS place FROM country WHERE s > 0"
+    best = """SELECT *, row_number() OVER (ORDER BY s DESC, Country) AS place
+        FROM country WHERE s > 0"""
     products = f"""{ELIGIBLE}, {LABELS} SELECT StockCode, Description, {METRICS},
         {rate('s', TOTAL_SALES)} AS sales_share_pct,
         rank() OVER (ORDER BY s DESC) AS positive_sales_rank,
