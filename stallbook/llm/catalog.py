@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.llm.shards import op1_shards
+from stallbook.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
+    "op3_simhash": op3_simhash,
 }
 
 SQL: dict[str, str] = {}
