@@ -6,12 +6,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stallbook.llm.exact import op5_exact
 from stallbook.llm.shards import op1_shards
 from stallbook.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op3_simhash": op3_simhash,
+    "op5_exact": op5_exact,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_exact": r"""
+        WITH bodies AS (
+            SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS body FROM documents
+        )
+        SELECT doc_id,
+               min(doc_id) OVER same AS keep_id,
+               count(*) OVER same AS group_size,
+               doc_id = min(doc_id) OVER same AS kept,
+               sha256(body) AS text_sha256
+        FROM bodies
+        WINDOW same AS (PARTITION BY body)
+    """,
+}
