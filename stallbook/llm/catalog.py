@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from stallbook.llm.exact import op5_exact
+from stallbook.llm.language import op7_language
 from stallbook.llm.shards import op1_shards
 from stallbook.llm.simhash import op3_simhash
 
@@ -14,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
     "op3_simhash": op3_simhash,
     "op5_exact": op5_exact,
+    "op7_language": op7_language,
 }
 
 SQL: dict[str, str] = {
