@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stallbook.llm.decontam import op10_decontaminate
 from stallbook.llm.exact import op5_exact
 from stallbook.llm.language import op7_language
 from stallbook.llm.shards import op1_shards
@@ -16,6 +17,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_exact": op5_exact,
     "op7_language": op7_language,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 SQL: dict[str, str] = {

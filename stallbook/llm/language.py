@@ -21,11 +21,11 @@ then the first by name. Empty tables give no rows. Other columns are not read.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,7 +47,7 @@ PREDICTION = "lang_pred string, score double, accepted boolean"
 
 def letters(text: str | None) -> bytes:
     """Lower-cased words of letters between single spaces."""
-    words = regex.findall(r"\p{L}[\p{L}\p{M}]*", (text or "").lower())
+    words = re.findall(r"[^\W\d_]+", (text or "").lower())
     return f" {' '.join(words)} ".encode("utf-8", "replace") if words else b""
 
 
