@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stallbook.llm.decontam import op10_decontaminate
 from stallbook.llm.exact import op5_exact
 from stallbook.llm.language import op7_language
+from stallbook.llm.packing import op8_packing
 from stallbook.llm.shards import op1_shards
 from stallbook.llm.simhash import op3_simhash
 
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op5_exact": op5_exact,
     "op7_language": op7_language,
+    "op8_packing": op8_packing,
     "op10_decontaminate": op10_decontaminate,
 }
 
