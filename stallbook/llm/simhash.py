@@ -40,8 +40,9 @@ BUDGET = 4
 SEED = 42
 #: Fingerprints that one task gets at most, about; groups are formed and split by it.
 TASK_ROWS = 20_000
-#: Node pairs that a task walks at once.
-WALK = 1 << 18
+#: Node pairs that a task walks at once, and pairs of values below which two nodes are compared at once.
+WALK = 1 << 17
+LEAVES = 64
 
 
 def fingerprint(text: str | None, words: int = WORDS) -> int:
@@ -93,7 +94,7 @@ def blocks_for(rows: int, budget: int) -> int:
     """The fewest blocks for which a group of agreeing fingerprints is expected to be small."""
     for blocks in range(budget + 1, 2 * budget + 1):
         agreeing = min(sum(cuts(blocks)[i][1] for i in c) for c in choices(blocks, budget))
-        if rows <= 64 << agreeing:
+        if rows <= 4 << agreeing:
             return blocks
     return 2 * budget
 
@@ -116,6 +117,14 @@ def turned(values: np.ndarray, chosen: tuple[int, ...], blocks: int) -> tuple[np
     return out, sum(cuts(blocks)[i][1] for i in chosen)
 
 
+def leaves(pairs: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Every pair of values below pairs of small nodes."""
+    which = np.repeat(np.arange(pairs.shape[1]), sizes)
+    place = np.arange(len(which)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    across = (pairs[3] - pairs[2])[which]
+    return pairs[0][which] + place // across, pairs[2][which] + place % across
+
+
 def walk(values: np.ndarray, top: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Index pairs of distinct sorted values that agree in the top bits and differ in few others.
 
@@ -132,12 +141,13 @@ def walk(values: np.ndarray, top: int, budget: int) -> Iterator[tuple[np.ndarray
         if pairs.shape[1] > WALK:
             stack += [(depth, pairs[:, at : at + WALK]) for at in range(0, pairs.shape[1], WALK)]
             continue
-        leaf = (pairs[1] - pairs[0] == 1) & (pairs[3] - pairs[2] == 1)
-        a, b = pairs[0][leaf], pairs[2][leaf]
+        sizes = (pairs[1] - pairs[0]) * (pairs[3] - pairs[2])
+        small = sizes <= LEAVES
+        a, b = leaves(pairs[:, small], sizes[small])
         near = (a != b) & (np.bitwise_count(values[a] ^ values[b]) <= budget)
         if near.any():
             yield a[near], b[near]
-        pairs = pairs[:, ~leaf]
+        pairs = pairs[:, ~small]
         if not pairs.shape[1]:
             continue
         bit = np.uint64(1 << (63 - depth))
@@ -223,34 +233,48 @@ def links(fingerprints: DataFrame, budget: int = BUDGET) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
-    """doc_id, fp and component_id of every document."""
-    digests = written(texts(docs).select("doc_id", fingerprint_column(words)("text").alias("fp")), "simhash")
+    """doc_id, fp, component_id, root and mark of every document.
+
+    root, a fingerprint, names the component even where doc_ids are null; mark is a hash of the text.
+    """
+    digests = written(
+        texts(docs).select("doc_id", fingerprint_column(words)("text").alias("fp"), F.xxhash64("text").alias("mark")), "simhash"
+    )
     first = written(digests.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     grown = written(stars(links(first.select("fp"), budget)), "stars")
     nodes = grown.unionByName(grown.select(F.col("root").alias("node"), "root")).distinct()
-    linked = written(nodes.join(first, F.col("node") == F.col("fp")).select("fp", "root", "first_id"), "linked")
+    linked = written(nodes.join(first, F.col("node") == F.col("fp")).select("node", "root", "first_id"), "linked")
     leads = written(linked.groupBy("root").agg(F.min("first_id").alias("lead")), "leads")
-    named = written(linked.join(leads, "root").select(F.col("fp").alias("node"), "lead"), "named")
+    named = written(linked.join(leads, "root").select("node", "root", "lead"), "named")
     labels = written(
         first.join(named, F.col("fp") == F.col("node"), "left").select(
-            F.col("fp").alias("label_fp"), F.coalesce("lead", "first_id").alias("component_id")
+            F.col("fp").alias("label_fp"),
+            F.when(F.col("node").isNull(), F.col("first_id")).otherwise(F.col("lead")).alias("component_id"),
+            F.coalesce("root", "fp").alias("root"),
         ),
         "labels",
     )
-    return digests.join(labels, F.col("fp") == F.col("label_fp")).select("doc_id", "fp", "component_id")
+    return digests.join(labels, F.col("fp") == F.col("label_fp")).select("doc_id", "fp", "component_id", "root", "mark")
 
 
 def keep_first(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -> DataFrame:
-    """One document of each component, the one with the smallest doc_id, with all its columns.
+    """One document of each component with all its columns: the smallest doc_id, nulls last.
 
-    Of several rows with that doc_id the least over all columns stays.
+    Of several texts with that doc_id the one with the least hash stays, of equal rows the least.
     """
     found = written(near_duplicates(docs, words, budget), "near")
-    leads = F.col("doc_id").eqNullSafe(F.col("component_id"))
-    name = F.lit(0)  # the doc_id alone names what goes: rows that share it go or stay together
-    dropped = found.where(~leads).select("doc_id", name.alias("mark"))
-    repeated = found.where(leads).groupBy("doc_id").count().where("count > 1").select("doc_id", name.alias("mark"))
-    return first_of_repeats(without_rows(docs, dropped, name), repeated, name)
+    order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "mark")
+    chosen = written(
+        found.groupBy("root").agg(F.min(order).alias("x"), F.count(F.lit(1)).alias("n")).where("n > 1").select(
+            F.col("root").alias("of_root"), F.col("x.doc_id").alias("chosen_id"), F.col("x.mark").alias("chosen_mark")
+        ),
+        "chosen",
+    )
+    grouped = found.join(chosen, F.col("root") == F.col("of_root"))
+    lead = F.col("doc_id").eqNullSafe(F.col("chosen_id")) & F.col("mark").eqNullSafe(F.col("chosen_mark"))
+    repeated = grouped.where(lead).groupBy("doc_id", "mark").count().where("count > 1")
+    mark = F.xxhash64("text")
+    return first_of_repeats(without_rows(docs, grouped.where(~lead), mark), repeated, mark)
 
 
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
