@@ -18,7 +18,7 @@ empty table gives no rows. Other columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -317,13 +317,15 @@ def found_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int =
     scanner = Scanner(rules)
     # What is sent depends on the rules only: some thousand states of 256 numbers.
     automata = [scanner.all, *(a for pair in scanner.own for a in pair)]
-    sent = docs.sparkSession.sparkContext.broadcast([replace(a, table=np.array(a.table, np.int32)) for a in automata])
+    sent = docs.sparkSession.sparkContext.broadcast(
+        [(np.array(a.table, np.int32), a.accepts, a.start, a.accepting, a.dead) for a in automata]
+    )
     kinds = [r.kind for r in rules]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = Scanner.__new__(Scanner)
         own.rules = rules
-        own.all, *rest = (replace(a, table=a.table.tolist()) for a in sent.value)
+        own.all, *rest = (Automaton(moves.tolist(), *rest) for moves, *rest in sent.value)
         own.own = list(zip(rest[::2], rest[1::2], strict=True))
         for batch in batches:
             rows = []
