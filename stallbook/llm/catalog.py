@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stallbook.llm.decontam import op10_decontaminate
 from stallbook.llm.exact import op5_exact
 from stallbook.llm.language import op7_language
+from stallbook.llm.page_text import op2_main_text
 from stallbook.llm.packing import op8_packing
 from stallbook.llm.secret_scan import op4_secrets
 from stallbook.llm.shards import op1_shards
@@ -16,6 +17,7 @@ from stallbook.llm.simhash import op3_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
+    "op2_main_text": op2_main_text,
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_exact": op5_exact,
