@@ -11,9 +11,11 @@ from stallbook.llm.exact import op5_exact
 from stallbook.llm.language import op7_language
 from stallbook.llm.page_text import op2_main_text
 from stallbook.llm.packing import op8_packing
+from stallbook.llm.quality import op9_quality
 from stallbook.llm.secret_scan import op4_secrets
 from stallbook.llm.shards import op1_shards
 from stallbook.llm.simhash import op3_simhash
+from stallbook.llm.token_counts import op6_token_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
@@ -21,8 +23,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash": op3_simhash,
     "op4_secrets": op4_secrets,
     "op5_exact": op5_exact,
+    "op6_token_counts": op6_token_counts,
     "op7_language": op7_language,
     "op8_packing": op8_packing,
+    "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
 }
 
