@@ -84,27 +84,29 @@ def votes() -> list[Column]:
 def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -> tuple[np.ndarray, np.ndarray]:
     """Probability that each pattern of votes is of a good document, and the labellers' vote rates by class.
 
-    Votes are independent given the class, with a rate for each labeller and class among the documents
-    it votes on; an abstention says nothing. Labellers overlap, and where they do they weigh each other.
-    The start takes a document as bad on any vote against it, as each labeller knows one kind of fault
-    only and votes good on the others.
+    There is one class of good documents and, as faults exclude each other, one class of bad ones for
+    each labeller, which at the start holds what that labeller votes against. Votes are independent
+    given the class, with a rate for each labeller and class among the documents it votes on; an
+    abstention says nothing. Where labellers overlap they weigh each other.
     """
-    against = (patterns < 0).sum(axis=1)
-    good = np.where(against == 0, 0.95, 0.2 / np.maximum(1, against))
-    rates = np.zeros((2, patterns.shape[1]))
     up, down = (patterns > 0).astype(float), (patterns < 0).astype(float)
+    against = down.sum(axis=1)
+    good = np.where(against == 0, 0.95, 0.2 / np.maximum(1, against))
+    spread = np.where(against[:, None] == 0, 1 / patterns.shape[1], down / np.maximum(1, against)[:, None])
+    share = np.column_stack([good, (1 - good)[:, None] * spread])
     for _ in range(rounds):
-        for k, share in enumerate((1 - good, good)):
-            yes, no = up.T @ (share * counts), down.T @ (share * counts)
-            rates[k] = (yes + 0.5) / (yes + no + 1)
-        prior = np.array([((1 - good) * counts).sum() + 1, (good * counts).sum() + 1])
-        logs = np.log(prior / prior.sum())[:, None] + np.log(rates) @ up.T + np.log(1 - rates) @ down.T
-        now = 1 / (1 + np.exp(np.clip(logs[0] - logs[1], -700, 700)))
-        done = np.abs(now - good).max() < 1e-9
-        good = now
+        weight = share * counts[:, None]
+        yes, no = weight.T @ up, weight.T @ down
+        rates = (yes + 0.5) / (yes + no + 1)
+        prior = weight.sum(axis=0) + 1
+        logs = up @ np.log(rates).T + down @ np.log(1 - rates).T + np.log(prior / prior.sum())
+        now = np.exp(logs - logs.max(axis=1, keepdims=True))
+        now /= now.sum(axis=1, keepdims=True)
+        done = np.abs(now - share).max() < 1e-9
+        share = now
         if done:
             break
-    return good, rates
+    return share[:, 0], rates
 
 
 def shapes(text: Column) -> Column:
@@ -116,8 +118,9 @@ def shapes(text: Column) -> Column:
     shape = F.regexp_replace(shape, r"([^\s\p{L}\p{N}])\1+", "$1")
     words = F.split(F.lower(text), r"\s+")
     distinct = F.array_distinct(words)
-    repeats = F.concat(F.lit("\t\t"), F.floor(10 * (1 - F.size(distinct) / F.size(words))).cast("string"))
-    return F.concat(distinct, F.array(repeats), F.transform(F.array_distinct(F.split(shape, r"\s+")), lambda s: F.concat(F.lit("\t"), s)))
+    tenths = F.floor(10 * (1 - F.size(distinct) / F.size(words))).cast("int")
+    repeats = F.transform(F.sequence(F.lit(0), tenths), lambda n: F.concat(F.lit("\t\t"), n.cast("string")))
+    return F.concat(distinct, repeats, F.transform(F.array_distinct(F.split(shape, r"\s+")), lambda s: F.concat(F.lit("\t"), s)))
 
 
 def voted(docs: DataFrame) -> DataFrame:
@@ -153,7 +156,7 @@ def scored(docs: DataFrame) -> DataFrame:
     sample = written(sample.select("words", labels.alias("x")).select("words", "x.label", "x.w").where("w > 0.001"), "training")
     if sample.select("label").distinct().count() < 2:
         return stored.select("doc_id", posterior.alias("score"), (posterior >= KEEP).alias("keep"))
-    learner = LogisticRegression(weightCol="w", regParam=0.01, maxIter=30, standardization=False)
+    learner = LogisticRegression(weightCol="w", regParam=0.001, maxIter=40, standardization=False)
     model = learner.fit(hashed.transform(sample))
     features = hashed.transform(rows.select("doc_id", (F.trim(F.regexp_replace(body, r"\s+", " ")) == "").alias("empty"), shapes(body).alias("words")))
     score = F.when(F.col("empty"), 0.0).otherwise(vector_to_array("probability")[1])
