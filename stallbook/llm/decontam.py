@@ -43,7 +43,7 @@ BLOCK = 500_000
 #: Texts that a task searches at once.
 AT_ONCE = 256
 #: Distinct words whose hashes a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 
 HITS = "array<struct<item_id:long,first_word:int,words:int,similarity:double>>"
 

@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,7 +42,7 @@ SALTS = 64
 NODES = 20_000
 WIDTH = 3
 #: Words whose ids a task remembers.
-REMEMBERED = 1 << 20
+REMEMBERED = 1 << 19
 #: Texts tokenized at once.
 AT_ONCE = 256
 
@@ -85,7 +86,7 @@ class Encoder:
         new = {c: self.parts(c) for c in set().union(*lists) - self.chunks.keys()}
         unseen = list({p for parts in new.values() for p in parts if p} - self.cores.keys())
         for core, found in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            self.cores[core] = np.array(found.ids, "<u4").tobytes()
+            self.cores[core] = array("I", found.ids).tobytes()  # 32 bits, little-endian on all that Spark runs on
         for chunk, (core, tail) in new.items():
             self.chunks[chunk] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
         end = np.array([END], "<u4").tobytes()

@@ -61,7 +61,7 @@ def rebalanced(current: DataFrame, totals: DataFrame, shards: int = SHARDS) -> D
     the corpus: it is folded as one array. `shards` may differ from that of the current version;
     slots of a shard that is gone are dealt anew.
     """
-    slots = current.join(totals, "virtual_slot", "left").select(
+    slots = current.select("version", "virtual_slot", "shard").join(totals, "virtual_slot", "left").select(
         F.coalesce("bytes", F.lit(0)).cast("long").alias("bytes"),
         F.coalesce("rows", F.lit(0)).cast("long").alias("rows"),
         "virtual_slot",

@@ -1,0 +1,338 @@
+"""The corpus operators against brute force on small tables, and their cases."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import duckdb
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from stallbook.llm import decontam, exact, language, packing, page_text, quality, secret_scan, shards, simhash, token_counts
+from stallbook.llm.catalog import QUERIES, SQL
+from stallbook.llm.components import stars
+from stallbook.storage import written
+
+SMALL = "/root/testdata/sf0.001"
+CLASHES = ("row", "fp", "mark", "body", "rank", "salt", "slot", "shard", "root", "votes", "sender")
+
+
+@pytest.fixture(scope="module")
+def documents(spark):
+    return spark.read.parquet(f"{SMALL}/documents.parquet")
+
+
+@pytest.fixture(scope="module")
+def bodies(documents):
+    return {r["doc_id"]: r["text"] or "" for r in documents.collect()}
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    """Nulls, empty and long texts, ties, a repeated row, and columns whose names operators use inside."""
+    rows = [
+        (1, "the cat sat on the mat and the dog", "en", 1),
+        (1, "the cat sat on the mat and the dog", "en", 1),
+        (2, "the  cat sat\ton the mat and the dog", "en", 2),
+        (None, "the cat sat on the mat and the dog", None, 3),
+        (None, None, None, None),
+        (3, "", "en", 4),
+        (4, " \n ", "de", 5),
+        (5, "der Hund und die Katze " * 3000, "de", 6),
+        (5, "another text under the same number", "en", 7),
+        (6, "12 -- !!", "en", 8),
+    ]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, n long")
+    return df.select("*", *[F.lit("x").alias(c) for c in CLASHES])
+
+
+def documents_operators():
+    return {
+        "sized": lambda d: shards.sized(d),
+        "near": simhash.near_duplicates,
+        "secrets": secret_scan.found_secrets,
+        "exact": exact.groups,
+        "tokens": token_counts.section_tokens,
+        "language": language.identified,
+        "packing": packing.sequences,
+        "quality": quality.scored,
+        "decontam": lambda d: decontam.contaminated(d, d.select(F.col("doc_id").alias("item_id"), "text")),
+    }
+
+
+@pytest.mark.parametrize("name", documents_operators())
+def test_cases_and_empty_tables(odd, name):
+    operator = documents_operators()[name]
+    ids = [r["doc_id"] for r in operator(odd).select("doc_id").collect()]
+    assert set(ids) == {1, 2, 3, 4, 5, 6, None} and len(ids) >= 10
+    assert operator(odd.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_stages_take_odd_and_empty_tables(spark, odd, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    for docs in (odd, written(odd.limit(0), "none")):
+        out = stage(spark, docs, SMALL)
+        if name != "packing":
+            assert out.columns == docs.columns
+        out.collect()
+
+
+def test_sharding_law_and_places(spark, documents, bodies):
+    rows = shards.op1_shards(spark, SMALL).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(bodies)
+    sizes, places = np.zeros(16), {}
+    for r in rows:
+        data = bodies[r["doc_id"]].encode()
+        assert (r["size"], r["text_crc32"], r["law"], r["grown_shard"]) == (len(data) + 1, zlib.crc32(data), "bytes", None)
+        sizes[r["shard"]] += r["size"]
+        places.setdefault(r["shard"], []).append(r["slot"])
+    assert all(sorted(p) == list(range(len(p))) for p in places.values())
+    assert sizes.max() - sizes.min() <= max(len(t.encode()) + 1 for t in bodies.values())
+
+
+def test_rebalancing_edits_the_map_and_moves_whole_slots(spark, documents):
+    totals = written(shards.slot_totals(shards.sized(documents)), "totals")
+    first = written(shards.first_map(spark), "map")
+    second = written(shards.rebalanced(first, totals), "map")
+    third = written(shards.rebalanced(second, totals, 17), "map")
+    for version, n, number in ((second, 16, 1), (third, 17, 2)):
+        rows = version.collect()
+        assert len({r["virtual_slot"] for r in rows}) == len(rows) == shards.SLOTS
+        assert {r["shard"] for r in rows} == set(range(n)) and {r["version"] for r in rows} == {number}
+
+
+def test_main_text_of_pages(spark):
+    page = (
+        "<html><script>var a='<p>no</p>'</script><nav><a href=x>Home</a></nav><div class='cookie-notice'>We use cookies on this site</div>"
+        "<article><header><h1>A &amp; B</h1></header><p>One  <b>bo</b>ld &lt;word&gt;.<p>Two<br>three &eacute;.<aside>Not this</aside>"
+        "<form><input>Your name</form></article><section id=comments><p>I liked it a lot, and wish to say so here.</p></section><footer>(c)</footer>"
+    )
+    df = spark.createDataFrame([(1, "u", page), (2, None, None), (None, "", "")], "page_id long, url string, html string")
+    found = {r["page_id"]: r for r in page_text.main_texts(df).collect()}
+    assert found[1]["text"] == "A & B One bold <word>. Two three é." and found[1]["n_chars"] == len(found[1]["text"])
+    assert found[2]["text"] == found[None]["text"] == ""
+    assert page_text.main_texts(df.limit(0)).collect() == []
+
+
+def test_main_text_is_the_article_of_the_given_pages(spark):
+    pages = {r["page_id"]: r["html"] for r in spark.read.parquet(f"{SMALL}/pages.parquet").collect()}
+    for r in page_text.op2_main_text(spark, SMALL).collect():
+        article = re.search(r"<article>(.*?)(</article>|\Z)", pages[r["page_id"]], re.S)[1]
+        plain = re.sub("<[^>]*>", " ", article).replace("&amp;", "&").replace("&quot;", '"').split()
+        assert r["text"].split() == plain
+
+
+def hamming_roots(values):
+    parent = {v: v for v in values}
+
+    def find(v):
+        while parent[v] != v:
+            v = parent[v]
+        return v
+
+    order = sorted(values)
+    for i, v in enumerate(order):
+        for w in order[i + 1 :]:
+            if (v ^ w).bit_count() <= 4 and find(v) != find(w):
+                parent[max(find(v), find(w))] = min(find(v), find(w))
+    return {v: find(v) for v in values}
+
+
+def test_simhash_against_brute_force(spark, bodies):
+    prints = {}
+    for i, text in bodies.items():
+        words = re.findall("[^\x20\x09-\x0d]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+        shingles = [" ".join(words[k : k + 4]) for k in range(max(1, len(words) - 3))] if words else []
+        hashes = [simhash.xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+        prints[i] = sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+    roots = hamming_roots(set(prints.values()))
+    least = {}
+    for i, v in prints.items():
+        least[roots[v]] = min(i, least.get(roots[v], i))
+    got = {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in simhash.op3_simhash(spark, SMALL).collect()}
+    assert got == {i: (f"{v:016x}", least[roots[v]]) for i, v in prints.items()}
+
+
+@pytest.mark.parametrize("task_rows", [20_000, 20])
+def test_trie_join_finds_all_links_also_when_groups_are_dealt_over_tiles(spark, monkeypatch, task_rows):
+    monkeypatch.setattr(simhash, "TASK_ROWS", task_rows)
+    draw = random.Random(3)
+    values = {draw.getrandbits(62) for _ in range(80)}
+    for centre in list(values)[:3]:
+        for _ in range(80):
+            v = centre
+            for _ in range(draw.randint(0, 4)):
+                v ^= 1 << draw.randrange(62)
+            values.add(v)
+    df = written(spark.createDataFrame([(v,) for v in values], "fp long"), "fp")
+    got = {r["node"]: r["root"] for r in stars(simhash.links(df, 4)).collect()}
+    assert {v: got.get(v, v) for v in values} == hamming_roots(values)
+
+
+def test_components_of_a_chain(spark):
+    links = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
+    got = {r["node"]: r["root"] for r in stars(links).collect()}
+    assert got == {**{i: 0 for i in range(1, 41)}, 101: 100}
+
+
+ASSIGN = re.compile("((?:password|passwd|secret|token|api_?key))[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.I | re.A)
+
+
+def base_spans(text):
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{kind}:{a}:{b}" for a, _, b, kind in sorted(found)]
+
+
+def test_secrets_against_regular_expressions(spark, bodies):
+    scanner = secret_scan.Scanner()
+    kinds = [r.kind for r in scanner.rules]
+    draw = random.Random(4)
+    parts = ["password", "PassWD", "secret", "token", "api_key", "ApiKey", "AKIA", "=", ":", " ", '"', "'", "abc123", "é", "日"]
+    parts += ["0123456789abcdef", "deadbeef", "A1B2C3D4E5F6G7H8", "ſecret", "x", "==", "ab", "\n", "toke", "sec", ".", "-"]
+    for _ in range(4000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randint(0, 14)))
+        spans = [s for s in scanner.spans(text.encode()) if s[2] < 3]
+        assert secret_scan.listed(spans, kinds, text, text.encode()) == base_spans(text)
+    for r in secret_scan.op4_secrets(spark, SMALL).collect():
+        want = base_spans(bodies[r["doc_id"]])
+        assert r["base_sha256"] == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert r["n_assign"] == sum(s.startswith("assign") for s in want)
+
+
+def test_exact_duplicates_against_sql(spark, monkeypatch):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SMALL}/documents.parquet'")
+    want = sorted(con.sql(SQL["op5_exact"]).fetchall())
+    for owned in (exact.OWNED, 20):
+        monkeypatch.setattr(exact, "OWNED", owned)
+        assert sorted(map(tuple, exact.op5_exact(spark, SMALL).collect())) == want
+
+
+def test_exact_duplicates_keep_one_of_repeats(odd):
+    kept = [(r["doc_id"], r["text"]) for r in exact.deduplicate(odd).select("doc_id", "text").collect()]
+    assert sorted(k[:1] for k in kept if k[0]) == [(1,), (3,), (4,), (5,), (5,), (6,)]
+    assert len(kept) == 6  # the null doc_ids went: their texts equal those of 1 and 3
+
+
+@pytest.mark.parametrize("width", [20, 44])
+def test_golomb_round_trip(width):
+    draw = np.random.default_rng(width)
+    for n in (1, 2, 1000):
+        values = np.unique(draw.integers(0, 1 << width, n))
+        rice, unary, rest = exact.golomb(values, width)
+        assert (exact.ungolomb(len(values), rice, unary, rest) == values).all()
+
+
+def test_token_counts_add_up_and_follow_the_rule(spark, bodies):
+    import tiktoken
+
+    path, pattern = token_counts.vocabulary()
+    with open(path, "rb") as file:
+        ranks = token_counts.ranks(file.read())
+    names = {v: k for k, v in ranks.items()}
+    encoding = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+    got = {}
+    for r in token_counts.op6_token_counts(spark, SMALL).collect():
+        got.setdefault(r["doc_id"], {})[r["section"]] = r
+    for i, text in bodies.items():
+        counts, data, at = [0] * (text.count("\n") + 1), text.encode(), 0
+        for token in map(names.get, encoding.encode_ordinary(text)):
+            solid = next((k for k, c in enumerate(token) if c not in b" \t\n\r\x0b\x0c"), 0)
+            counts[data[: at + solid].count(b"\n")] += 1
+            at += len(token)
+        assert [got[i][k]["n_tokens"] for k in range(len(counts))] == counts
+        assert "".join(text[r["start"] : r["end"]] for _, r in sorted(got[i].items())) == text
+
+
+def test_language_of_held_out_texts(spark, documents):
+    rows = language.op7_language(spark, "/root/testdata/sf0.01").collect()
+    langs = {r["doc_id"]: r["lang"] for r in spark.read.parquet("/root/testdata/sf0.01/documents.parquet").collect()}
+    held = [r for r in rows if r["held_out"]]
+    assert all(r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0) for r in rows)
+    assert sum(r["lang_pred"] == langs[r["doc_id"]] for r in held) >= 0.97 * len(held)
+
+
+def test_language_rejects_what_says_nothing(odd):
+    rows = language.identified(odd).collect()
+    assert all((r["lang_pred"], r["score"], r["accepted"]) == ("und", 0.0, False) for r in rows if r["doc_id"] in (3, 4, 6))
+
+
+def test_packing_is_a_tiling_of_right_tokens(spark, bodies):
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(packing.vocabulary())
+    rows = packing.op8_packing(spark, SMALL).toPandas()
+    for i, text in bodies.items():
+        ids = np.array([*tokenizer.encode(text, add_special_tokens=False).ids, 1], "<u4")
+        own = rows[rows.doc_id == i].sort_values("piece")
+        assert own.length.sum() == len(ids) and (own.length.iloc[:-1] == 4096).all()
+        assert [zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in own.itertuples()] == own.ids_crc32.tolist()
+    for _, sequence in rows.sort_values("offset").groupby("sequence_id"):
+        assert sequence.offset.tolist() == [0, *np.cumsum(sequence.length)[:-1]] and sequence.length.sum() <= 4096
+    assert rows.sequence_id.nunique() == -(-rows.length.sum() // 4096)
+
+
+@pytest.mark.parametrize("high", [12, 60, 100])
+def test_plan_uses_each_piece_once_and_is_no_worse_than_best_fit(high):
+    draw = np.random.default_rng(high)
+    counts = np.bincount(draw.integers(1, high + 1, 500), minlength=101)
+    plan = packing.packed(counts, nodes=500)
+    used = np.zeros(101, int)
+    for times, fill in plan:
+        assert sum(size * n for size, n in fill) <= 100
+        for size, n in fill:
+            used[size] += times * n
+    assert (used == counts).all()
+    assert sum(t for t, _ in plan) <= sum(t for t, _ in packing.best_fit(counts))
+
+
+def test_quality_agrees_with_labels_it_never_saw(spark):
+    folder = "/root/testdata/sf0.01"
+    kept = {r["doc_id"]: r["keep"] for r in quality.op9_quality(spark, folder).collect()}
+    labels = spark.read.parquet(f"{folder}/labels.parquet").collect()
+    good, bad = ([kept[r["doc_id"]] for r in labels if r["quality"] == q] for q in (1, 0))
+    assert np.mean(good) >= 0.98 and np.mean(bad) <= 0.2
+
+
+def test_decontamination_finds_passages_with_substitutions(spark):
+    draw = random.Random(5)
+    items = [(i, " ".join(f"w{draw.randrange(5000)}" for _ in range(draw.randint(14, 50)))) for i in range(40)]
+    docs = []
+    for i, text in items:
+        words = text.split()
+        for k in draw.sample(range(len(words)), len(words) // 5):
+            words[k] = "other"
+        docs.append((i, "Some words before. " + ", ".join(words).upper() + " and after"))
+        docs.append((100 + i, " ".join(f"w{draw.randrange(5000)}" for _ in range(200))))
+    found = decontam.contaminated(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    )
+    for r in found.collect():
+        assert r["item_ids"] == ([r["doc_id"]] if r["doc_id"] < 100 else [])
+
+
+def test_decontamination_in_several_blocks(spark, documents, monkeypatch):
+    whole = {r["doc_id"]: r["item_ids"] for r in decontam.op10_decontaminate(spark, SMALL).collect()}
+    monkeypatch.setattr(decontam, "BLOCK", 600)
+    assert {r["doc_id"]: r["item_ids"] for r in decontam.op10_decontaminate(spark, SMALL).collect()} == whole
+    assert any(whole.values())
+
+
+def test_pipeline_removes_what_its_stages_find(spark, documents):
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    left = documents
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        left = written(stage(spark, left, SMALL), "left")
+    assert {r["doc_id"] for r in rows} == {r["doc_id"] for r in left.collect()}
+    assert not [r for r in decontam.contaminated(left, spark.read.parquet(f"{SMALL}/benchmark.parquet")).collect() if r["contaminated"]]
+    assert all(r["kept"] for r in exact.groups(left).collect())
+
+
+def test_catalog_has_all_ten():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
