@@ -7,9 +7,10 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stallbook.operators import audit, checks, summaries
-from stallbook.operators.lines import classified_lines, eligible_lines, judge
+from stallbook.operators.lines import COPIES, classified_lines, eligible_lines, judge, judged_lines
 from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import comparison_table
 from stallbook.schema import RAW_COLUMNS, Settings
@@ -21,9 +22,14 @@ CONCURRENT_REPORTS = 4
 
 @dataclass(frozen=True)
 class CleanLedger:
-    """Judged lines and what follows from them; charged and profile are a few rows."""
+    """Judged lines and what follows from them; charged and profile are a few rows.
+
+    judged has distinct lines with their copies; counted has the lines that the tables count, which
+    are the same or, with duplicates kept, every copy as a line of its own.
+    """
 
     judged: DataFrame
+    counted: DataFrame
     lines: DataFrame
     eligible: DataFrame
     charged: DataFrame
@@ -47,11 +53,16 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     counts, under otherwise equal rules.
     """
     judged = written(judge(ledger.lines).drop(*RAW_COLUMNS), "judged")
+    counted = judged
+    if not remove_duplicates:
+        single = ledger.lines.withColumn(COPIES, F.lit(1).cast("long"))
+        counted = written(judged_lines(single).drop(*RAW_COLUMNS), "judged-copies")
     charged, profile = audit_and_profile(judged, ledger.column_names, remove_duplicates)
     return CleanLedger(
         judged=judged,
-        lines=classified_lines(judged),
-        eligible=eligible_lines(judged),
+        counted=counted,
+        lines=classified_lines(counted),
+        eligible=eligible_lines(counted),
         charged=charged,
         excluded=audit.excluded_entries(judged, remove_duplicates),
         profile=profile,
@@ -68,7 +79,7 @@ def reconcile(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
             checks.stage_checks(audit.stage_audit(cleaned.charged)),
             checks.row_checks(cleaned.charged, cleaned.profile),
             checks.exclusion_checks(tables["excluded_entries.csv"], cleaned.charged),
-            checks.category_checks(cleaned.judged),
+            checks.category_checks(cleaned.counted),
             checks.customer_checks(overall),
             checks.group_checks(
                 overall,
@@ -92,6 +103,11 @@ def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[
     with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
         # Two passes over the lines leave all that six of the tables need.
         totals_job = pool.submit(written, summaries.country_month_totals(lines), "totals")
+        # The comparison is always of distinct lines with all their copies.
+        compared_job = totals_job
+        if cleaned.counted is not cleaned.judged:
+            distinct = summaries.country_month_totals(classified_lines(cleaned.judged))
+            compared_job = pool.submit(written, distinct, "compared")
         customers_job = pool.submit(written, summaries.customer_totals(lines), "customers")
         reports = {
             "overall_summary.csv": lambda: summaries.overall_table(
@@ -101,7 +117,7 @@ def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[
             "country_summary.csv": lambda: summaries.country_table(totals_job.result()),
             "monthly_summary.csv": lambda: summaries.month_table(totals_job.result(), settings),
             "customer_summary.csv": lambda: summaries.customer_table(customers_job.result()),
-            "duplicate_comparison.csv": lambda: comparison_table(totals_job.result()),
+            "duplicate_comparison.csv": lambda: comparison_table(compared_job.result()),
             "excluded_entries.csv": lambda: cleaned.excluded,
             "cleaning_summary.csv": lambda: cleaned.cleaning,
             "large_value_lines.csv": lambda: summaries.large_value_lines(lines),

@@ -6,6 +6,7 @@ from conftest import DEFAULT, line
 from stallbook.operators import audit
 from stallbook.operators.lines import distinct_lines, eligible_lines, judge
 from stallbook.operators.metrics import category_counts
+from stallbook.plans.analysis import build_analysis
 from stallbook.schema import EXCLUDED_CODES, REMOVAL_STEPS
 
 
@@ -167,6 +168,20 @@ def test_deduplication_can_be_turned_off(cleaned):
     assert without.excluded.first().basis == "raw"
 
 
+def test_every_copy_counts_in_all_tables_with_duplicates_kept(cleaned):
+    sale = line(InvoiceNo="7001", StockCode="K9", Quantity="4", UnitPrice="2.5")
+    lines = [sale, sale, sale, line(InvoiceNo="C7002", StockCode="K9", Quantity="-1", UnitPrice="2.5")]
+    kept = cleaned(*lines, remove_duplicates=False)
+    assert sorted(row.source_row for row in kept.eligible.collect()) == [2, 3, 4, 5]
+    tables = build_analysis(kept)
+    product = tables["product_summary.csv"].first().asDict()
+    audited = audit.eligible_total(kept.charged).first()
+    assert audited.remaining_rows == 4
+    assert audited.remaining_signed_value_positive_price_gbp == product["net_value_gbp"] == 27.5
+    removed = build_analysis(cleaned(*lines))["product_summary.csv"].first()
+    assert removed.net_value_gbp == 7.5
+
+
 def test_only_cancellations_are_a_valid_population(cleaned):
     result = cleaned(line(InvoiceNo="C1", Quantity="-2"))
     assert result.eligible.first().transaction_category == "cancellation"
