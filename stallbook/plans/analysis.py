@@ -13,6 +13,7 @@ from stallbook.operators import audit, checks, summaries
 from stallbook.operators.lines import COPIES, classified_lines, eligible_lines, judge, judged_lines
 from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import comparison_table
+from stallbook.plans.publish import in_published_order
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
 from stallbook.storage import written
@@ -124,7 +125,8 @@ def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[
         }
 
         def build(name: str) -> DataFrame:
-            return written(reports[name](), name.removesuffix(".csv"))
+            # Rows read back are in no order, so the order is put on what is returned.
+            return in_published_order(name, written(reports[name](), name.removesuffix(".csv")))
 
         return dict(zip(reports, pool.map(build, reports)))
 
