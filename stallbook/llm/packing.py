@@ -23,13 +23,13 @@ not read.
 
 from __future__ import annotations
 
-import re
 import zlib
-from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -43,8 +43,11 @@ NODES = 20_000
 WIDTH = 3
 #: Words whose ids a task remembers.
 REMEMBERED = 1 << 19
-#: Texts tokenized at once.
-AT_ONCE = 256
+#: Bytes of text tokenized at once, and words of letters given to the tokenizer together.
+AT_ONCE = 4 << 20
+JOINED = 256
+#: How the vocabulary marks a token that ends a word.
+WORD_END = "</w>"
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
@@ -56,15 +59,20 @@ def vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of whole texts as little-endian 32-bit bytes; words seen before are not encoded again."""
+    """Ids of whole texts; words seen before are not encoded again."""
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(model)
-        self.chunks: dict[str, bytes] = {}
-        self.cores: dict[str, bytes] = {}
-        self.split = re.compile(r"[^\x20\x09-\x0D]+").findall
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
+        self.closes[[n for token, n in vocabulary.items() if token.endswith(WORD_END)]] = True
+        self.forget()
+
+    def forget(self) -> None:
+        self.chunks: dict[str, bytes] = {"": b""}
+        self.cores: dict[str, bytes] = {"": b""}
 
     @staticmethod
     def parts(chunk: str) -> tuple[str, str]:
@@ -79,18 +87,57 @@ class Encoder:
         tail = chunk[len(core) :]
         return (core.lower() if core.isascii() and core.isalpha() else core), tail
 
-    def encode(self, batch: list[str | None]) -> list[bytes]:
+    def encode_cores(self, cores: list[str]) -> None:
+        """Words of Latin letters are encoded many at once and parted where a token ends a word."""
+        plain = [x for x in cores if x.isalpha() and max(x) <= "\u024f" and x.lower().isalpha()]
+        groups = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
+        apart = list(set(cores).difference(plain))
+        joined = self.tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False)
+        for group, found in zip(groups, joined, strict=True):
+            ids = np.array(found.ids, "<u4")
+            stops = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
+            if len(stops) != len(group) or stops[-1] != 4 * len(ids):
+                apart += group  # a vocabulary that does not mark the ends of words
+                continue
+            raw = ids.tobytes()
+            for core, low, high in zip(group, [0, *stops], stops):
+                self.cores[core] = raw[low:high]
+        for core, found in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False), strict=True):
+            self.cores[core] = np.array(found.ids, "<u4").tobytes()
+
+    def words(self, chunks: list[str]) -> list[bytes]:
+        """The ids of each word as little-endian 32-bit bytes."""
         if len(self.chunks) > REMEMBERED or len(self.cores) > REMEMBERED:
-            self.chunks, self.cores = {}, {}
-        lists = [self.split(x or "") for x in batch]
-        new = {c: self.parts(c) for c in set().union(*lists) - self.chunks.keys()}
-        unseen = list({p for parts in new.values() for p in parts if p} - self.cores.keys())
-        for core, found in zip(unseen, self.tokenizer.encode_batch_fast(unseen, add_special_tokens=False), strict=True):
-            self.cores[core] = array("I", found.ids).tobytes()  # 32 bits, little-endian on all that Spark runs on
+            self.forget()
+        new = {c: self.parts(c) for c in chunks if c not in self.chunks}
+        self.encode_cores(list({p for parts in new.values() for p in parts} - self.cores.keys()))
         for chunk, (core, tail) in new.items():
             self.chunks[chunk] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
-        end = np.array([END], "<u4").tobytes()
-        return [b"".join(map(self.chunks.__getitem__, words)) + end for words in lists]
+        return [self.chunks[c] for c in chunks]
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in a row, each closed by END, and where each text ends.
+
+        Each different word is looked up once for all texts, its ids are then copied to its places.
+        """
+        split = pc.ascii_split_whitespace(texts.fill_null(""))
+        placed = split.flatten().dictionary_encode()
+        ids = [*self.words(placed.dictionary.to_pylist()), np.array([END], "<u4").tobytes()]
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        pool, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        last = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64))
+        order = np.insert(placed.indices.to_numpy().astype(np.int64), last, len(ids) - 1)
+        taken = sizes[order]
+        after = np.cumsum(taken)
+        source = np.repeat(starts[order] - after + taken, taken) + np.arange(after[-1])
+        return pool[source], after[last + np.arange(len(last))]
+
+
+def groups_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Rows from and to, of about AT_ONCE bytes of text together; a longer text is alone."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    borders = [0, *(np.flatnonzero(np.diff(sizes // AT_ONCE)) + 1).tolist(), len(texts)]
+    return ((low, high) for low, high in zip(borders, borders[1:]) if low < high)
 
 
 def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
@@ -98,24 +145,28 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
     with open(path or vocabulary(), encoding="utf-8") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file of fixed size
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder = Encoder(model.value)
         for batch in batches:
-            for low in range(0, len(batch), AT_ONCE):
-                part = batch.iloc[low : low + AT_ONCE]
-                rows = []
-                for row, ids in enumerate(encoder.encode(part["text"].tolist())):
-                    for number, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        own = ids[at : at + 4 * capacity]
-                        rows.append((row, number, at // 4, len(own) // 4, zlib.crc32(own)))
-                out = pd.DataFrame(rows, columns=["doc_id", "piece", "start", "length", "ids_crc32"])
-                out["doc_id"] = part["doc_id"].iloc[out["doc_id"]].to_numpy()
-                yield out
-
-    return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
+            doc_ids, bodies = batch.column("doc_id"), batch.column("text")
+            for low, high in groups_of(bodies):
+                ids, ends = encoder.encode(bodies.slice(low, high - low))
+                rows, first = [], 0
+                for row, end in enumerate(ends.tolist(), low):
+                    for number, at in enumerate(range(first, end, capacity)):
+                        own = ids[at : min(at + capacity, end)]
+                        rows.append((row, number, at - first, len(own), zlib.crc32(own)))
+                    first = end
+                row, number, start, length, crc = np.array(rows, np.int64).T
+                yield pa.RecordBatch.from_arrays(
+                    [doc_ids.take(pa.array(row)), pa.array(number.astype(np.int32)), *map(pa.array, (start, length, crc))],
+                    names=["doc_id", "piece", "start", "length", "ids_crc32"],
+                )
+
+    return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         cut, PIECES
     )
 
