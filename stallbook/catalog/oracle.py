@@ -111,6 +111,9 @@ SURVIVORS = f"""{JUDGED}, survivor AS (
 )"""
 
 ELIGIBLE = f"""{SURVIVORS}, eligible AS (SELECT * FROM survivor WHERE occurrence = 1)"""
+EVERY_COPY = f"""{SURVIVORS}, eligible AS (
+  SELECT * REPLACE (CAST(1 AS BIGINT) AS copies) FROM survivor
+)"""
 
 
 def money(value: str) -> str:
@@ -360,6 +363,13 @@ def cleaning() -> str:
 
 
 def oracle() -> dict[str, str]:
+    """All SQL by query; with duplicates kept, the same tables come from every copy."""
+    tables = tables_sql()
+    kept = ("eligible_lines", "overall_summary", "product_summary")
+    return tables | {f"{name}_without_dedup": tables[name].replace(ELIGIBLE, EVERY_COPY) for name in kept}
+
+
+def tables_sql() -> dict[str, str]:
     best = """SELECT *, row_number() OVER (ORDER BY s DESC, Country) AS place
         FROM country WHERE s > 0"""
     products = f"""{ELIGIBLE}, {LABELS} SELECT StockCode, Description, {METRICS},

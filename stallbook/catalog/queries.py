@@ -15,6 +15,7 @@ from stallbook.operators.lines import (
     distinct_lines,
     eligible_lines,
     judge,
+    judged_lines,
     parsed_lines,
 )
 from stallbook.operators.metrics import category_counts, metrics, metrics_by
@@ -72,6 +73,11 @@ def _lines(spark, folder, numbered=False):
     return classified_lines(_judged(spark, folder, numbered))
 
 
+def _every_line(spark, folder, numbered=False):
+    """Judged lines with duplicates kept: each copy is a line of its own."""
+    return judged_lines(_raw(spark, folder, numbered).withColumn("copies", F.lit(1).cast("long")))
+
+
 # --- sources and scalar functions, on every raw line
 
 
@@ -384,6 +390,21 @@ def metrics_with_duplicates(spark, folder):
     return portable(metrics(with_every_copy(_lines(spark, folder))))
 
 
+@query
+def eligible_lines_without_dedup(spark, folder):
+    return portable(eligible_lines(_every_line(spark, folder, numbered=True)))
+
+
+@query
+def overall_summary_without_dedup(spark, folder):
+    return portable(summaries.overall_summary(classified_lines(_every_line(spark, folder))))
+
+
+@query
+def product_summary_without_dedup(spark, folder):
+    return portable(summaries.product_summary(classified_lines(_every_line(spark, folder))))
+
+
 @query
 def reconciliation(spark, folder):
     """All checks of a whole run, each with both totals."""

@@ -13,7 +13,6 @@ NUMBER_TEXT = (
 )
 
 CAPACITY_ERROR = "Quantity times price is larger than the ledger can hold."
-PRECISION_ERROR = "UnitPrice has more decimals than the ledger keeps exactly."
 
 # Copies are multiplied in two limbs so that no product needs more than 38 digits.
 LIMB = 100_000_000
@@ -42,21 +41,20 @@ def exact_price(text: Column) -> Column:
 
 
 def signed_value(
-    computable: Column, quantity: Column, price: Column, price_double: Column
+    computable: Column, quantity: Column, price: Column, quantity_double: Column, price_double: Column
 ) -> Column:
-    """Exact quantity x price, null when either is unusable.
+    """Quantity x price, null when either is unusable; fails rather than overflowing.
 
-    Fails rather than overflowing, or rounding a price it cannot hold.
+    Exact where both numbers are held exactly; numbers with more decimals are multiplied as doubles
+    and rounded to the nine decimals of a value, well within the tolerance of reconciliation.
     """
-    product = F.coalesce(
-        F.try_multiply(quantity, price).cast(VALUE),
-        F.raise_error(CAPACITY_ERROR).cast(VALUE),
-    )
-    held_exactly = F.coalesce(price.cast("double") == price_double, F.lit(True))
-    return F.when(
-        computable,
-        F.when(held_exactly, product).otherwise(F.raise_error(PRECISION_ERROR).cast(VALUE)),
+    held = (price.cast("double") == price_double) & (quantity.cast("double") == quantity_double)
+    exact = F.try_multiply(quantity, price).cast(VALUE)
+    # Null, and so an error, for numbers too large for the exact columns.
+    product = F.when(held, exact).when(
+        quantity.isNotNull() & price.isNotNull(), (quantity_double * price_double).try_cast(VALUE)
     )
+    return F.when(computable, F.coalesce(product, F.raise_error(CAPACITY_ERROR).cast(VALUE)))
 
 
 def price_status(computable: Column, price: Column) -> Column:

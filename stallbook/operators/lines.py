@@ -63,7 +63,7 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
         .withColumn(
             "signed_value",
             numbers.signed_value(
-                F.col("computable"), F.col("quantity_exact"), F.col("price_exact"), price
+                F.col("computable"), F.col("quantity_exact"), F.col("price_exact"), quantity, price
             ),
         )
     )

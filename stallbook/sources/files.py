@@ -41,7 +41,8 @@ def as_text(field: T.StructField) -> Column:
     """One source column as raw text; only null and the empty text are missing."""
     column = F.col(f"`{field.name}`")
     if isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-        return number_as_identifier(column.cast("double")).alias(field.name)
+        # By way of its text, so that a float of 0.1 is not 0.10000000149011612.
+        return number_as_identifier(column.cast("string").cast("double")).alias(field.name)
     text = column if isinstance(field.dataType, T.StringType) else column.cast("string")
     return F.when(text != "", text).alias(field.name)
 

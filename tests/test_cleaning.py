@@ -1,5 +1,7 @@
 """Removal rules, their order, their audit and the report on excluded codes."""
 
+from decimal import Decimal
+
 import pytest
 from conftest import DEFAULT, line
 
@@ -23,7 +25,7 @@ def test_every_excluded_code_is_reported_with_its_category(cleaned):
     assert {row.row_count for row in rows} == {1}
     # Binary order: capitals before small letters.
     assert [row.StockCode for row in rows] == sorted(code for code, _, _ in EXCLUDED_CODES)
-    assert [row.StockCode for row in result.eligible.collect()] == ["A1"]
+    assert [row.StockCode for row in result.eligible.collect()] == ["TP-4"]
 
 
 @pytest.mark.parametrize(
@@ -75,37 +77,44 @@ def test_no_excluded_code_gives_an_empty_typed_table(cleaned):
     assert excluded.count() == 0
 
 
-def test_each_rule_removes_one_row_in_order(cleaned):
+def test_rules_charge_a_line_to_the_first_that_removes_it(cleaned):
+    """A line with every defect at once loses them one by one, from the first rule to the last."""
+    defects = [
+        {"StockCode": "DOT"},
+        {"InvoiceDate": "soon"},
+        {"UnitPrice": "-2"},
+        {"UnitPrice": "0"},
+        {"Quantity": "0"},
+        {"InvoiceNo": "C9", "Quantity": "6"},
+    ]
+    for first, step in enumerate(REMOVAL_STEPS[1:]):
+        worst = {}
+        for defect in reversed(defects[first:]):
+            worst.update(defect)
+        result = cleaned(line(**worst), line(**worst), line())
+        removed = {name: row.removed_rows for name, row in steps(result).items() if row.removed_rows}
+        assert removed == {"exact_duplicates": 1, step: 1}
+
+
+def test_stage_rows_and_categories(cleaned):
     lines = [
-        line(),
-        line(),
-        line(StockCode="POST", Quantity="-2"),
-        line(InvoiceNo=" "),
-        line(InvoiceNo="101", UnitPrice="-1"),
-        line(InvoiceNo="102", UnitPrice="0", Quantity="0"),
-        line(InvoiceNo="103", Quantity="0"),
-        line(InvoiceNo="C105", Quantity="2"),
-        line(InvoiceNo=" c106 ", Quantity="-2"),
-        line(InvoiceNo="107", Quantity="-1"),
+        line(InvoiceNo=f"{number}", StockCode=code, Quantity=quantity, UnitPrice=price)
+        for number, (code, quantity, price) in enumerate(
+            [("M", "1", "9")] * 2 + [("J3", "x", "9")] * 3 + [("J3", "1", "-9")] * 4 + [("J3", "2", "6")] * 5
+        )
     ]
-    result = cleaned(*lines)
+    lines += [line(InvoiceNo="c50", StockCode="J3", Quantity="-1", UnitPrice="6"), line(InvoiceNo="51", Quantity="-1")]
+    result = cleaned(*lines, *lines[:2])
     rows = audit.stage_audit(result.charged).orderBy("step_no").collect()
     assert [row.step for row in rows] == REMOVAL_STEPS
-    assert [row.removed_rows for row in rows] == [1] * 7
-    assert [row.input_rows for row in rows] == list(range(10, 3, -1))
-    assert [row.remaining_rows for row in rows] == list(range(9, 2, -1))
-    survivors = {row.InvoiceNo: row for row in result.eligible.collect()}
-    assert {number: row.transaction_category for number, row in survivors.items()} == {
-        "100": "positive_sale",
-        "c106": "cancellation",
-        "107": "other_negative",
-    }
-    assert sum(row.signed_value_gbp for row in survivors.values()) == 20
+    assert [(row.input_rows, row.removed_rows, row.remaining_rows) for row in rows] == [
+        (18, 2, 16), (16, 2, 14), (14, 3, 11), (11, 4, 7), (7, 0, 7), (7, 0, 7), (7, 0, 7),
+    ]
     total = audit.eligible_total(result.charged).first()
-    assert total.remaining_rows == 3
-    assert total.remaining_signed_value_positive_price_gbp == 20
+    assert total.remaining_rows == 7
+    assert total.remaining_signed_value_positive_price_gbp == 5 * 12 - 6 - 8
     assert {row.transaction_category: row.row_count for row in category_counts(result.lines).collect()} == {
-        "positive_sale": 1, "cancellation": 1, "other_negative": 1,
+        "positive_sale": 5, "cancellation": 1, "other_negative": 1,
     }
 
 
@@ -146,26 +155,24 @@ def test_optional_fields_may_be_absent(eligible):
 
 def test_duplicates_are_found_before_normalising(eligible):
     bare = {"CustomerID": None}
-    rows = eligible(line(**bare), line(**bare), line(**bare, StockCode=" A1 ")).collect()
+    rows = eligible(line(**bare), line(**bare), line(**bare, StockCode=" TP-4 ")).collect()
     assert sorted(row.source_row for row in rows) == [2, 4]
-    assert {row.StockCode for row in rows} == {"A1"}
+    assert {row.StockCode for row in rows} == {"TP-4"}
 
 
-def test_deduplication_can_be_turned_off(cleaned):
-    lines = [
-        line(),
-        line(),
-        line(InvoiceNo="C101", Quantity="-2"),
-        line(InvoiceNo="102", Quantity="-1"),
-        line(StockCode="POST", UnitPrice="1000"),
-    ]
-    with_removal, without = cleaned(*lines), cleaned(*lines, remove_duplicates=False)
-    for result, removed, remaining, value in ((with_removal, 1, 3, 20), (without, 0, 4, 70)):
-        assert steps(result)["exact_duplicates"].removed_rows == removed
-        total = audit.eligible_total(result.charged).first()
-        assert total.remaining_rows == remaining
-        assert total.remaining_signed_value_positive_price_gbp == value
-    assert without.excluded.first().basis == "raw"
+@pytest.mark.parametrize("copies", [1, 4])
+def test_kept_copies_reach_audit_lines_and_exclusions(cleaned, copies):
+    lines = [line(Quantity="7", UnitPrice="1.5")] * copies + [line(StockCode="BANK CHARGES")] * copies
+    kept = cleaned(*lines, remove_duplicates=False)
+    assert steps(kept)["exact_duplicates"].removed_rows == 0
+    total = audit.eligible_total(kept.charged).first()
+    assert total.remaining_rows == kept.eligible.count() == copies
+    assert total.remaining_signed_value_positive_price_gbp == Decimal("10.5") * copies
+    excluded = kept.excluded.first()
+    assert (excluded.basis, excluded.row_count) == ("raw", copies)
+    removed = cleaned(*lines)
+    assert steps(removed)["exact_duplicates"].removed_rows == 2 * (copies - 1)
+    assert removed.eligible.count() == 1
 
 
 def test_every_copy_counts_in_all_tables_with_duplicates_kept(cleaned):
@@ -189,7 +196,7 @@ def test_only_cancellations_are_a_valid_population(cleaned):
 
 def test_copies_keep_their_count_and_first_row(raw):
     row = distinct_lines(raw(line(), line(StockCode="Z"), line(), line())).where(
-        "StockCode = 'A1'"
+        "StockCode = 'TP-4'"
     ).first()
     assert (row.copies, row.source_row) == (3, 2)
 
@@ -217,9 +224,18 @@ def test_values_beyond_capacity_fail(eligible, change):
         eligible(line(**change)).collect()
 
 
-def test_prices_are_never_rounded(eligible):
-    with pytest.raises(Exception, match="more decimals"):
-        eligible(line(UnitPrice="0.12345678")).collect()
+@pytest.mark.parametrize(
+    "quantity, price, value",
+    [
+        ("3", "0.30000000000000004", "0.900000000"),
+        ("8", "1.2345678", "9.876542400"),
+        ("1.23456", "10", "12.345600000"),
+        ("3", "0.000001", "0.000003000"),
+    ],
+)
+def test_every_finite_number_has_its_value(raw, quantity, price, value):
+    row = judge(raw(line(Quantity=quantity, UnitPrice=price))).first()
+    assert str(row.signed_value) == value
 
 
 def test_line_order_and_partitions_do_not_matter(spark, raw):
