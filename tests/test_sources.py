@@ -241,7 +241,7 @@ def test_profile_of_signs_and_missing_values(raw):
     assert profile.c_prefixed_invoice_rows == 1
     assert profile.negative_quantity_rows == 2
     assert profile.negative_quantity_without_c_prefix == 1
-    assert (profile.minimum_quantity, profile.maximum_quantity) == (-2.0, 5.0)
+    assert (profile.minimum_quantity, profile.maximum_quantity) == (-2.0, 3.0)
     # A copy in all eight columns is a duplicate, other columns do not matter.
     again = profile_of(raw(*lines, lines[0], line(Description="Other")))
     assert again.exact_duplicates_beyond_first == 1
@@ -267,7 +267,7 @@ def test_profile_of_dirty_rows(raw):
     assert profile.invalid_or_nonfinite_price_rows == 2
     assert profile.invalid_or_missing_date_rows == 2
     assert profile.missing_by_column["InvoiceDate"] == 1
-    assert profile.first_timestamp == "2011-01-01 00:00:00"
+    assert profile.first_timestamp == "2011-06-14 09:30:00"
 
 
 def test_profile_without_valid_values(raw):
