@@ -1,8 +1,10 @@
 """Language identification by compression.
 
 Each language has a raw-content zstandard dictionary of its own text. A text is encoded with every
-dictionary, and the language whose dictionary leaves the fewest bytes is its own. When the two best
-are too close, the text is rejected; it still gets the better guess.
+dictionary, and the language whose dictionary leaves the fewest bytes is its own. A text is rejected, and still gets the better guess,
+when the second best is less than MARGIN bytes or RATE of the best size behind it, as for random letters
+and languages that were not learnt; and when windows with more than OTHERS of its bytes are as clearly
+another language's, as in texts of two languages. These limits were chosen on rows that are learnt from.
 
 Only letters count: a text is lower-cased and its words of letters are joined by spaces, so digits,
 markup and symbols say nothing. It is encoded in pieces, as a long piece would find its matches in
@@ -38,8 +40,12 @@ SAMPLE_CHARS = 500
 DICTIONARY = 1 << 16
 PIECE = 2048
 PAD = b" " * 128
-#: Bytes by which the best language must beat the second.
-MARGIN = 1
+#: Bytes, and share of its own size, by which the best language must beat the second.
+MARGIN = 3
+RATE = 0.08
+#: Share of the bytes that may be in windows of other languages; a window is a quarter of a text between these sizes.
+OTHERS = 0.25
+WINDOWS = (48, 512)
 UNKNOWN = "und"
 
 PREDICTION = "lang_pred string, score double, accepted boolean"
@@ -100,6 +106,22 @@ def encoded_sizes(text: str | None, made: list[zstandard.ZstdCompressor]) -> lis
     return [sum(len(c.compress(p)) for p in pieces) for c in made]
 
 
+def clear(best: float, second: float) -> bool:
+    return second - best >= max(MARGIN, RATE * best)
+
+
+def foreign(text: str | None, best: int, made: list[zstandard.ZstdCompressor]) -> float:
+    """The share of a text's bytes in windows that are clearly of another language than the best."""
+    body = letters(text)
+    size = min(WINDOWS[1], max(WINDOWS[0], -(-len(body) // 4)))
+    others = 0
+    for at in range(0, len(body), size):
+        window = body[at : at + size]
+        sizes = [len(c.compress(window + PAD)) for c in made]
+        others += len(window) * clear(min(sizes), sizes[best])
+    return others / len(body)
+
+
 def predictor(model: list[tuple[str, bytes]]):
     """A column function: text to language, score and whether it is accepted."""
     names, dictionaries = [k for k, _ in model], [v for _, v in model]
@@ -110,8 +132,9 @@ def predictor(model: list[tuple[str, bytes]]):
             return UNKNOWN, 0.0, False
         best = int(np.argmin(sizes))
         over = np.array(sizes, float) - sizes[best]
-        margin = min(np.delete(over, best), default=float("inf"))
-        return names[best], float(1 / np.exp(-over).sum()), bool(margin >= MARGIN)
+        second = min(np.delete(sizes, best), default=float("inf"))
+        accepted = clear(sizes[best], second) and foreign(text, best, made) <= OTHERS
+        return names[best], float(1 / np.exp(-over).sum()), bool(accepted)
 
     @F.pandas_udf(PREDICTION)
     def predict(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
