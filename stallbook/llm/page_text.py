@@ -8,7 +8,9 @@ of labelled blocks below, tells main text from the rest. Blocks of main text are
 
 Scripts, styles, comments and other content that is not shown give no blocks. Character references
 are decoded; white space inside a block becomes one space. Markup may be broken: tags that are never
-closed or cut off, references without their semicolon, a < that begins no tag.
+closed or cut off, references without their semicolon, a < that begins no tag. Only elements of raw text (RAW) that are
+never closed run to the end of the page; other hidden ones end where their parent ends, and one that
+closes itself, as in <svg/>, is empty.
 
 Cases: a null or empty html, and one without main text, gives an empty text. Pages are read whole and
 texts are not shortened. Repeated pages are extracted like any. An empty table gives no rows. Other
@@ -30,12 +32,14 @@ from pyspark.sql import functions as F
 from stallbook.llm.tables import table
 
 # Elements and words of HTML.
-HIDDEN = "script style noscript template textarea select option svg iframe object canvas audio video title math datalist".split()
+RAW = "script style textarea title iframe noscript".split()
+HIDDEN = [*RAW, *"template select option svg object canvas audio video math datalist".split()]
 INLINE = (
     "a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd mark q rp rt ruby s samp small span strike "
     "strong sub sup time tt u var wbr"
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
+PARAGRAPH_ENDS = "p div section article main aside nav header footer h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr form".split()
 MAIN = "article main".split()
 ASIDE = "nav header footer aside form menu dialog button fieldset label figcaption".split()
 MAIN_WORDS = set("article articlebody main content post entry story".split())
@@ -76,12 +80,14 @@ LABELLED = """
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    rf"|<(?P<hidden>{'|'.join(HIDDEN)})\b(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=hidden)\s*>|\Z)"
+    rf"|<(?P<hidden>{'|'.join(RAW)})(?=[\s/>])(?:\"[^\"]*\"|'[^']*'|[^'\">])*>.*?(?:</(?P=hidden)(?=[\s/>])[^>]*(?:>|\Z)|\Z)"
     r"|<(?P<end>/?)(?P<tag>[a-z][^\s/>]*)(?P<attributes>(?:\"[^\"]*\"|'[^']*'|[^'\"<>])*|[^>]*?)(?:>|\Z|(?=<))"
     r"|<[!?/][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)",
     re.IGNORECASE | re.DOTALL,
 )
+#: A tag that closes itself; the slash of a value without quotes is the value's.
+_CLOSED = re.compile(r"(?<!=)(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\s*\Z")
 _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 
@@ -129,6 +135,8 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
 
     for token in _TOKEN.finditer(html or ""):
         if token["text"] is not None:
+            if any(kind == "h" for _, kind in stack):
+                continue
             text = references.unescape(token["text"])
             parts.append(text)
             if anchor:
@@ -137,6 +145,28 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
         tag = (token["tag"] or "").lower()
         if not tag:
             continue
+        if not token["end"] and tag in PARAGRAPH_ENDS:
+            # A film or drawing surface that is never closed ends with its paragraph.
+            opened = next((k for k, (_, kind) in enumerate(stack) if kind == "h"), 0)
+            if opened and stack[opened - 1][0] == "p" and stack[opened][0] in ("video", "audio", "canvas"):
+                del stack[opened:]
+        hidden = any(kind == "h" for _, kind in stack)
+        if tag in HIDDEN and not token["end"]:
+            if not _CLOSED.search(token["attributes"] or ""):
+                stack.append((tag, "h"))
+            continue
+        if hidden and not token["end"]:
+            if tag not in VOID and not _CLOSED.search(token["attributes"] or ""):
+                stack.append((tag, ""))
+            continue
+        if hidden:
+            # What is hidden ends by its own tag, which parts no text, or by its parent's.
+            if not any(t == tag for t, _ in stack):
+                continue
+            at = max(k for k, (t, _) in enumerate(stack) if t == tag)
+            if any(kind == "h" for _, kind in stack[: at + 1]):
+                del stack[at:]
+                continue
         if tag == "br":
             parts.append(" ")
         if tag not in INLINE:

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from stallbook.llm import language
+from stallbook.llm import language, page_text
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -47,3 +47,26 @@ def test_language_rejects_halves_and_keeps_clean_texts(spark, model):
             size = min(len(a["text"]), len(b["text"]))
             halves.append(a["text"][:size] + " " + b["text"][:size])
     assert len(halves) > 50 and accepted(spark, predict, halves) <= 0.1
+
+
+def text_of(html):
+    return " ".join(block[0] for block in page_text.blocks(html))
+
+
+@pytest.mark.parametrize(
+    "markup",
+    [
+        '<svg class="i"/>', "<svg/>", "<svg viewBox='0 0 1 1' />", "<math/>", '<object data="x"/>', '<video-player src="x"></video-player>',
+        "<title-bar></title-bar>", "<select-menu>", "<div><video src=x></div>", "<p><video src=x>", "<svg><title>no</title><g><path/></g></svg>",
+        "<svg><svg/><text>no</text></svg>", "<select><option>no<option>no</select>", "<template><p>no</p></template>", "<script>'<p>no'</script >",
+        "<noscript><p>no</p></noscript>", "<div><object data=x/><p>no</p></div>", "<canvas>no</canvas>",
+    ],
+)
+def test_page_goes_on_after_hidden_elements(markup):
+    assert text_of(f"<article>{markup}<p>Body text.</p><p>More.</p></article><p>End.") == "Body text. More. End."
+
+
+def test_hidden_elements_end_with_their_parent_and_part_no_words():
+    assert text_of("<article><p>One <svg><path/></svg>word.</p><object><p>no</p></article><p>After.") == "One word. After."
+    assert [b[0] for b in page_text.blocks("<p>a<svg></svg>b<canvas>no</canvas>c")] == ["abc"]
+    assert text_of("<p>Shown.</p><script>var a = '<p>no</p>'") == "Shown."
