@@ -3,7 +3,8 @@
 A page becomes a flat list of text blocks: what stands between two block-level tags. Each block is
 described by its words and link density, those of the blocks before and after it, and what its
 enclosing elements say of themselves: main text (article, main), or something else (navigation,
-header, footer, sidebar, notice, advert, form, comments). A decision tree, fitted to the small table
+header, footer, sidebar, notice, advert, form, comments). An article or main tag decides for itself
+unless it is hidden, or an article inside an article is a comment or the like; captions are main text. A decision tree, fitted to the small table
 of labelled blocks below, tells main text from the rest. Blocks of main text are joined in page order.
 
 Scripts, styles, comments and other content that is not shown give no blocks. Character references
@@ -41,7 +42,7 @@ INLINE = (
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 PARAGRAPH_ENDS = "p div section article main aside nav header footer h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr form".split()
 MAIN = "article main".split()
-ASIDE = "nav header footer aside form menu dialog button fieldset label figcaption".split()
+ASIDE = "nav header footer aside form menu dialog button fieldset label".split()
 MAIN_WORDS = set("article articlebody main content post entry story".split())
 ASIDE_WORDS = set(
     "ad ads advert advertisement adverts banner breadcrumb breadcrumbs byline comment comments consent contentinfo cookie cookies "
@@ -51,6 +52,9 @@ ASIDE_WORDS = set(
     "hidden skip".split()
 )
 
+#: Words that begin a class which says how an element looks or what it lacks, not what it is.
+MODIFIERS = set("has no not with without is hide category tag layout supports".split())
+
 FEATURES = [
     "words", "links", "words_before", "links_before", "words_after", "links_after", "inside", "outside", "aside", "heading",
 ]
@@ -72,6 +76,7 @@ LABELLED = """
 1 0 m - 1 | 90 0 a - 0 | 3 1 m - 1 | 30 14 m - 1 | 1 0 a - 0
 3 3 a - 0 | 2 0 m - 1 | 14 0 x - 0 | 200 0 m - 1 | 1 0 m - 1
 12 12 a - 0 | 6 0 m h 1 | 5 0 m - 1 | 4 0 m - 1
+6 6 a - 0 | 7 0 m h 1 | 70 3 m - 1 | 9 0 m - 1 | 64 2 m - 1 | 14 6 m - 1 | 33 0 m - 1 | 4 4 a - 0
 30 0 - - 1
 150 3 - - 1
 8 0 - - 0
@@ -91,23 +96,37 @@ _CLOSED = re.compile(r"(?<!=)(?:^|[\s\"']|(?:^|\s)[^\s=\"']+)/\s*\Z")
 _ATTRIBUTE = re.compile(r"([a-z-]+)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.IGNORECASE)
 
 
-def role(tag: str, attributes: str) -> str:
-    """What an element says it holds: m main text, a something else, nothing."""
+def says_aside(names: list[list[str]]) -> bool:
+    """Whether one of the names, each the words of a class, id or role, is that of an aside.
+
+    Beside a name that says main text only whole names and their first words count, as in
+    `content layout-sidebar`; else any word does, as in `site-footer`, unless a modifier begins the name.
+    """
+    if any(len(name) == 1 and name[0] in MAIN_WORDS for name in names):
+        return any(name[0] in ASIDE_WORDS for name in names)
+    return any(name[0] not in MODIFIERS and not ASIDE_WORDS.isdisjoint(name) for name in names)
+
+
+def role(tag: str, attributes: str, nested: bool = False) -> str:
+    """What an element says it holds: m main text, a something else, nothing. nested: it is in an article."""
     if tag in ASIDE:
         return "a"
-    words: set[str] = set()
+    names: list[list[str]] = []
     if attributes:
         for name, *values in _ATTRIBUTE.findall(attributes):
             value = "".join(values).lower()
             if name.lower() in ("class", "id", "role"):
-                words.update(re.findall(r"[a-z]+", value))
+                names += [found for x in value.split() if (found := re.findall(r"[a-z]+", x))]
             elif name.lower() == "aria-hidden" and value == "true" or name.lower() == "style" and "display:none" in value.replace(" ", ""):
                 return "a"
         if re.search(r"(?<![\w-])hidden(?![\w=-])", attributes):
             return "a"
-    if words & ASIDE_WORDS and tag not in ("body", "html"):
+    if tag in MAIN:
+        aside = nested and tag == "article" and any(len(name) == 1 and name[0] in ASIDE_WORDS for name in names)
+        return "a" if aside else "m"
+    if tag not in ("body", "html") and says_aside(names):
         return "a"
-    return "m" if tag in MAIN or words & MAIN_WORDS and tag not in INLINE else ""
+    return "m" if tag not in INLINE and any(not MAIN_WORDS.isdisjoint(name) for name in names) else ""
 
 
 def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
@@ -187,7 +206,7 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
             anchor = 1
         if tag in VOID:
             continue
-        kind = role(tag, token["attributes"] or "")
+        kind = role(tag, token["attributes"] or "", any(t == "article" for t, _ in stack))
         if tag in MAIN and kind == "m":
             while stack and stack[-1][0] in ("nav", "header", "p"):  # never closed
                 stack.pop()

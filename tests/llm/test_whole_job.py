@@ -70,3 +70,28 @@ def test_hidden_elements_end_with_their_parent_and_part_no_words():
     assert text_of("<article><p>One <svg><path/></svg>word.</p><object><p>no</p></article><p>After.") == "One word. After."
     assert [b[0] for b in page_text.blocks("<p>a<svg></svg>b<canvas>no</canvas>c")] == ["abc"]
     assert text_of("<p>Shown.</p><script>var a = '<p>no</p>'") == "Shown."
+
+
+WORDS = "The market opened at nine and the first carts came in from the hills with apples, pears and a load of late plums. "
+
+
+@pytest.mark.parametrize(
+    "tag", ['main class="content has-sidebar"', 'article class="post hentry category-social"', 'div id=main class="no-comments"',
+            'article class="sponsored"', 'div class="content wp-ad-free"', "article role=complementary"],
+)
+def test_articles_are_kept_whatever_their_class_and_captions_with_them(spark, tag):
+    name = tag.split()[0]
+    page = (
+        f"<body><nav><a href=x>Home</a></nav><{tag}><h1>Market day</h1><p>{WORDS * 3}</p><figure><img src=x><figcaption>Carts at the "
+        f"north gate in the rain.</figcaption></figure><p>{WORDS * 2}</p></{name}><div class=site-footer><p>{WORDS}</p></div></body>"
+    )
+    df = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    want = f"Market day {WORDS * 3}Carts at the north gate in the rain. {WORDS * 2}".strip()
+    assert page_text.main_texts(df).first()["text"] == want
+
+
+def test_names_of_asides():
+    asides = ["site-footer", "post-navigation", "cookie-notice", "entry-comments", "sidebar-right", "content sidebar", "main-nav"]
+    assert all(page_text.role("div", f'class="{x}"') == "a" for x in asides)
+    assert [page_text.role("div", f'class="{x}"') for x in ("wrapper has-sidebar", "entry-content")] == ["", "m"]
+    assert page_text.role("article", "class=comment", nested=True) == page_text.role("main", "hidden") == "a"
