@@ -6,11 +6,14 @@ has tokens, whatever the corpus. It is a list of patterns: so many sequences wit
 these lengths.
 
 The plan is a branch-and-bound. A branch fills a sequence around the largest piece left: fillings that
-another one dominates, because one piece takes the place of several, are not tried, and the others
-are tried by rising waste. A branch is pruned when the waste so far leaves no room for fewer sequences
-than the incumbent, which begins as the best-fit solution. Fillings are used as often as the counts
-allow, so the number of steps does not grow with the corpus. The search ends at the lower bound, or
-after NODES fillings beyond the first descent; what it then holds is complete, only not proven least.
+another one dominates, because one piece takes the place of none, one or several, are not tried, and
+all others are, by rising waste. A branch is pruned when the waste so far leaves no room for fewer
+sequences than the incumbent, which begins as the best-fit solution, or when its remaining counts were
+met before at no more waste. Fillings are used as often as the counts allow, then once, so the number
+of steps does not grow with the corpus. A narrow search goes ahead, for a good incumbent: it tries WIDTH
+fillings, each completed by the largest pieces that fit. The search is done at the lower bound or when no branch is
+left; else each of the two ends after NODES fillings beyond its first descent, dominated ones counted. What it then
+holds is complete, only not proven least; `searched` says which, and a run logs it.
 
 Pieces find their place by their rank among those of their length: ranks within (length, salt)
 groups, plus running counts of the groups, so a length that very many pieces share is spread out.
@@ -23,7 +26,10 @@ not read.
 
 from __future__ import annotations
 
+import logging
+import random
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -189,10 +195,27 @@ def best_fit(counts: np.ndarray) -> list[tuple[int, list[tuple[int, int]]]]:
     return plan
 
 
-def completions(gap: int, left: np.ndarray, width: int) -> list[tuple[int, list[tuple[int, int]]]]:
-    """Up to width undominated fillings of a gap as (waste, [(length, pieces), ...]), least waste first."""
+def dominated(filling: list[tuple[int, int]], waste: int, lengths: list[int], have: list[int]) -> bool:
+    """Whether a piece that is left could take the place of some pieces, or of none, of a filling."""
+    used, sums = dict(filling), 1
+    for size, n in filling:
+        for _ in range(n):
+            sums |= sums << size
+    spread, width = sums << 1, 1  # sums made larger by 1 to waste
+    while width < waste:
+        step = min(width, waste - width)
+        spread |= spread << step
+        width += step
+    larger = spread if waste else 0
+    return any(
+        n > used.get(size, 0) and (larger >> size & 1 or size not in used and sums >> size & 1) for size, n in zip(lengths, have, strict=True)
+    )
+
+
+def largest_first(gap: int, left: np.ndarray, width: int) -> list[tuple[int, list[tuple[int, int]]]]:
+    """Up to width fillings of a gap, each with the largest pieces, as (waste, [(length, pieces), ...])."""
     if gap and left[gap]:
-        return [(0, [(gap, 1)])]  # one piece for all dominates every other filling
+        return [(0, [(gap, 1)])]
     fits = np.flatnonzero(left[: gap + 1])
     if not fits.size:
         return [(gap, [])]
@@ -204,12 +227,60 @@ def completions(gap: int, left: np.ndarray, width: int) -> list[tuple[int, list[
     for size in fits[: -width - 1 : -1].tolist():
         n = max(1, min(int(left[size]), gap // size - 2))
         left[size] -= n
-        waste, rest = completions(gap - n * size, left, 1)[0]
+        waste, rest = largest_first(gap - n * size, left, 1)[0]
         left[size] += n
         found.append((waste, [(size, n), *rest]))
     return sorted(found, key=lambda x: (x[0], len(x[1])))
 
 
+def completions(gap: int, left: np.ndarray, room: int) -> Iterator[tuple[int, list[tuple[int, int]]] | None]:
+    """All undominated fillings of a gap as (waste, [(length, pieces), ...]) by rising waste up to room.
+
+    None stands for a dominated filling that was looked at.
+    """
+    if gap and left[gap]:
+        yield 0, [(gap, 1)]  # one piece for all dominates every other filling
+        return
+    fits = np.flatnonzero(left[: gap + 1])
+    if not fits.size:
+        if gap <= room:
+            yield gap, []
+        return
+    lengths, have = fits.tolist(), left[fits].tolist()
+    larger = fits[fits * 2 >= gap]
+    for a in larger[left[gap - larger] >= np.where(larger * 2 == gap, 2, 1)][::-1].tolist():
+        yield 0, [(a, 1), (gap - a, 1)] if 2 * a != gap else [(a, 2)]
+
+    # Bit n of sums[k] says whether the first k lengths can make n; equal sets are one object.
+    sums, all_bits = [1], (1 << gap + 1) - 1
+    for size, n in zip(lengths, have, strict=True):
+        bits, rest, step = sums[-1], min(n, gap // size), 1
+        while rest:
+            bits |= bits << size * min(step, rest) & all_bits
+            rest -= min(step, rest)
+            step *= 2
+        sums.append(sums[-1] if bits == sums[-1] else bits)
+
+    def exact(target: int, k: int) -> Iterator[list[tuple[int, int]]]:
+        """Fillings of just target with the first k lengths, the largest first."""
+        if not target:
+            yield []
+            return
+        for at in range(bisect_right(lengths, target, 0, k) - 1, -1, -1):
+            if not sums[at + 1] >> target & 1:
+                return
+            for n in range(min(have[at], target // lengths[at]), 0, -1):
+                if sums[at] >> target - n * lengths[at] & 1:
+                    for rest in exact(target - n * lengths[at], at):
+                        yield [(lengths[at], n), *rest]
+
+    for waste in range(min(gap, room) + 1):
+        if sums[-1] >> gap - waste & 1:
+            for filling in exact(gap - waste, len(lengths)):
+                if waste or sum(n for _, n in filling) != 2:  # pairs without waste were first
+                    yield None if dominated(filling, waste, lengths, have) else (waste, filling)
+
+
 def together(size: int, filling: list[tuple[int, int]]) -> list[tuple[int, int]]:
     used = {size: 1}
     for s, n in filling:
@@ -217,54 +288,96 @@ def together(size: int, filling: list[tuple[int, int]]) -> list[tuple[int, int]]
     return list(used.items())
 
 
-def packed(counts: np.ndarray, nodes: int = NODES) -> list[tuple[int, list[tuple[int, int]]]]:
-    """A plan for counts, where counts[n] pieces have length n and the capacity is the last index."""
+def searched(counts: np.ndarray, nodes: int = NODES) -> tuple[list[tuple[int, list[tuple[int, int]]]], bool]:
+    """A plan for counts, where counts[n] pieces have length n and the capacity is the last index.
+
+    And whether it is proven to have the fewest sequences.
+    """
+    plan, done = improved(counts, best_fit(counts), nodes, WIDTH)
+    return (plan, True) if done else improved(counts, plan, nodes)
+
+
+def improved(
+    counts: np.ndarray, incumbent: list[tuple[int, list[tuple[int, int]]]], nodes: int, width: int | None = None
+) -> tuple[list[tuple[int, list[tuple[int, int]]]], bool]:
+    """The best plan found and whether it is proven least; with a width, by the narrow search."""
     capacity = len(counts) - 1
     total = int((counts * np.arange(len(counts))).sum())
     bound = -(-total // capacity)
-    incumbent = best_fit(counts)
     least = sum(times for times, _ in incumbent)
     left = counts.copy()
     chosen: list[tuple[int, list[tuple[int, int]], int]] = []
     waste, visited, returned = 0, 0, False
+    draw = random.Random(8)
+    keys = [draw.getrandbits(128) for _ in range(len(counts))]
+    state, met = 0, {}  # pieces used as a sum of keys, and the waste each sum was met with
+
+    def room() -> int:
+        """Waste that a better solution may still have."""
+        return (least - 1) * capacity - total - waste
 
-    def fillings() -> list[tuple[int, list[tuple[int, int]]]]:
-        """What to try around the largest piece left, the best last."""
+    def fillings() -> Iterator[tuple[int, int, list[tuple[int, int]]] | None]:
+        """What to try around the largest piece left: how often, the waste of one, and the pieces."""
         size = int(np.flatnonzero(left)[-1])
         left[size] -= 1
-        found = completions(capacity - size, left, WIDTH)
+        others = left.copy()
         left[size] += 1
-        return [(spent, together(size, filling)) for spent, filling in reversed(found)]
+        gap = capacity - size
+        for found in completions(gap, others, room()) if width is None else largest_first(gap, others, width):
+            if found is None:
+                yield None
+                continue
+            spent, used = found[0], together(size, found[1])
+            times = min(int(left[s]) // n for s, n in used)
+            if times > 1 and times * spent <= room():
+                yield times, spent, used
+                if width is not None:
+                    continue
+            yield 1, spent, used
+
+    def use(times: int, used: list[tuple[int, int]]) -> None:
+        nonlocal state
+        for size, n in used:
+            left[size] -= times * n
+            state += times * n * keys[size]
 
     branches = [fillings()] if least > bound else []
-    while branches and least > bound and not (returned and visited > nodes):
-        if not branches[-1]:
+    while branches and least > bound and visited <= nodes:
+        found = next(branches[-1], False)
+        if found is False:
             returned = True
             branches.pop()
             if chosen:
                 times, used, spent = chosen.pop()
                 waste -= spent
-                for size, n in used:
-                    left[size] += times * n
+                use(-times, used)
             continue
-        visited += 1
-        spent, used = branches[-1].pop()
-        room = (least - 1) * capacity - total - waste  # waste that a better solution may still have
-        if spent > room:
+        if found is None or returned:
+            visited += 1
+        if found is None or found[0] * found[1] > room():
+            continue
+        times, spent, used = found
+        use(times, used)
+        if left.any() and met.get(state, waste + times * spent + 1) <= waste + times * spent:
+            use(-times, used)
             continue
-        times = min(int(left[size]) // n for size, n in used)
-        times = times if times * spent <= room else 1
-        for size, n in used:
-            left[size] -= times * n
         waste += times * spent
+        met[state] = waste
         chosen.append((times, used, times * spent))
         if left.any():
             branches.append(fillings())
             continue
         incumbent = [(times, used) for times, used, _ in chosen]
         least = sum(times for times, _ in incumbent)
-        branches.append([])
-    return incumbent
+        branches.append(iter(()))
+    return incumbent, least <= bound or width is None and not branches
+
+
+def packed(counts: np.ndarray, nodes: int = NODES) -> list[tuple[int, list[tuple[int, int]]]]:
+    """The plan that is searched."""
+    plan, proven = searched(counts, nodes)
+    logging.getLogger(__name__).info("%d sequences, %s", sum(n for n, _ in plan), "proven least" if proven else "not proven least")
+    return plan
 
 
 def places(plan: list[tuple[int, list[tuple[int, int]]]], capacity: int) -> np.ndarray:

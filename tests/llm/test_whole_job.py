@@ -1,11 +1,13 @@
 """The corpus operators on inputs that a part of the job would get wrong."""
 
 import random
+from functools import cache
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stallbook.llm import language, page_text
+from stallbook.llm import language, packing, page_text
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -95,3 +97,48 @@ def test_names_of_asides():
     assert all(page_text.role("div", f'class="{x}"') == "a" for x in asides)
     assert [page_text.role("div", f'class="{x}"') for x in ("wrapper has-sidebar", "entry-content")] == ["", "m"]
     assert page_text.role("article", "class=comment", nested=True) == page_text.role("main", "hidden") == "a"
+
+
+def fewest(pieces, capacity):
+    """The fewest sequences by trying every place of every piece."""
+
+    @cache
+    def most_room(done):
+        """Fewest sequences with the least used of the last one, for a set of pieces."""
+        if not done:
+            return 1, 0
+        best = (len(pieces) + 1, 0)
+        for k, size in enumerate(pieces):
+            if done >> k & 1:
+                n, used = most_room(done & ~(1 << k))
+                best = min(best, (n, used + size) if used + size <= capacity else (n + 1, size))
+        return best
+
+    return most_room((1 << len(pieces)) - 1)[0]
+
+
+def counted(pieces, capacity):
+    return np.bincount(pieces, minlength=capacity + 1)
+
+
+def test_plan_of_few_lengths_is_least():
+    plan, proven = packing.searched(counted([52, 40, 31, 29, 20, 16, 12], 100))
+    assert proven and sum(times for times, _ in plan) == 2
+
+
+def test_plan_against_brute_force():
+    draw = random.Random(9)
+    for _ in range(250):
+        capacity = draw.choice([12, 30, 100])
+        few = [draw.randint(1, capacity) for _ in range(draw.randint(1, 7))]
+        pieces = [draw.choice(few) for _ in range(draw.randint(1, 11))]
+        plan, proven = packing.searched(counted(pieces, capacity))
+        assert proven and sum(times for times, _ in plan) == fewest(tuple(pieces), capacity)
+        assert sorted(s for times, fill in plan for s, n in fill for _ in range(times * n)) == sorted(pieces)
+
+
+def test_plan_says_when_the_search_was_cut_short():
+    draw = np.random.default_rng(2)
+    counts = np.bincount(draw.integers(350, 700, 60), minlength=1001)
+    plan, proven = packing.searched(counts, nodes=5)
+    assert not proven and sum(t for t, _ in plan) <= sum(t for t, _ in packing.best_fit(counts))
