@@ -5,18 +5,18 @@ some of the words of a window and ignores the others. Equal hashes of the same m
 an item to a place in a document, even where words in between were replaced; the overlap around
 each such hit is then verified word by word.
 
-An overlap is the best stretch, at fixed alignment, in which at least SIMILARITY of the words agree.
-It counts if it is as long as LEAST words, or as the item if that is shorter. The three masks of
-MASKS together hit every stretch of 14 words with two substitutions wherever these are, and in a
-search over random substitutions of a fifth of the words of longer stretches missed none.
+An overlap is the longest stretch, at fixed alignment, that begins and ends in agreement and in which at
+least SIMILARITY of the words agree. It counts if it is as long as LEAST words. An item of fewer words is
+compared whole, its first and last word may be replaced as well. No such overlap is missed: the masks of
+MASKS together hit FIVE adjacent words with any one replaced, and of a stretch of n words with at most a
+fifth replaced, one of its n // FIVE windows of FIVE has at most one replaced.
 
 Words are runs of letters and digits, lower-cased; all else separates them. Items are taken in
 blocks of at most BLOCK words. Only a block's hashes are sent to the tasks, so what is broadcast is
 bounded; further blocks are further passes, and none is left out.
 
 Cases: null and empty texts have no words and match nothing. Items of fewer than FIVE words are no
-evidence and match nothing; those of fewer words than a mask spans are matched through windows of
-FIVE adjacent words. Repeated items are all reported. Empty tables give no rows, or no matches. Other
+evidence and match nothing. Repeated items are all reported, and items without an id as null. Empty tables give no rows, or no matches. Other
 columns are not read; `keep_clean` passes them on.
 """
 
@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from stallbook.llm.tables import table
 
-#: Places of a window that each mask looks at.
-MASKS = ((0, 1, 2, 3, 4, 5), (0, 1, 3, 5, 6, 7), (0, 1, 2, 4, 5, 7))
+#: Places of a window of FIVE that each mask looks at; the first also finds the last four words of one.
+MASKS = ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))
 FIVE = 5
 SIMILARITY = 0.8
 LEAST = 13
@@ -81,16 +81,9 @@ class Block:
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
         self.masks = list(MASKS)
-        if any(len(w) <= max(m[-1] for m in MASKS) for w in self.words):
-            self.masks.append(tuple(range(FIVE)))
         self.lookup = []
         for number, mask in enumerate(self.masks):
-            short = number >= len(MASKS)
-            parts = [
-                (seeds(w, mask, number), n)
-                for n, w in enumerate(self.words)
-                if not short or len(w) <= max(m[-1] for m in MASKS)
-            ]
+            parts = [(seeds(w, mask, number), n) for n, w in enumerate(self.words)]
             hashes = np.concatenate([h for h, _ in parts] or [np.empty(0, np.uint64)])
             item = np.concatenate([np.full(len(h), n) for h, n in parts] or [np.empty(0, np.int64)])
             place = np.concatenate([np.arange(len(h)) for h, _ in parts] or [np.empty(0, np.int64)])
@@ -136,7 +129,11 @@ class Block:
             if last <= first:
                 continue
             agree = item[first:last] == words[start + first : start + last]
-            stretch = longest(agree)
+            if len(item) < LEAST:
+                whole = len(agree) == len(item) and agree.sum() * 100 >= round(100 * SIMILARITY) * len(item)
+                stretch = (0, len(item)) if whole else None
+            else:
+                stretch = longest(agree)
             if stretch and stretch[1] - stretch[0] >= min(LEAST, len(item)):
                 a, b = stretch
                 row = (int(agree[a:b].sum()), -(start + first + a), b - a)
@@ -147,23 +144,21 @@ class Block:
 def longest(agree: np.ndarray) -> tuple[int, int] | None:
     """The longest stretch whose share of agreement is at least SIMILARITY; it begins and ends in agreement."""
     # With agreement worth 1-s and disagreement -s a stretch qualifies if its sum is not negative.
-    sums = np.concatenate(([0], np.cumsum(np.where(agree, 20 - round(20 * SIMILARITY), -round(20 * SIMILARITY)))))
-    least = np.minimum.accumulate(sums)  # falls, so the first start not above an end's sum is a search
-    ends = np.arange(1, len(sums))
-    starts = np.searchsorted(-least, -sums[1:])
-    sizes = ends - starts
-    if not len(sizes) or sizes.max() <= 0 or not agree.any():
+    sums = np.concatenate(([0], np.cumsum(np.where(agree, 100 - round(100 * SIMILARITY), -round(100 * SIMILARITY)))))
+    begins = np.where(agree, sums[:-1], np.iinfo(sums.dtype).max)
+    least = np.minimum.accumulate(begins)  # falls, so the first start not above an end's sum is a search
+    ends = np.flatnonzero(agree) + 1
+    if not len(ends):
         return None
-    k = int(np.argmax(sizes))
-    a, b = int(starts[k]), int(ends[k])
-    inside = np.flatnonzero(agree[a:b])
-    return (a + int(inside[0]), a + int(inside[-1]) + 1) if len(inside) else None
+    starts = np.searchsorted(-least, -sums[ends])
+    k = int(np.argmax(ends - starts))
+    return int(starts[k]), int(ends[k])
 
 
 def blocks(benchmark: DataFrame, id_column: str = "item_id") -> Iterator[Block]:
     """The items in blocks of at most BLOCK words, or of one item that is longer."""
     hashed, items, size = Words(), [], 0
-    rows = benchmark.select(F.col(id_column).alias("i"), F.col("text").alias("t")).where("t IS NOT NULL AND i IS NOT NULL")
+    rows = benchmark.select(F.col(id_column).alias("i"), F.col("text").alias("t")).where("t IS NOT NULL")
     for row in rows.toLocalIterator():
         words = hashed.of(row["t"])
         if len(words) < FIVE:

@@ -2,12 +2,13 @@
 
 import random
 from functools import cache
+from itertools import combinations
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stallbook.llm import language, packing, page_text
+from stallbook.llm import decontam, language, packing, page_text
 
 SMALL = "/root/testdata/sf0.001"
 LARGER = "/root/testdata/sf0.01"
@@ -142,3 +143,67 @@ def test_plan_says_when_the_search_was_cut_short():
     counts = np.bincount(draw.integers(350, 700, 60), minlength=1001)
     plan, proven = packing.searched(counts, nodes=5)
     assert not proven and sum(t for t, _ in plan) <= sum(t for t, _ in packing.best_fit(counts))
+
+
+def all_alignments(item, words):
+    """Whether an item overlaps a text, by every alignment and every stretch."""
+    n = len(item)
+    for start in range(1 - n, len(words)):
+        agree = [0 <= start + k < len(words) and item[k] == words[start + k] for k in range(n)]
+        if n < 13:
+            if 0 <= start <= len(words) - n and 5 * sum(agree) >= 4 * n:
+                return True
+            continue
+        for a in range(n):
+            for b in range(a + 13, n + 1):
+                inside = 0 <= start + a and start + b <= len(words)
+                if inside and agree[a] and agree[b - 1] and 5 * sum(agree[a:b]) >= 4 * (b - a):
+                    return True
+    return False
+
+
+@pytest.mark.parametrize("n", [5, 6, 7, 8, 9, 10, 11, 12, 15, 16, 20])
+def test_every_allowed_substitution_is_found(n):
+    item = np.arange(1, n + 1).astype(np.uint64)
+    block = decontam.Block([(7, item)])
+    texts = []
+    for places in combinations(range(n) if n < 13 else range(1, n - 1), n // 5):
+        words = item.copy()
+        words[list(places)] = 1000
+        texts.append(np.concatenate([[900, 901], words, [902]]).astype(np.uint64))
+    for found in block.matches(texts):
+        assert found == [(7, 2, n, (n - n // 5) / n)]
+    words = item.copy()
+    words[: n // 5 + 1] = 1000
+    assert n > 12 or block.matches([words]) == [[]]
+
+
+def test_overlaps_against_all_alignments():
+    draw = random.Random(10)
+    items = [[draw.randrange(30) for _ in range(draw.choice([5, 7, 9, 12, 13, 16, 24]))] for _ in range(60)]
+    block = decontam.Block([(i, np.array(x, np.uint64)) for i, x in enumerate(items)])
+    texts = []
+    for x in items:
+        part = [w if draw.random() < 0.82 else 99 for w in x]
+        low = draw.choice([0, 0, 2])
+        texts.append([draw.randrange(30) for _ in range(draw.randrange(4))] + part[low:] + [draw.randrange(30) for _ in range(draw.randrange(20))])
+    found = block.matches([np.array(t, np.uint64) for t in texts])
+    for text, hits in zip(texts, found, strict=True):
+        assert {h[0] for h in hits} == {i for i, x in enumerate(items) if all_alignments(x, text)}
+    assert 10 < sum(map(bool, found)) < 60
+
+
+def test_longest_stretch_begins_and_ends_in_agreement():
+    agree = np.array([1] * 12 + [0] * 3 + [1] * 11 + [0, 1, 0, 1] + [0] * 6, bool)
+    stretches = [(a, b) for a in range(len(agree)) for b in range(a + 1, len(agree) + 1)]
+    best = max(b - a for a, b in stretches if agree[a] and agree[b - 1] and 5 * agree[a:b].sum() >= 4 * (b - a))
+    a, b = decontam.longest(agree)
+    assert b - a == best and agree[a] and agree[b - 1] and decontam.longest(np.zeros(3, bool)) is None
+
+
+def test_items_without_an_id_are_searched(spark):
+    docs = spark.createDataFrame([(1, "a b c d e f g"), (2, "x")], "doc_id long, text string")
+    items = spark.createDataFrame([(None, "a b c d e f"), (3, "b c d e f g"), (3, "c d e f g h i")], "item_id long, text string")
+    found = {r["doc_id"]: r["item_ids"] for r in decontam.contaminated(docs, items).collect()}
+    assert found == {1: [3, None], 2: []}
+    assert [r["doc_id"] for r in decontam.keep_clean(docs, items).collect()] == [2]
