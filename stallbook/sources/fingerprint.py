@@ -24,19 +24,45 @@ def _seen(files: DataFrame) -> DataFrame:
     return files.select("path", "length", F.sha2(seen, 256).alias("sha256"))
 
 
+def _lines_digest(spark: SparkSession, path: str, above: int) -> DataFrame:
+    """One digest of the bytes of each file longer than above, read in splits.
+
+    Bytes between line feeds are hashed, whatever the format; their number and the sums of
+    the four parts of their hashes do not depend on splits or order.
+    """
+    lines = spark.read.option("lineSep", "\n").text(path).where(F.col("_metadata.file_size") > above)
+    hashed = lines.select(
+        F.col("_metadata.file_path").alias("file"), F.md5(F.col("value").cast("binary")).alias("hash")
+    )
+    parts = [
+        F.sum(F.conv(F.substring("hash", at, 8), 16, 10).cast("decimal(20,0)")).cast("string")
+        for at in (1, 9, 17, 25)
+    ]
+    return hashed.groupBy("file").agg(
+        F.concat_ws("@", F.count(F.lit(1)).cast("string"), *parts).alias("digest")
+    )
+
+
 def fingerprint(
     spark: SparkSession, path: str, hashed_bytes: int = HASHED_BYTES
 ) -> DataFrame:
-    """One row for each file: path, length, sha256, and whether that is of the content.
+    """One row for each file: path, length, sha256, and whether that is the file's own.
 
-    A file is hashed as one value in one task, so files beyond hashed_bytes are known by
-    length and modification time instead. Spark tests the length before it reads a file.
+    The content of every file is read. A file's own SHA-256 takes it as one value in one task,
+    so files beyond hashed_bytes have that of their length and a digest of their lines, whose
+    order it does not see. Spark tests the length before it reads a file.
     """
     files = _files(spark, path)
     content = files.where(F.col("length") <= hashed_bytes).select(
         "path", "length", F.sha2("content", 256).alias("sha256")
     )
-    large = _seen(files.where(F.col("length") > hashed_bytes))
+    digests = _lines_digest(spark, path, hashed_bytes)
+    large = (
+        files.where(F.col("length") > hashed_bytes)
+        .select("path", "length", F.col("_metadata.file_path").alias("file"))
+        .join(digests, "file", "left")
+        .select("path", "length", F.sha2(F.concat_ws("@", F.col("length").cast("string"), "digest"), 256).alias("sha256"))
+    )
     return content.withColumn("of_content", F.lit(True)).unionByName(
         large.withColumn("of_content", F.lit(False))
     )
