@@ -12,10 +12,16 @@ from stallbook.llm.language import op7_language
 from stallbook.llm.page_text import op2_main_text
 from stallbook.llm.packing import op8_packing
 from stallbook.llm.quality import op9_quality
+from stallbook.llm.ranked_search import SQL as RANKED_SEARCH_SQL
+from stallbook.llm.ranked_search import op11_ranked_search
 from stallbook.llm.secret_scan import op4_secrets
 from stallbook.llm.shards import op1_shards
 from stallbook.llm.simhash import op3_simhash
+from stallbook.llm.spelling import SQL as SPELLING_SQL
+from stallbook.llm.spelling import op13_spelling
 from stallbook.llm.token_counts import op6_token_counts
+from stallbook.llm.url_filter import SQL as URL_FILTER_SQL
+from stallbook.llm.url_filter import op12_url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_shards": op1_shards,
@@ -28,6 +34,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_quality": op9_quality,
     "op10_decontaminate": op10_decontaminate,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_url_filter": op12_url_filter,
+    "op13_spelling": op13_spelling,
 }
 
 SQL: dict[str, str] = {
@@ -43,4 +52,7 @@ SQL: dict[str, str] = {
         FROM bodies
         WINDOW same AS (PARTITION BY body)
     """,
+    "op11_ranked_search": RANKED_SEARCH_SQL,
+    "op12_url_filter": URL_FILTER_SQL,
+    "op13_spelling": SPELLING_SQL,
 }
