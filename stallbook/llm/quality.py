@@ -41,22 +41,38 @@ COMMON = (
 ).split()
 
 
-def measures(text: Column) -> dict[str, Column]:
-    """Numbers about a text that labellers vote on."""
-    size = F.greatest(F.lit(1), F.length(F.regexp_replace(text, r"\s", "")))
-    words = F.split(F.trim(F.regexp_replace(text, r"\s+", " ")), " ")
-    lower = F.transform(words, lambda w: F.lower(w))
+def prepared(docs: DataFrame) -> DataFrame:
+    """Documents with what several measures look at, so that each is made once."""
+    body = F.coalesce(F.col("text"), F.lit(""))
+    return (
+        texts(docs)
+        .select("doc_id", F.xxhash64("doc_id", "text").alias("draw"), body.alias("body"))
+        .withColumn("flat", F.trim(F.regexp_replace("body", r"\s+", " ")))
+        .withColumn("words", F.split(F.lower("flat"), " "))
+        .withColumn("dense", F.replace("flat", F.lit(" ")))
+    )
+
+
+def left(text: Column, others: str) -> Column:
+    """Number of characters that are left without the others; a run of these costs one match."""
+    return F.length(F.regexp_replace(text, f"{others}+", ""))
+
+
+def measures() -> dict[str, Column]:
+    """Numbers about a prepared text that labellers vote on."""
+    body, flat, words, dense = map(F.col, ("body", "flat", "words", "dense"))
+    size = F.greatest(F.lit(1), F.length(dense))
     count = F.greatest(F.lit(1), F.size(words))
-    lines = F.filter(F.split(text, "\n"), lambda line: F.trim(line) != "")
+    lines = F.filter(F.split(body, "\n"), lambda line: F.trim(line) != "")
     return {
-        "n_words": F.when(F.trim(text) == "", 0).otherwise(F.size(words)),
-        "odd": F.regexp_count(text, F.lit(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()-]")) / size,
-        "shouts": F.regexp_count(text, F.lit("!")) / count,
-        "upper": F.regexp_count(text, F.lit(r"\p{Lu}")) / F.greatest(F.lit(1), F.regexp_count(text, F.lit(r"\p{L}"))),
-        "digits": F.regexp_count(text, F.lit(r"\p{N}")) / size,
-        "same": 1 - F.size(F.array_distinct(lower)) / count,
+        "n_words": F.when(F.trim(body) == "", 0).otherwise(F.size(words)),
+        "odd": left(dense, r"[\p{L}\p{M}\p{N}\s.,;:!?'\"()-]") / size,
+        "shouts": (F.length(flat) - F.length(F.replace(flat, F.lit("!")))) / count,
+        "upper": left(dense, r"\P{Lu}") / F.greatest(F.lit(1), left(dense, r"\P{L}")),
+        "digits": left(dense, r"\P{N}") / size,
+        "same": 1 - F.size(F.array_distinct(words)) / count,
         "length": size / count,
-        "common": F.size(F.filter(lower, lambda w: w.isin(COMMON))) / count,
+        "common": F.size(F.filter(words, lambda w: w.isin(COMMON))) / count,
         "ended": F.size(F.filter(lines, lambda line: F.trim(line).rlike(r"[.!?:\"')]$"))) / F.greatest(F.lit(1), F.size(lines)),
     }
 
@@ -109,27 +125,23 @@ def posteriors(patterns: np.ndarray, counts: np.ndarray, rounds: int = ROUNDS) -
     return share[:, 0], rates
 
 
-def shapes(text: Column) -> Column:
-    """Words, lower-cased, their shapes, in which runs of letters, capitals, digits or one sign are one,
-    and how many tenths of the words are repeats."""
-    shape = F.regexp_replace(text, r"\p{Ll}+", "a")
+def shapes(rows: DataFrame, *kept: str) -> DataFrame:
+    """kept and words: the words, lower-cased, their shapes, in which runs of letters, capitals, digits or
+    one sign are one, and how many tenths of the words are repeats; rows has body."""
+    shape = F.regexp_replace("body", r"\p{Ll}+", "a")
     shape = F.regexp_replace(shape, r"\p{Lu}+", "A")
     shape = F.regexp_replace(shape, r"\p{N}+", "0")
     shape = F.regexp_replace(shape, r"([^\s\p{L}\p{N}])\1+", "$1")
-    words = F.split(F.lower(text), r"\s+")
-    distinct = F.array_distinct(words)
-    tenths = F.floor(10 * (1 - F.size(distinct) / F.size(words))).cast("int")
+    split = rows.select(*kept, F.split(F.lower("body"), r"\s+").alias("all"), F.array_distinct(F.split(shape, r"\s+")).alias("shapes"))
+    distinct = split.select(*kept, F.size("all").alias("n"), F.array_distinct("all").alias("distinct"), "shapes")
+    tenths = F.floor(10 * (1 - F.size("distinct") / F.col("n"))).cast("int")
     repeats = F.transform(F.sequence(F.lit(0), tenths), lambda n: F.concat(F.lit("\t\t"), n.cast("string")))
-    return F.concat(distinct, repeats, F.transform(F.array_distinct(F.split(shape, r"\s+")), lambda s: F.concat(F.lit("\t"), s)))
+    return distinct.select(*kept, F.concat("distinct", repeats, F.transform("shapes", lambda s: F.concat(F.lit("\t"), s))).alias("words"))
 
 
 def voted(docs: DataFrame) -> DataFrame:
-    body = F.coalesce(F.col("text"), F.lit(""))
-    return (
-        texts(docs)
-        .select("doc_id", F.xxhash64("doc_id", "text").alias("draw"), F.struct(*[v.alias(k) for k, v in measures(body).items()]).alias("m"))
-        .select("doc_id", "draw", F.array(*votes()).alias("votes"))
-    )
+    measured = prepared(docs).select("doc_id", "draw", F.struct(*[v.alias(k) for k, v in measures().items()]).alias("m"))
+    return measured.select("doc_id", "draw", F.array(*votes()).alias("votes"))
 
 
 def scored(docs: DataFrame) -> DataFrame:
@@ -146,19 +158,18 @@ def scored(docs: DataFrame) -> DataFrame:
     )
     posterior = F.element_at(known, F.array_join(F.col("votes").cast("array<string>"), ","))
     total = sum(r["n"] for r in counted)
-    body = F.coalesce(F.col("text"), F.lit(""))
     hashed = HashingTF(inputCol="words", outputCol="features", numFeatures=DIMENSIONS, binary=True)
-    rows = texts(docs).withColumn("draw", F.xxhash64("doc_id", "text"))
+    rows = texts(docs).select("doc_id", F.xxhash64("doc_id", "text").alias("draw"), F.coalesce("text", F.lit("")).alias("body"))
     share = F.pmod(F.xxhash64("draw"), F.lit(1 << 40)) < min(1.0, TRAINING / total) * (1 << 40)
     labels = F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("w")), F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("w"))))
     drawn = stored.where(share).select("draw", posterior.alias("p")).dropDuplicates(["draw"])
-    sample = rows.where(share).join(drawn, "draw").select(shapes(body).alias("words"), "p")
+    sample = shapes(rows.where(share).join(drawn, "draw"), "p")
     sample = written(sample.select("words", labels.alias("x")).select("words", "x.label", "x.w").where("w > 0.001"), "training")
     if sample.select("label").distinct().count() < 2:
         return stored.select("doc_id", posterior.alias("score"), (posterior >= KEEP).alias("keep"))
     learner = LogisticRegression(weightCol="w", regParam=0.001, maxIter=40, standardization=False)
     model = learner.fit(hashed.transform(sample))
-    features = hashed.transform(rows.select("doc_id", (F.trim(F.regexp_replace(body, r"\s+", " ")) == "").alias("empty"), shapes(body).alias("words")))
+    features = hashed.transform(shapes(rows.withColumn("empty", F.trim(F.regexp_replace("body", r"\s+", " ")) == ""), "doc_id", "empty"))
     score = F.when(F.col("empty"), 0.0).otherwise(vector_to_array("probability")[1])
     return (
         model.transform(features)
