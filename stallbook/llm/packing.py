@@ -8,12 +8,13 @@ these lengths.
 The plan is a branch-and-bound. A branch fills a sequence around the largest piece left: fillings that
 another one dominates, because one piece takes the place of none, one or several, are not tried, and
 all others are, by rising waste. A branch is pruned when the waste so far leaves no room for fewer
-sequences than the incumbent, which begins as the best-fit solution, or when its remaining counts were
-met before at no more waste. Fillings are used as often as the counts allow, then once, so the number
+sequences than the incumbent, which begins as the best-fit solution, when lengths weighed by a dual feasible
+function say that what is left needs too many sequences, or when its remaining counts were met before at no more
+waste. Fillings are used as often as the counts allow, then once, so the number
 of steps does not grow with the corpus. A narrow search goes ahead, for a good incumbent: it tries WIDTH
 fillings, each completed by the largest pieces that fit. The search is done at the lower bound or when no branch is
 left; else each of the two ends after NODES fillings beyond its first descent, dominated ones counted. What it then
-holds is complete, only not proven least; `searched` says which, and a run logs it.
+holds is complete, only not proven least; the column `proven` says which.
 
 Pieces find their place by their rank among those of their length: ranks within (length, salt)
 groups, plus running counts of the groups, so a length that very many pieces share is spread out.
@@ -26,7 +27,6 @@ not read.
 
 from __future__ import annotations
 
-import logging
 import random
 import zlib
 from bisect import bisect_right
@@ -36,6 +36,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -47,11 +48,13 @@ END = 1
 SALTS = 64
 NODES = 20_000
 WIDTH = 3
-#: Words whose ids a task remembers.
-REMEMBERED = 1 << 19
+#: A task remembers the ids of the last words it met, one to two times as many; of long ones fewer, by characters.
+REMEMBERED, REMEMBERED_CHARACTERS = 1 << 16, 1 << 20
 #: Bytes of text tokenized at once, and words of letters given to the tokenizer together.
-AT_ONCE = 4 << 20
+AT_ONCE = 2 << 20
 JOINED = 256
+#: Signs behind a word that are tokens of their own.
+PUNCTUATION = '.,;:!?"#%&*$'
 #: How the vocabulary marks a token that ends a word.
 WORD_END = "</w>"
 
@@ -74,24 +77,9 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.closes[[n for token, n in vocabulary.items() if token.endswith(WORD_END)]] = True
-        self.forget()
-
-    def forget(self) -> None:
-        self.chunks: dict[str, bytes] = {"": b""}
-        self.cores: dict[str, bytes] = {"": b""}
-
-    @staticmethod
-    def parts(chunk: str) -> tuple[str, str]:
-        """A word and the punctuation after it, which this tokenizer takes apart anyway.
-
-        ASCII letters are lower-cased, as the tokenizer does. Apostrophes stay, as they may begin a
-        token of their own, and so does what follows a letter that may become a letter and a mark.
-        """
-        core = chunk.rstrip('.,;:!?"#%&*$')
-        if not core or core[-1] > "\u024f" or not core[-1].lower().isalpha():
-            core = chunk
-        tail = chunk[len(core) :]
-        return (core.lower() if core.isascii() and core.isalpha() else core), tail
+        # Words met of late, and those met before them that have not come up since.
+        self.cores: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
 
     def encode_cores(self, cores: list[str]) -> None:
         """Words of Latin letters are encoded many at once and parted where a token ends a word."""
@@ -111,15 +99,18 @@ class Encoder:
         for core, found in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False), strict=True):
             self.cores[core] = np.array(found.ids, "<u4").tobytes()
 
-    def words(self, chunks: list[str]) -> list[bytes]:
+    def words(self, words: list[str]) -> list[bytes]:
         """The ids of each word as little-endian 32-bit bytes."""
-        if len(self.chunks) > REMEMBERED or len(self.cores) > REMEMBERED:
-            self.forget()
-        new = {c: self.parts(c) for c in chunks if c not in self.chunks}
-        self.encode_cores(list({p for parts in new.values() for p in parts} - self.cores.keys()))
-        for chunk, (core, tail) in new.items():
-            self.chunks[chunk] = self.cores[core] + self.cores[tail] if tail else self.cores[core]
-        return [self.chunks[c] for c in chunks]
+        unmet = set(words) - self.cores.keys()
+        again = unmet & self.earlier.keys()
+        self.cores.update((word, self.earlier[word]) for word in again)
+        self.encode_cores(list(unmet - again - {""}))
+        cores = self.cores
+        cores[""] = b""
+        found = [cores[word] for word in words]
+        if len(cores) > REMEMBERED or sum(map(len, cores)) > REMEMBERED_CHARACTERS:
+            self.earlier, self.cores = cores, {}
+        return found
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by END, and where each text ends.
@@ -128,15 +119,39 @@ class Encoder:
         """
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         placed = split.flatten().dictionary_encode()
-        ids = [*self.words(placed.dictionary.to_pylist()), np.array([END], "<u4").tobytes()]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-        pool, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes) - sizes
+        core, tail = (part.dictionary_encode() for part in parted(placed.dictionary))
+        ids = self.words(core.dictionary.to_pylist() + tail.dictionary.to_pylist()) + [np.array([END], "<u4").tobytes()]
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
+        pool, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
+        at = placed.indices.to_numpy()
+        both = np.column_stack([core.indices.to_numpy()[at], tail.indices.to_numpy()[at] + np.int32(len(core.dictionary))])
         last = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64))
-        order = np.insert(placed.indices.to_numpy().astype(np.int64), last, len(ids) - 1)
+        order = np.insert(both.ravel(), 2 * last, len(ids) - 1)
         taken = sizes[order]
-        after = np.cumsum(taken)
-        source = np.repeat(starts[order] - after + taken, taken) + np.arange(after[-1])
-        return pool[source], after[last + np.arange(len(last))]
+        after = np.cumsum(taken, dtype=np.int32)
+        source = np.repeat(starts[order] - after + taken, taken)
+        source += np.arange(after[-1], dtype=np.int32)
+        return pool[source], after[2 * last + np.arange(len(last))].astype(np.int64)
+
+
+def parted(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
+    """Words and the punctuation after them, which this tokenizer takes apart anyway.
+
+    ASCII letters are lower-cased, as the tokenizer does. Apostrophes stay, as they may begin a
+    token of their own, and so does what follows a letter that may become a letter and a mark.
+    """
+    cut = pc.utf8_rtrim(chunks, characters=PUNCTUATION)
+    last = pc.utf8_slice_codeunits(cut, -1).dictionary_encode()
+    apart = pa.array([c != "" and c <= "\u024f" and c.lower().isalpha() for c in last.dictionary.to_pylist()], pa.bool_())
+    core = pc.if_else(apart.take(last.indices), cut, chunks)
+    sizes = (pc.binary_length(chunks).to_numpy() - pc.binary_length(core).to_numpy()).astype(np.int64)
+    ends = np.frombuffer(chunks.buffers()[1], np.int32)[chunks.offset + 1 : chunks.offset + len(chunks) + 1]
+    after = np.cumsum(sizes)
+    source = np.repeat(ends - after, sizes) + np.arange(after[-1] if len(after) else 0)
+    tails = np.frombuffer(chunks.buffers()[2] or b"", np.uint8)[source]
+    offsets = np.concatenate([[0], after]).astype(np.int32)
+    tail = pa.StringArray.from_buffers(len(chunks), pa.py_buffer(offsets.tobytes()), pa.py_buffer(tails.tobytes()))
+    return pc.if_else(pc.ascii_is_alpha(core), pc.ascii_lower(core), core), tail
 
 
 def groups_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -146,10 +161,8 @@ def groups_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
     return ((low, high) for low, high in zip(borders, borders[1:]) if low < high)
 
 
-def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int, model: Broadcast[str]) -> DataFrame:
     """The pieces of every document with the crc32 of their ids."""
-    with open(path or vocabulary(), encoding="utf-8") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file of fixed size
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -171,6 +184,9 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -
                     [doc_ids.take(pa.array(row)), pa.array(number.astype(np.int32)), *map(pa.array, (start, length, crc))],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"],
                 )
+        # Workers live on for other tasks; what the encoder took goes back.
+        del encoder
+        pa.default_memory_pool().release_unused()
 
     return texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         cut, PIECES
@@ -297,13 +313,41 @@ def searched(counts: np.ndarray, nodes: int = NODES) -> tuple[list[tuple[int, li
     return (plan, True) if done else improved(counts, plan, nodes)
 
 
+def weights(counts: np.ndarray) -> tuple[int, np.ndarray, int]:
+    """The best lower bound found for counts, and the weight of each length and the capacity's that give it.
+
+    Lengths are weighed so that no sequence holds more weight than the capacity's (dual feasible functions): by themselves;
+    by how many parts of a k-th of the capacity they exceed; and, for each e, by how many pieces of at least e they
+    keep out of their sequence, which is what counts where two or three pieces make a sequence.
+    """
+    capacity = len(counts) - 1
+    x = np.arange(capacity + 1)
+
+    def functions() -> Iterator[tuple[np.ndarray, int]]:
+        yield x, capacity
+        for k in range(1, min(capacity, 64)):
+            parts = (k + 1) * x
+            yield np.where(parts % capacity == 0, k * x, parts // capacity * capacity), k * capacity
+        for e in range(1, capacity // 2 + 1):
+            whole = capacity // e
+            yield np.where(2 * x > capacity, whole - (capacity - x) // e, np.where(x >= e, 1, 0)), whole
+
+    best = (-1, x, capacity)
+    for weight, full in functions():
+        bound = -(-int(counts @ weight) // full)
+        if bound > best[0]:
+            best = bound, weight, full
+    return best
+
+
 def improved(
     counts: np.ndarray, incumbent: list[tuple[int, list[tuple[int, int]]]], nodes: int, width: int | None = None
 ) -> tuple[list[tuple[int, list[tuple[int, int]]]], bool]:
     """The best plan found and whether it is proven least; with a width, by the narrow search."""
     capacity = len(counts) - 1
     total = int((counts * np.arange(len(counts))).sum())
-    bound = -(-total // capacity)
+    bound, weight, full = weights(counts)
+    unpacked, opened = int(counts @ weight), 0  # weight that is left, and sequences chosen
     least = sum(times for times, _ in incumbent)
     left = counts.copy()
     chosen: list[tuple[int, list[tuple[int, int]], int]] = []
@@ -336,10 +380,12 @@ def improved(
             yield 1, spent, used
 
     def use(times: int, used: list[tuple[int, int]]) -> None:
-        nonlocal state
+        nonlocal state, unpacked, opened
+        opened += times
         for size, n in used:
             left[size] -= times * n
             state += times * n * keys[size]
+            unpacked -= times * n * int(weight[size])
 
     branches = [fillings()] if least > bound else []
     while branches and least > bound and visited <= nodes:
@@ -358,7 +404,8 @@ def improved(
             continue
         times, spent, used = found
         use(times, used)
-        if left.any() and met.get(state, waste + times * spent + 1) <= waste + times * spent:
+        known = met.get(state, waste + times * spent + 1) <= waste + times * spent
+        if left.any() and (known or opened - (-unpacked // full) >= least):
             use(-times, used)
             continue
         waste += times * spent
@@ -375,9 +422,7 @@ def improved(
 
 def packed(counts: np.ndarray, nodes: int = NODES) -> list[tuple[int, list[tuple[int, int]]]]:
     """The plan that is searched."""
-    plan, proven = searched(counts, nodes)
-    logging.getLogger(__name__).info("%d sequences, %s", sum(n for n, _ in plan), "proven least" if proven else "not proven least")
-    return plan
+    return searched(counts, nodes)[0]
 
 
 def places(plan: list[tuple[int, list[tuple[int, int]]]], capacity: int) -> np.ndarray:
@@ -413,11 +458,15 @@ def ranked(cut: DataFrame) -> DataFrame:
 
 def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None) -> DataFrame:
     """Every piece of every document with its sequence and its token offset there."""
-    cut = written(pieces(docs, capacity, path), "pieces")
+    with open(path or vocabulary(), encoding="utf-8") as file:
+        model = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file of fixed size
+    cut = written(pieces(docs, capacity, model), "pieces")
+    model.unpersist()
     counts = np.zeros(capacity + 1, np.int64)
     for row in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most capacity rows
         counts[row["length"]] = row["n"]
-    where = places(packed(counts), capacity)
+    plan, proven = searched(counts)
+    where = places(plan, capacity)
     sent = docs.sparkSession.sparkContext.broadcast(where)  # as many rows as the plan has, see above
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -432,7 +481,8 @@ def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
             out["offset"] = row[:, 4] + ahead % row[:, 3] * length
             yield out
 
-    return ranked(cut).mapInPandas(place, f"{PIECES}, sequence_id long, offset long")
+    placed = ranked(cut).mapInPandas(place, f"{PIECES}, sequence_id long, offset long")
+    return placed.withColumn("proven", F.lit(proven))
 
 
 def op8_packing(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,6 +1,7 @@
 """The corpus operators on inputs that a part of the job would get wrong."""
 
 import random
+from bisect import bisect_right
 from functools import cache
 from itertools import combinations
 
@@ -8,6 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from stallbook.llm import decontam, language, packing, page_text
 
 SMALL = "/root/testdata/sf0.001"
@@ -140,11 +142,36 @@ def test_plan_against_brute_force():
 
 def test_plan_says_when_the_search_was_cut_short():
     draw = np.random.default_rng(2)
-    counts = np.bincount(draw.integers(350, 700, 60), minlength=1001)
+    counts = np.bincount(draw.integers(260, 400, 60), minlength=1001)
     plan, proven = packing.searched(counts, nodes=5)
     assert not proven and sum(t for t, _ in plan) <= sum(t for t, _ in packing.best_fit(counts))
 
 
+@pytest.mark.parametrize("low,high,n", [(1366, 1800, 100_000), (1366, 2730, 20_000), (350, 700, 60)])
+def test_bounds_prove_plans_of_pieces_that_go_two_by_two(low, high, n):
+    pieces = np.random.default_rng(2).integers(low, high, n)
+    capacity = 1000 if n == 60 else 4096
+    plan, proven = packing.searched(counted(pieces, capacity), nodes=5)
+    # No three go together, so the fewest are found by giving the largest the largest that fits.
+    waiting, fewest_sequences = np.sort(pieces).tolist(), 0
+    while waiting:
+        largest = waiting.pop()
+        if fits := bisect_right(waiting, capacity - largest):
+            waiting.pop(fits - 1)
+        fewest_sequences += 1
+    assert proven and sum(times for times, _ in plan) == fewest_sequences
+
+
+def test_weights_never_ask_for_more_sequences_than_needed():
+    draw = random.Random(4)
+    for _ in range(150):
+        capacity = draw.choice([7, 12, 30])
+        pieces = [draw.randint(1, capacity) for _ in range(draw.randint(1, 9))]
+        bound, weight, full = packing.weights(counted(pieces, capacity))
+        assert -(-sum(pieces) // capacity) <= bound <= fewest(tuple(pieces), capacity)
+        assert bound == -(-sum(int(weight[p]) for p in pieces) // full)
+
+
 def all_alignments(item, words):
     """Whether an item overlaps a text, by every alignment and every stretch."""
     n = len(item)
@@ -207,3 +234,15 @@ def test_items_without_an_id_are_searched(spark):
     found = {r["doc_id"]: r["item_ids"] for r in decontam.contaminated(docs, items).collect()}
     assert found == {1: [3, None], 2: []}
     assert [r["doc_id"] for r in decontam.keep_clean(docs, items).collect()] == [2]
+
+
+@pytest.mark.parametrize("stage", ["exact", "near"])
+def test_stages_take_columns_of_any_name_and_type(spark, stage):
+    text = "the cat sat on the mat and the dog lay by the door all day"
+    rows = [(1, text), (1, text), (2, text), (3, "something else that was written by someone"), (3, "something else that was written by someone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    names = ("mark", "__mark", "__dropped_id", "__id", "dropped_id", "Dropped_Mark", "_dropped_id", "repeated_id", "repeated_row", "REPEATED_MARK")
+    docs = docs.select("*", *[F.lit(k).alias(name) for k, name in enumerate(names)], F.create_map(F.lit("a"), F.col("doc_id")).alias("facts"))
+    kept = dict(corpus_pipeline.STAGES)[stage](spark, docs, SMALL)
+    assert kept.columns == docs.columns
+    assert sorted(r["doc_id"] for r in kept.collect()) == [1, 3]
