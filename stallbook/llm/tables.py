@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stallbook.storage import written
 
@@ -26,34 +27,56 @@ def join_side(stored: DataFrame) -> DataFrame:
     return F.broadcast(stored) if stored.count() <= BROADCAST_ROWS else stored
 
 
+def fresh(docs: DataFrame, *names: str) -> list[str]:
+    """Each name, with underscores before it until docs has no column of that name in any case."""
+    taken = {c.lower() for c in docs.columns}
+    out = []
+    for name in names:
+        while name in taken:
+            name = f"_{name}"
+        out.append(name)
+    return out
+
+
 def without_rows(docs: DataFrame, dropped: DataFrame, mark: Column, id_column: str = "doc_id") -> DataFrame:
     """docs without the rows named by dropped (doc_id, mark).
 
     A doc_id alone need not be unique, so rows are named by doc_id and a mark computed from their
-    text. Nulls are equal to each other.
+    text. Nulls are equal to each other. docs may have further columns of any name and type.
     """
+    name, of = fresh(docs, "dropped_id", "dropped_mark")
     side = join_side(written(dropped.select("doc_id", "mark"), "dropped")).select(
-        F.col("doc_id").alias("__dropped_id"), F.col("mark").alias("__dropped_mark")
+        F.col("doc_id").alias(name), F.col("mark").alias(of)
     )
-    same = F.col(id_column).eqNullSafe(F.col("__dropped_id")) & mark.eqNullSafe(F.col("__dropped_mark"))
+    same = F.col(id_column).eqNullSafe(F.col(name)) & mark.eqNullSafe(F.col(of))
     return docs.join(side, same, "left_anti")
 
 
+def _comparable(field: T.StructField) -> Column:
+    """The column itself, or as JSON if values of its type have no order."""
+    column = F.col(f"`{field.name}`")
+    unordered = any(word in field.dataType.simpleString() for word in ("map<", "variant", "interval"))
+    return F.to_json(F.struct(column)) if unordered else column
+
+
 def first_of_repeats(docs: DataFrame, repeated: DataFrame, mark: Column, id_column: str = "doc_id") -> DataFrame:
     """One row, the least over all columns, for each (doc_id, mark) in repeated.
 
     repeated names rows that share doc_id and mark, such as the same record read twice. All
-    other rows of docs pass unchanged; without repeats docs is returned as it is.
+    other rows of docs pass unchanged; without repeats docs is returned as it is. Columns may have any
+    name and type; maps and the like are compared as JSON.
     """
     stored = written(repeated.select("doc_id", "mark"), "repeated")
     if stored.isEmpty():
         return docs
-    side = stored.select(F.col("doc_id").alias("__id"), F.col("mark").alias("__mark"))
-    same = F.col(id_column).eqNullSafe(F.col("__id")) & mark.eqNullSafe(F.col("__mark"))
+    name, of, row = fresh(docs, "repeated_id", "repeated_mark", "repeated_row")
+    side = stored.select(F.col("doc_id").alias(name), F.col("mark").alias(of))
+    same = F.col(id_column).eqNullSafe(F.col(name)) & mark.eqNullSafe(F.col(of))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     least = (
         docs.join(side, same, "left_semi")
-        .groupBy(F.col(id_column).alias("__id"), mark.alias("__mark"))
-        .agg(F.min(F.struct(*[F.col(f"`{c}`") for c in docs.columns])).alias("__row"))
-        .select("__row.*")
+        .groupBy(F.col(id_column).alias(name), mark.alias(of))
+        .agg(F.min_by(whole, F.struct(*map(_comparable, docs.schema))).alias(row))
+        .select(f"{row}.*")
     )
     return docs.join(side, same, "left_anti").unionByName(least)
