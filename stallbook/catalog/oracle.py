@@ -129,6 +129,13 @@ def second(moment: str) -> str:
     return f"strftime({moment}, '%Y-%m-%d %H:%M:%S')"
 
 
+def digest_sql(place: str) -> str:
+    """SHA-256 of the number of lines, the sums of their hashes and the sums weighed by place."""
+    parts = [f"part_{at}" for at in (1, 9, 17, 25)]
+    sums = [f"sum({part})" for part in parts] + [f"sum({place} * {part})" for part in parts]
+    return f"sha256(concat_ws('@', count(*), {', '.join(sums)}))"
+
+
 def count(condition: str, rows: str = "1") -> str:
     return f"CAST(coalesce(sum({rows}) FILTER (WHERE {condition}), 0) AS BIGINT)"
 
@@ -389,6 +396,19 @@ def tables_sql() -> dict[str, str]:
             CASE WHEN l_extendedprice % 1 = 0
                  THEN CAST(CAST(l_extendedprice AS BIGINT) AS VARCHAR) END AS whole_price_text
             FROM lineitem""",
+        "fractional_identifiers": """SELECT source_row, CAST(l_extendedprice AS VARCHAR) AS fractional_price_text
+            FROM (SELECT 1 + row_number() OVER () AS source_row, l_extendedprice FROM lineitem)
+            WHERE l_extendedprice % 1 <> 0""",
+        "content_digests": f"""{RAW}, hashed AS (
+            SELECT source_row, source_row // 1000 AS block,
+                md5(concat_ws('|', {", ".join(f"coalesce({name}, '-')" for name in RAW_COLUMNS)})) AS hash
+            FROM raw
+        ), parted AS (
+            SELECT block, source_row, {", ".join(f"CAST('0x' || substr(hash, {at}, 8) AS HUGEINT) AS part_{at}" for at in (1, 9, 17, 25))}
+            FROM hashed
+        )
+        SELECT block, count(*) AS lines, {digest_sql("source_row")} AS digest, {digest_sql("xor(source_row, 1)")} AS digest_of_swapped
+        FROM parted GROUP BY block""",
         "parsed_numbers": by_row(
             """CASE WHEN finite_quantity THEN qty END AS quantity,
             CASE WHEN finite_price THEN cost END AS price,

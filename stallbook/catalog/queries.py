@@ -26,7 +26,7 @@ from stallbook.plans.analysis import audit_and_profile, build_tables, clean, rec
 from stallbook.plans.publish import export_columns, run_metadata
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
-from stallbook.sources.fingerprint import changed_files, fingerprint
+from stallbook.sources.fingerprint import changed_files, fingerprint, ordered_digest
 from stallbook.sources.numbering import number_parquet_rows
 from stallbook.sources.order_lines import raw_order_lines
 from stallbook.storage import written
@@ -99,7 +99,19 @@ def input_unchanged(spark, folder):
     changed = changed_files(before, fingerprint(spark, paths))
     return before.join(changed, "path", "left").select(
         F.element_at(F.split("path", "/"), -1).alias("file"),
-        F.coalesce("sha256_before", "sha256_after").isNull().alias("unchanged"),
+        F.coalesce("digest_before", "digest_after").isNull().alias("unchanged"),
+    )
+
+
+@query
+def content_digests(spark, folder):
+    """Digest of each thousand raw lines as they are, and with every two neighbours swapped."""
+    lines = _raw(spark, folder, numbered=True)
+    content = F.concat_ws("|", *[F.coalesce(F.col(name), F.lit("-")) for name in RAW_COLUMNS])
+    place, block = F.col("source_row"), F.floor(F.col("source_row") / 1000).alias("block")
+    swapped = ordered_digest(lines, place.bitwiseXOR(F.lit(1)), content, block)
+    return ordered_digest(lines, place, content, block).join(
+        swapped.select("block", F.col("digest").alias("digest_of_swapped")), "block"
     )
 
 
@@ -124,6 +136,16 @@ def numeric_identifiers(spark, folder):
     )
 
 
+@query
+def fractional_identifiers(spark, folder):
+    """Numeric source columns that are no whole numbers, as text."""
+    lines = number_parquet_rows(spark.read.parquet(f"{folder}/lineitem.parquet"))
+    price = F.col("l_extendedprice")
+    return lines.where(price % 1 != 0).select(
+        "source_row", text.number_as_identifier(price).alias("fractional_price_text")
+    )
+
+
 @query
 def parsed_numbers(spark, folder):
     lines = _raw(spark, folder, numbered=True)

@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from stallbook.functions import dates
 from stallbook.operators.checks import ABSOLUTE_TOLERANCE, RELATIVE_TOLERANCE
-from stallbook.schema import Settings
+from stallbook.schema import EXCLUDED_CODES, RAW_COLUMNS, Settings
 
 # Tables whose row number does not depend on the data; they become one file.
 FIXED_SIZE = {
@@ -31,34 +31,26 @@ PUBLISHED_ORDER = {
     "cleaning_summary.csv": [F.asc, "seq"],
 }
 
-# What a reader of the published numbers needs to know.
-POLICIES = {
-    "currency": "GBP",
-    "net_value": (
-        "Sales less cancellations and other negatives of merchandise lines, without the discounts, "
-        "fees and charges that are recorded under excluded codes; neither profit nor revenue."
-    ),
-    "month_coverage": (
-        "Earliest and latest eligible line seen in the month, which says nothing about days without."
-    ),
-    "duplicates": (
-        "Lines equal in all eight raw columns count once, the first being kept, although equal "
-        "lines can be genuine."
-    ),
-    "excluded_entries_basis": "post_deduplication",
-    "rounding": (
-        "Amounts and percentages have two decimals and unit prices all of theirs; blank is "
-        "unavailable. Totals of rounded rows can be pennies off rounded totals."
-    ),
-}
+# The keys under which a run says how its numbers are made.
+CURRENCY, NET_VALUE, PARTIAL_MONTHS = "currency", "net_value_definition", "partial_month_policy"
+MONTH_TIMES, DUPLICATES, BASIS, EXPORT = (
+    "monthly_timestamp_definition", "duplicate_policy", "excluded_entries_basis", "export_policy",
+)
 
 
-def month_policy(settings: Settings) -> str:
-    months = ", ".join(settings.partial_months) or "none"
-    return (
-        f"Months known to be covered in part: {months}. Of the others it is only not known; "
-        "the list belongs to the source and has to be reviewed for another one."
-    )
+def policies(settings: Settings) -> dict[str, str]:
+    """What this engine does, by key."""
+    codes = len(EXCLUDED_CODES)
+    months = ", ".join(settings.partial_months) or "no month"
+    return {
+        CURRENCY: "GBP",
+        NET_VALUE: f"positive_sales_gbp - cancellation_value_gbp - other_negative_value_gbp; the {codes} excluded codes are left out.",
+        PARTIAL_MONTHS: f"is_partial_month is true for {months}, as set by Settings.partial_months, and never inferred from the lines.",
+        MONTH_TIMES: "min and max of InvoiceDate over the eligible lines of the month.",
+        DUPLICATES: "Grouped by " + ", ".join(RAW_COLUMNS) + " as read; a group is one line with the least source_row.",
+        BASIS: "post_deduplication",
+        EXPORT: "_gbp, _pct: decimal(38,2), rounded half up from exact values; UnitPrice: as in the source; null: empty.",
+    }
 
 
 def is_two_decimal(name: str) -> bool:
@@ -156,19 +148,20 @@ def run_metadata(
         F.when(
             (F.count(F.lit(1)) == 1) & F.bool_and("of_content"), F.max("sha256")
         ).alias("sha256"),
+        F.when(F.count(F.lit(1)) == 1, F.max("content_digest")).alias("content_digest"),
     )
     described = files.select(
         F.lit(datetime.now(timezone.utc).isoformat()).alias("run_timestamp_utc"),
         F.lit(source.rstrip("/").rsplit("/", 1)[-1]).alias("input_filename"),
         F.col("sha256").alias("input_sha256"),
+        F.col("content_digest").alias("input_content_digest"),
         F.col("files").alias("input_files"),
         F.col("bytes").alias("input_bytes"),
         F.lit(spark.version).alias("spark_version"),
         F.create_map(
             *[part for name in outputs for part in (F.lit(name), F.lit(f"{folder}/{name}"))]
         ).alias("output_paths"),
-        *[F.lit(text).alias(name) for name, text in POLICIES.items()],
-        F.lit(month_policy(settings)).alias("partial_months"),
+        *[F.lit(text).alias(name) for name, text in policies(settings).items()],
         F.struct(
             F.lit(ABSOLUTE_TOLERANCE).alias("absolute_gbp"),
             F.lit(RELATIVE_TOLERANCE).alias("relative"),

@@ -22,6 +22,26 @@ def test_a_rewrite_of_equal_length_and_time_is_seen(spark, tmp_path, limit):
         assert [r["path"].endswith("b.csv") for r in changed] == [True]
 
 
+@pytest.mark.parametrize("split", [64, 1 << 20])
+def test_swapped_and_moved_lines_are_seen_at_every_size(spark, tmp_path, split):
+    lines = [b"line %d" % (n % 700) for n in range(2000)]
+    path = tmp_path / "ledger.csv"
+    kept = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(split * 64))
+    try:
+        digests = set()
+        swapped = [*lines[:100], lines[101], lines[100], *lines[102:]]
+        far = [lines[1999], *lines[1:1999], lines[0]]
+        for content in (lines, swapped, far, [*lines[1:], lines[0]], lines[:1999], [*lines, b""]):
+            path.write_bytes(b"\n".join(content))
+            whole, small = fingerprint(spark, str(path)).first(), fingerprint(spark, str(path), 10).first()
+            assert whole.content_digest == small.content_digest and (whole.of_content, small.of_content) == (True, False)
+            digests.add(whole.content_digest)
+        assert len(digests) == 6
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", kept)
+
+
 def test_digests_do_not_depend_on_splits(spark, tmp_path):
     path = tmp_path / "data.csv"
     path.write_bytes(b"".join(b"line %d,\xe9\n" % n for n in range(5000)))
