@@ -369,6 +369,30 @@ def cleaning() -> str:
   UNION ALL BY NAME ({counts})"""
 
 
+def control_totals() -> str:
+    """Every control total, which is also what it is compared with."""
+    audited = {
+        "raw_rows": "count(*)",
+        "signed_value_positive_price_gbp": "coalesce(sum(value) FILTER (WHERE computable AND cost > 0), 0)",
+        "signed_value_nonpositive_price_gbp": "coalesce(sum(value) FILTER (WHERE computable AND cost <= 0), 0)",
+        "uncomputable_value_count": "count(*) FILTER (WHERE NOT computable)",
+    }
+    values = {
+        "positive_sales_gbp": "s",
+        "cancellation_value_gbp": "c",
+        "other_negative_value_gbp": "a",
+        "net_value_gbp": "s - c - a",
+    }
+    rows = [f"SELECT 'charged: {name}' AS name, {money(value)} AS total FROM judged" for name, value in audited.items()]
+    rows += [
+        f"SELECT '{label}: {name}', {money(value)} FROM sums"
+        for label in ("overall", "products", "countries", "months")
+        for name, value in values.items()
+    ]
+    return f"""{ELIGIBLE}, sums AS (SELECT {SUMS} FROM eligible), totals AS ({" UNION ALL ".join(rows)})
+        SELECT name AS "check", total AS actual, total AS expected, true AS ok FROM totals"""
+
+
 def oracle() -> dict[str, str]:
     """All SQL by query; with duplicates kept, the same tables come from every copy."""
     tables = tables_sql()
@@ -503,6 +527,7 @@ def tables_sql() -> dict[str, str]:
         "metrics_with_duplicates": f"""{SURVIVORS} SELECT {METRICS} FROM (
             SELECT {SUMS} FROM survivor)""",
         "reconciliation": reconciliation(),
+        "control_totals": control_totals(),
         "chart_products": f"""{ELIGIBLE}, {LABELS}
             SELECT StockCode || ' — ' || Description AS label, {money('s')} AS positive_sales_gbp
             FROM product WHERE s > 0 ORDER BY s DESC, StockCode LIMIT 10""",

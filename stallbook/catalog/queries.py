@@ -22,7 +22,7 @@ from stallbook.operators.metrics import category_counts, metrics, metrics_by
 from stallbook.operators.profile import raw_profile
 from stallbook.operators.sensitivity import duplicate_comparison, with_every_copy
 from stallbook.plans import chartdata
-from stallbook.plans.analysis import audit_and_profile, build_tables, clean, reconcile
+from stallbook.plans.analysis import audit_and_profile, build_tables, clean, compare_controls, reconcile
 from stallbook.plans.publish import export_columns, run_metadata
 from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger
@@ -434,6 +434,13 @@ def reconciliation(spark, folder):
     return portable(reconcile(cleaned, build_tables(cleaned, SETTINGS)))
 
 
+@query
+def control_totals(spark, folder):
+    """What the rules were charged with and the tables, each beside its control total."""
+    cleaned = clean(RawLedger(_raw(spark, folder, numbered=True), RAW_COLUMNS))
+    return portable(compare_controls(cleaned, build_tables(cleaned, SETTINGS)))
+
+
 # --- chart data
 
 

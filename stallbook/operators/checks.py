@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stallbook.operators.audit import PARTITIONS, STATUS_COUNTS
+from stallbook.operators.controls import RAW_ROWS
 from stallbook.operators.lines import ELIGIBLE, category
 from stallbook.operators.metrics import difference, total
 from stallbook.schema import AUDIT_COLUMNS, CATEGORIES, MONEY, VALUE_COLUMNS
@@ -159,6 +160,24 @@ def group_checks(overall: DataFrame, tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def control_checks(
+    controls: DataFrame, charged: DataFrame, tables: dict[str, DataFrame]
+) -> DataFrame:
+    """What the rules were charged with, and every table, against control totals taken elsewhere."""
+    measures = {"row_count": RAW_ROWS, **{name: name for name in AUDIT_COLUMNS}}
+    charges = charged.agg(*[total(F.col(name)).alias(to) for name, to in measures.items()])
+    return reduce(
+        DataFrame.unionByName,
+        [
+            _compare("charged", charges, controls, list(measures.values())),
+            *[
+                _compare(label, table.agg(*[total(F.col(name)).alias(name) for name in VALUE_COLUMNS]), controls, VALUE_COLUMNS)
+                for label, table in tables.items()
+            ],
+        ],
+    )
+
+
 def require_all(checks: DataFrame) -> None:
     """Fail with the first check that does not hold."""
     failed = checks.where(~F.col("ok")).orderBy("check").first()

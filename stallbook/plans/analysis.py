@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stallbook.operators import audit, checks, summaries
+from stallbook.operators import audit, checks, controls, summaries
 from stallbook.operators.lines import COPIES, classified_lines, eligible_lines, judge, judged_lines
 from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import comparison_table
@@ -23,7 +23,7 @@ CONCURRENT_REPORTS = 4
 
 @dataclass(frozen=True)
 class CleanLedger:
-    """Judged lines and what follows from them; charged and profile are a few rows.
+    """Judged lines and what follows from them; charged, profile and controls are a few rows.
 
     judged has distinct lines with their copies; counted has the lines that the tables count, which
     are the same or, with duplicates kept, every copy as a line of its own.
@@ -37,6 +37,7 @@ class CleanLedger:
     excluded: DataFrame
     profile: DataFrame
     cleaning: DataFrame
+    controls: DataFrame
 
 
 def audit_and_profile(
@@ -53,11 +54,15 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     With remove_duplicates off, the duplicate rule removes nothing and every copy
     counts, under otherwise equal rules.
     """
-    judged = written(judge(ledger.lines).drop(*RAW_COLUMNS), "judged")
+    both = controls.audited() + controls.counted()
+    judged, totals = controls.written_with_totals(judge(ledger.lines).drop(*RAW_COLUMNS), "judged", both)
     counted = judged
     if not remove_duplicates:
         single = ledger.lines.withColumn(COPIES, F.lit(1).cast("long"))
-        counted = written(judged_lines(single).drop(*RAW_COLUMNS), "judged-copies")
+        counted, kept = controls.written_with_totals(
+            judged_lines(single).drop(*RAW_COLUMNS), "judged-copies", controls.counted()
+        )
+        totals = {**totals, **kept}
     charged, profile = audit_and_profile(judged, ledger.column_names, remove_duplicates)
     return CleanLedger(
         judged=judged,
@@ -68,6 +73,7 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
         excluded=audit.excluded_entries(judged, remove_duplicates),
         profile=profile,
         cleaning=audit.cleaning_summary(charged, profile),
+        controls=controls.controls(ledger.lines, totals),
     )
 
 
@@ -94,6 +100,16 @@ def reconcile(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+def compare_controls(cleaned: CleanLedger, tables: dict[str, DataFrame]) -> DataFrame:
+    """All tables of one run against its control totals, as rows."""
+    labels = {"overall": "overall", "products": "product", "countries": "country", "months": "monthly"}
+    return checks.control_checks(
+        cleaned.controls,
+        cleaned.charged,
+        {label: tables[f"{name}_summary.csv"] for label, name in labels.items()},
+    )
+
+
 def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """The nine tables by name, each computed once and written.
 
@@ -134,5 +150,5 @@ def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[
 def build_analysis(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[str, DataFrame]:
     """The nine tables, after all of them reconcile."""
     tables = build_tables(cleaned, settings)
-    checks.require_all(reconcile(cleaned, tables))
+    checks.require_all(reconcile(cleaned, tables).unionByName(compare_controls(cleaned, tables)))
     return tables
