@@ -6,20 +6,23 @@
 from __future__ import annotations
 
 import sys
-from concurrent.futures import ThreadPoolExecutor
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.plans import chartdata
 from stallbook.plans.analysis import CONCURRENT_REPORTS, build_analysis, clean
-from stallbook.plans.publish import export_json, export_table, run_metadata
+from stallbook.plans.publish import TABLES, export_json, export_table, run_metadata
+from stallbook.plans.switching import Folder, publish, require_apart
 from stallbook.schema import Settings
 from stallbook.sources.files import read_ledger
 from stallbook.sources.fingerprint import fingerprint, listing, require_unchanged
 from stallbook.storage import written
 
 METADATA = "run_metadata.json"
+CHARTS = tuple(f"{name}.json" for name in ("top_products", "country_sales", "monthly_sales", "sales_to_net", "period"))
+LINES = ("eligible_lines", "input_files")
 
 
 def chart_tables(tables: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
@@ -43,35 +46,31 @@ def run_analysis(
     """Publish tables, chart data, eligible lines and metadata; return the nine tables.
 
     Nothing is published until every table is computed and reconciled and the input
-    is known not to have changed. The metadata says complete once all else is there.
-    hash_content=False compares file lists instead of reading the files twice more.
+    is known not to have changed, and then all of it or nothing. Metadata says that a run is complete.
+    hash_content=False compares file lists instead of reading the files again.
     """
+    folder = Folder(spark, output)
+    outputs = [*TABLES, *CHARTS, *LINES, METADATA]
+    require_apart(folder, source, outputs)
     take_fingerprint = fingerprint if hash_content else listing
     before = written(take_fingerprint(spark, source), "fingerprint")
     cleaned = clean(read_ledger(spark, source))
     tables = build_analysis(cleaned, settings)
     require_unchanged(before, take_fingerprint(spark, source))
 
-    folder = output.rstrip("/")
     charts = {f"{name}.json": table for name, table in chart_tables(tables, settings).items()}
-    outputs = [*tables, *charts, "eligible_lines", "input_files", METADATA]
-    if source.rstrip("/") in [f"{folder}/{name}" for name in outputs]:
-        raise ValueError("An output would replace the input.")
+    frames = {"eligible_lines": cleaned.eligible, "input_files": before}
+    metadata = run_metadata(source, folder.path, outputs, before, cleaned.profile, settings).coalesce(1)
+    described = metadata.withColumn("complete", F.lit(True))
 
-    def publish(name: str) -> None:
+    def writer(name: str) -> Callable[[str], None]:
         if name in tables:
-            export_table(name, tables[name], folder)
-        elif name in charts:
-            export_json(charts[name], f"{folder}/{name}")
-        else:
-            frames[name].write.mode("overwrite").parquet(f"{folder}/{name}")
+            return lambda into: export_table(name, tables[name], into)
+        if name in frames:
+            return lambda into: frames[name].write.parquet(f"{into}/{name}")
+        return lambda into: export_json({**charts, METADATA: described}[name], f"{into}/{name}")
 
-    metadata = run_metadata(source, folder, outputs, before, cleaned.profile, settings).coalesce(1)
-    frames = {"eligible_lines": cleaned.eligible, "input_files": before}
-    export_json(metadata.withColumn("complete", F.lit(False)), f"{folder}/{METADATA}")
-    with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
-        list(pool.map(publish, [*tables, *charts, *frames]))
-    export_json(metadata.withColumn("complete", F.lit(True)), f"{folder}/{METADATA}")
+    publish(folder, {name: writer(name) for name in outputs}, METADATA, CONCURRENT_REPORTS)
     return tables
 
 
