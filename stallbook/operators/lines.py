@@ -59,6 +59,13 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
                 "cancels": text.is_cancellation(F.col("InvoiceNo")),
             }
         )
+        .withColumns(
+            {
+                # Null but for the few numbers that are finer or larger than the exact columns.
+                "quantity_beyond": numbers.beyond(F.col("Quantity"), quantity, F.col("quantity_exact")),
+                "price_beyond": numbers.beyond(F.col("UnitPrice"), price, F.col("price_exact")),
+            }
+        )
         .withColumn("computable", numbers.is_finite(quantity) & numbers.is_finite(price))
         .withColumn(
             "signed_value",
@@ -118,9 +125,9 @@ def classified_lines(judged: DataFrame) -> DataFrame:
         F.col("invoice").alias("InvoiceNo"),
         F.col("code").alias("StockCode"),
         F.col("label").alias("Description"),
-        F.col("quantity_exact").alias("Quantity"),
+        numbers.at_source(F.col("quantity_exact"), F.col("quantity_beyond")).alias("Quantity"),
         F.col("invoiced_at").alias("InvoiceDate"),
-        F.col("price_exact").alias("UnitPrice"),
+        numbers.at_source(F.col("price_exact"), F.col("price_beyond")).alias("UnitPrice"),
         F.col("buyer").alias("CustomerID"),
         F.col("land").alias("Country"),
         *kept,

@@ -55,6 +55,7 @@ CANCELLATION = "cancellation"
 OTHER_NEGATIVE = "other_negative"
 CATEGORIES = [POSITIVE_SALE, CANCELLATION, OTHER_NEGATIVE]
 
+# The money columns of every table.
 VALUE_COLUMNS = [
     "positive_sales_gbp",
     "cancellation_value_gbp",
@@ -62,6 +63,7 @@ VALUE_COLUMNS = [
     "net_value_gbp",
 ]
 
+# The measures of the audit.
 AUDIT_COLUMNS = [
     "signed_value_positive_price_gbp",
     "signed_value_nonpositive_price_gbp",
@@ -74,6 +76,8 @@ QUANTITY = "decimal(18,3)"
 PRICE = "decimal(18,6)"
 VALUE = "decimal(37,9)"
 MONEY = "decimal(38,9)"
+# Quantities and prices as they were read.
+SOURCE = "decimal(38,18)"
 
 
 @dataclass(frozen=True)

@@ -194,10 +194,32 @@ def test_the_largest_values_need_no_copies_to_be_audited(cleaned):
     assert total.remaining_signed_value_positive_price_gbp == 999999999999999 * 100000000000
 
 
-@pytest.mark.parametrize("change", [{"Quantity": "1e16"}, {"UnitPrice": "1e13"}])
-def test_values_beyond_capacity_fail(eligible, change):
+def test_products_beyond_capacity_fail(eligible):
     with pytest.raises(Exception, match="larger than the ledger can hold"):
-        eligible(line(**change)).collect()
+        eligible(line(Quantity="1e16", UnitPrice="1e13")).collect()
+
+
+@pytest.mark.parametrize(
+    "quantity, price, value",
+    [
+        ("3", "1000000000000000", "3000000000000000"),
+        ("3", "2e12", "6000000000000"),
+        ("10000000000000000", "0.5", "5000000000000000"),
+        ("1", "0.0000000001", "0"),
+        ("1000000000", "0.0000000001", "0.1"),
+        ("1000", "0.00000123456789", "0.001234568"),
+        ("1", "0.30000000000000004", "0.3"),
+        ("-7", "0.123456789012345678", "-0.864197523"),
+    ],
+)
+def test_finite_numbers_stay_as_they_are_in_the_source(cleaned, quantity, price, value):
+    lines = [line(Quantity=quantity, UnitPrice=price)] * 3
+    result = cleaned(*lines)
+    row = result.eligible.first()
+    assert (row.Quantity, row.UnitPrice, row.signed_value_gbp) == (Decimal(quantity), Decimal(price), Decimal(value))
+    build_analysis(result)
+    large = row.signed_value_gbp * 3
+    assert audit.audit_values(result.judged, result.judged.copies).first().signed_value_positive_price_gbp == large
 
 
 @pytest.mark.parametrize(
