@@ -423,6 +423,14 @@ def tables_sql() -> dict[str, str]:
         "fractional_identifiers": """SELECT source_row, CAST(l_extendedprice AS VARCHAR) AS fractional_price_text
             FROM (SELECT 1 + row_number() OVER () AS source_row, l_extendedprice FROM lineitem)
             WHERE l_extendedprice % 1 <> 0""",
+        "csv_source": f"{RAW} SELECT {EIGHT} FROM raw",
+        "typed_source": """SELECT CAST(l_orderkey AS VARCHAR) AS InvoiceNo, CAST(l_partkey AS VARCHAR) AS StockCode,
+            l_returnflag AS Description, CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) AS Quantity,
+            strftime(TIMESTAMP '1970-01-01 05:30:00' + to_days(CAST(l_orderkey AS INTEGER)) + to_hours(l_linenumber),
+                '%Y-%m-%d %H:%M:%S') AS InvoiceDate,
+            CAST(CAST(l_extendedprice AS DECIMAL(18,2)) AS VARCHAR) AS UnitPrice,
+            CAST(l_suppkey AS VARCHAR) AS CustomerID, l_linestatus AS Country
+            FROM lineitem""",
         "content_digests": f"""{RAW}, hashed AS (
             SELECT source_row, source_row // 1000 AS block,
                 md5(concat_ws('|', {", ".join(f"coalesce({name}, '-')" for name in RAW_COLUMNS)})) AS hash

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,11 +26,11 @@ from stallbook.plans import chartdata
 from stallbook.plans.analysis import audit_and_profile, build_tables, clean, compare_controls, reconcile
 from stallbook.plans.publish import export_columns, run_metadata
 from stallbook.schema import RAW_COLUMNS, Settings
-from stallbook.sources.files import RawLedger
+from stallbook.sources.files import RawLedger, read_ledger
 from stallbook.sources.fingerprint import changed_files, fingerprint, ordered_digest
 from stallbook.sources.numbering import number_parquet_rows
 from stallbook.sources.order_lines import raw_order_lines
-from stallbook.storage import written
+from stallbook.storage import shared_folder, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -103,6 +104,36 @@ def input_unchanged(spark, folder):
     )
 
 
+@query
+def csv_source(spark, folder):
+    """The raw lines as a folder of CSV files gives them back, recognised by its files."""
+    path = f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}"
+    blanks = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    _raw(spark, folder).write.options(header=True, escape='"', **blanks).csv(path)
+    return read_ledger(spark, path).lines.select(*RAW_COLUMNS)
+
+
+@query
+def typed_source(spark, folder):
+    """Lines of typed Parquet columns as text: whole numbers, dates and instants of a declared zone."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    moment = F.timestamp_seconds(F.col("l_orderkey") * 86_400 + F.col("l_linenumber") * 3_600)
+    typed = written(
+        lines.select(
+            F.col("l_orderkey").alias("InvoiceNo"),
+            F.col("l_partkey").cast("double").alias("StockCode"),
+            F.col("l_returnflag").alias("Description"),
+            F.col("l_quantity").alias("Quantity"),
+            moment.alias("InvoiceDate"),
+            F.col("l_extendedprice").cast("decimal(18,2)").alias("UnitPrice"),
+            F.col("l_suppkey").cast("int").alias("CustomerID"),
+            F.col("l_linestatus").alias("Country"),
+        ),
+        "typed",
+    )
+    return read_ledger(spark, typed.inputFiles()[0].rsplit("/", 1)[0], form="parquet", time_zone="Asia/Kolkata").lines.select(*RAW_COLUMNS)
+
+
 @query
 def content_digests(spark, folder):
     """Digest of each thousand raw lines as they are, and with every two neighbours swapped."""

@@ -22,7 +22,7 @@ from stallbook.storage import written
 
 METADATA = "run_metadata.json"
 CHARTS = tuple(f"{name}.json" for name in ("top_products", "country_sales", "monthly_sales", "sales_to_net", "period"))
-LINES = ("eligible_lines", "input_files")
+LINES = ("eligible_lines", "input_files", "rejected_rows")
 
 
 def chart_tables(tables: dict[str, DataFrame], settings: Settings) -> dict[str, DataFrame]:
@@ -42,24 +42,28 @@ def run_analysis(
     output: str,
     settings: Settings = Settings(),
     hash_content: bool = True,
+    **reading: str | bool,
 ) -> dict[str, DataFrame]:
     """Publish tables, chart data, eligible lines and metadata; return the nine tables.
 
     Nothing is published until every table is computed and reconciled and the input
     is known not to have changed, and then all of it or nothing. Metadata says that a run is complete.
-    hash_content=False compares file lists instead of reading the files again.
+    hash_content=False compares file lists instead of reading the files again. reading is what read_ledger takes
+    beside the path: form, multi_line, time_zone. Rows that are no lines are published as rejected_rows.
     """
     folder = Folder(spark, output)
     outputs = [*TABLES, *CHARTS, *LINES, METADATA]
     require_apart(folder, source, outputs)
     take_fingerprint = fingerprint if hash_content else listing
     before = written(take_fingerprint(spark, source), "fingerprint")
-    cleaned = clean(read_ledger(spark, source))
+    ledger = read_ledger(spark, source, **reading)
+    cleaned = clean(ledger)
     tables = build_analysis(cleaned, settings)
     require_unchanged(before, take_fingerprint(spark, source))
 
     charts = {f"{name}.json": table for name, table in chart_tables(tables, settings).items()}
-    frames = {"eligible_lines": cleaned.eligible, "input_files": before}
+    none = spark.createDataFrame([], "source_file string, source_row bigint, record string")
+    frames = {"eligible_lines": cleaned.eligible, "input_files": before, "rejected_rows": none if ledger.rejects is None else ledger.rejects}
     metadata = run_metadata(source, folder.path, outputs, before, cleaned.profile, settings).coalesce(1)
     described = metadata.withColumn("complete", F.lit(True))
 
