@@ -56,7 +56,8 @@ STAGES: list[tuple[str, Stage]] = [
     ("packing", packing),
 ]
 
-#: Compression, word hashes and tokens are beyond SQL; tests/llm compares each stage with brute force.
+#: Compression, word hashes and tokens are beyond SQL. tests/llm compares the methods of exact, near, benchmark and packing with
+#: brute force, language with given labels, and the pipeline with its stages.
 ORACLE_SQL: str | None = None
 
 
