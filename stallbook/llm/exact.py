@@ -2,6 +2,8 @@
 
 1. Every partition hashes its texts, sorts the distinct fingerprints and sends each owner, who owns
    one range of fingerprints, its slice as a Golomb code of the gaps (parameter a power of two).
+   Its own bitmap of what it saw repeated is cut the same way, so what is sent grows with the
+   fingerprints and not with senders times owners.
 2. An owner decodes the slices of all senders and returns to each a bitmap of those fingerprints
    that another sender has too.
 3. Senders turn the bitmaps, and what they saw repeated themselves, into suspect fingerprints. Only
@@ -22,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,11 +34,23 @@ from stallbook.storage import written
 
 #: Bits of a fingerprint. At 10^11 texts some ten million are suspected without cause.
 BITS = 48
-#: Rows that a sender sorts at once, and fingerprints that an owner gets, about.
+#: Fingerprints that a sender sorts at once, at least, and that an owner gets, about.
 CHUNK = 1 << 16
 OWNED = 500_000
 
-ROWS = "doc_id long, text_sha256 string, fp long, row long, sender long, repeated binary, slices array<struct<owner:int,n:int,rice:int,unary:binary,rest:binary>>"
+#: A sender waits until its slices have about so many fingerprints, within bounds of memory.
+LEAST, LARGEST = 64, 1 << 22
+
+#: A row is a document's digest or, with nothing else, a slice for an owner.
+ROWS = (
+    "doc_id long, text_sha256 string, fp long, row long,"
+    " slice struct<sender:long,owner:int,n:int,rice:int,unary:binary,rest:binary,repeated:binary>"
+)
+NAMES = ["doc_id", "text_sha256", "fp", "row", "slice"]
+SLICE = pa.struct(
+    [("sender", pa.int64()), ("owner", pa.int32()), ("n", pa.int32()), ("rice", pa.int32())]
+    + [(name, pa.binary()) for name in ("unary", "rest", "repeated")]
+)
 
 
 def normal(text: Column) -> Column:
@@ -65,37 +80,41 @@ def ungolomb(n: int, rice: int, unary: bytes, rest: bytes) -> np.ndarray:
 
 def _sender(owners: int):
     width = BITS - (owners - 1).bit_length()  # owners is a power of two
-
-    def send(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        number = 0
-
-        def chunk(parts: list[pd.DataFrame]) -> pd.DataFrame:
-            rows = pd.concat(parts, ignore_index=True)
-            values, counts = np.unique(rows["fp"].to_numpy(), return_counts=True)
-            owner = values >> width
-            starts = np.flatnonzero(np.diff(owner, prepend=-1))
+    size = min(max(CHUNK, LEAST * owners), LARGEST)
+
+    def cut(parts: list[np.ndarray], sender: int) -> Iterator[pa.RecordBatch]:
+        """The slices of one sender, as rows of which only `slice` is filled."""
+        values, counts = np.unique(np.concatenate(parts), return_counts=True)
+        owner = values >> width
+        starts = np.flatnonzero(np.diff(owner, prepend=-1))
+        ends = np.append(starts[1:], len(values))
+        for at in range(0, len(starts), 4096):
             slices = []
-            for low, high in zip(starts, [*starts[1:], len(values)], strict=True):
+            for low, high in zip(starts[at : at + 4096], ends[at : at + 4096], strict=True):
                 rice, unary, rest = golomb(values[low:high] & ((1 << width) - 1), width)
-                slices.append({"owner": int(owner[low]), "n": int(high - low), "rice": rice, "unary": unary, "rest": rest})
-            sender = (TaskContext.get().partitionId() << 24) | number
-            rows["row"] = (sender << 20) + np.arange(len(rows))
-            rows["sender"] = sender
-            rows["repeated"] = [np.packbits(counts > 1).tobytes()] + [None] * (len(rows) - 1)
-            rows["slices"] = [slices] + [None] * (len(rows) - 1)
-            return rows
-
-        waiting, held = [], 0
+                repeated = np.packbits(counts[low:high] > 1).tobytes()
+                slices.append((sender, int(owner[low]), int(high - low), rice, unary, rest, repeated))
+            fields = [pa.array(column, f.type) for column, f in zip(zip(*slices, strict=True), SLICE, strict=True)]
+            empty = [pa.nulls(len(slices), t) for t in (pa.int64(), pa.string(), pa.int64(), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*empty, pa.StructArray.from_arrays(fields, fields=list(SLICE))], names=NAMES)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 40
+        sender = TaskContext.get().partitionId() << 24
+        row, waiting, held = 0, [], 0
         for batch in batches:
-            for low in range(0, len(batch), CHUNK):
-                part = batch.iloc[low : low + CHUNK]
-                if held + len(part) > CHUNK:
-                    yield chunk(waiting)
-                    waiting, held, number = [], 0, number + 1
-                waiting.append(part)
-                held += len(part)
+            numbers = pa.array(first + row + np.arange(batch.num_rows))
+            row += batch.num_rows
+            yield pa.RecordBatch.from_arrays([*batch.columns, numbers, pa.nulls(batch.num_rows, SLICE)], names=NAMES)
+            prints = batch.column("fp").to_numpy()
+            for low in range(0, len(prints), CHUNK):
+                waiting.append(prints[low : low + CHUNK])
+                held += len(waiting[-1])
+                if held >= size:
+                    yield from cut(waiting, sender)
+                    waiting, held, sender = [], 0, sender + 1
         if held:
-            yield chunk(waiting)
+            yield from cut(waiting, sender)
 
     return send
 
@@ -116,41 +135,33 @@ def _suspects(owners: int):
         for batch in batches:
             for x in batch.itertuples():
                 bits = np.unpackbits(np.frombuffer(x.bitmap, np.uint8))[: x.n].astype(bool)
-                bits |= np.unpackbits(np.frombuffer(x.repeated, np.uint8))[x.first : x.first + x.n].astype(bool)
+                bits |= np.unpackbits(np.frombuffer(x.repeated, np.uint8))[: x.n].astype(bool)
                 if bits.any():
                     yield pd.DataFrame({"fp": ungolomb(x.n, x.rice, x.unary, x.rest)[bits] | (x.owner << width)})
 
     return found
 
 
-def exchange(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Digests of all rows, and the suspect fingerprints, both written."""
-    owners = 1 << max(0, -(-docs.count() // OWNED) - 1).bit_length()
-    hashed = texts(docs).select("doc_id", normal(F.col("text")).alias("body"))
+def digests(docs: DataFrame, owners: int) -> tuple[DataFrame, DataFrame]:
+    """Digests of all rows, and the slices that senders have for owners, both from one written table."""
+    hashed = texts(docs).select(F.col("doc_id").cast("long").alias("doc_id"), normal(F.col("text")).alias("body"))
     hashed = hashed.select(
         "doc_id",
         F.sha2("body", 256).alias("text_sha256"),
         F.shiftrightunsigned(F.xxhash64("body"), 64 - BITS).alias("fp"),
     )
-    rows = written(hashed.mapInPandas(_sender(owners), ROWS), "digests")
-    # `first`: where the slice begins among the sender's sorted fingerprints.
-    sent = rows.where("slices is not null").select(
-        "sender",
-        "repeated",
-        F.explode(
-            F.transform(
-                "slices",
-                lambda x, i: F.struct(
-                    x.alias("slice"),
-                    F.aggregate(F.slice("slices", 1, i), F.lit(0), lambda total, y: total + y["n"]).alias("first"),
-                ),
-            )
-        ).alias("x"),
-    ).select("sender", "repeated", "x.slice.*", "x.first")
-    answers = sent.select("sender", "owner", "n", "rice", "unary", "rest").groupBy("owner").applyInPandas(_answer, "sender long, owner int, bitmap binary")
+    rows = written(hashed.mapInArrow(_sender(owners), ROWS), "digests")
+    return rows.where("fp is not null").drop("slice"), rows.where("fp is null").select("slice.*")
+
+
+def exchange(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Digests of all rows, and the suspect fingerprints, both written."""
+    owners = 1 << max(0, -(-docs.count() // OWNED) - 1).bit_length()
+    rows, sent = digests(docs, owners)
+    answers = sent.drop("repeated").groupBy("owner").applyInPandas(_answer, "sender long, owner int, bitmap binary")
     back = sent.join(answers, ["sender", "owner"])
     suspects = written(back.mapInPandas(_suspects(owners), "fp long").distinct(), "suspects")
-    return rows.drop("slices", "repeated"), suspects
+    return rows, suspects
 
 
 def groups(docs: DataFrame) -> DataFrame:
