@@ -239,7 +239,7 @@ def determined(machine: Machine, start: int, ends: dict[int, int], anywhere: boo
 
 
 class Scanner:
-    """All rules in one automaton, and for each rule its own, forwards and backwards."""
+    """All rules in one automaton, and for each rule its own: forwards, backwards, and from anywhere on."""
 
     def __init__(self, rules: tuple[Rule, ...] = RULES):
         self.rules = rules
@@ -250,12 +250,15 @@ class Scanner:
         self.all = determined(machine, start, ends, anywhere=True)
         self.own = []
         for tree in trees:
-            pair = []
+            three = []
             for backwards in (False, True):
                 machine = Machine()
                 start = machine.state()
-                pair.append(determined(machine, start, {built(machine, tree, start, backwards): 0}, anywhere=False))
-            self.own.append(pair)
+                three.append(determined(machine, start, {built(machine, tree, start, backwards): 0}, anywhere=False))
+            machine = Machine()
+            start = machine.state()
+            three.append(determined(machine, start, {built(machine, tree, start): 0}, anywhere=True))
+            self.own.append(three)
 
     @staticmethod
     def furthest(automaton: Automaton, data: bytes, at: int, stop: int, step: int) -> int | None:
@@ -270,20 +273,40 @@ class Scanner:
                 found = at
         return found
 
+    @staticmethod
+    def advanced(automaton: Automaton, data: bytes, alone: list[tuple[int, int] | None], k: int, to: int) -> bool:
+        """Run rule k alone from where it stands up to a byte; whether it accepts there."""
+        (at, state), moves = alone[k], automaton.table
+        for byte in data[at:to]:
+            state = moves[state * 256 + byte]
+        alone[k] = to, state
+        return state >= automaton.accepting
+
     def spans(self, data: bytes) -> list[tuple[int, int, int]]:
-        """(start, end, rule) of every match, in bytes."""
+        """(start, end, rule) of every match, in bytes.
+
+        A rule whose hit proves to have begun inside its match before is run alone, and only onwards, from
+        the end of that match until it accepts, so that no byte is read again for every later hit.
+        """
         moves, accepting, accepts = self.all.table, self.all.accepting, self.all.accepts
         state, done = self.all.start, [0] * len(self.rules)
+        alone: list[tuple[int, int] | None] = [None] * len(self.rules)
         found = []
         for at, byte in enumerate(data, 1):
             state = moves[state * 256 + byte]
             if state >= accepting:
                 for k in range(len(done)):
                     if accepts[state] >> k & 1 and at > done[k]:
-                        forwards, backwards = self.own[k]
-                        start = self.furthest(backwards, data, at, done[k], -1)
-                        if start is None:
-                            continue  # it began inside the match before
+                        forwards, backwards, anywhere = self.own[k]
+                        start = None
+                        if alone[k] is None or self.advanced(anywhere, data, alone, k, at):
+                            start = self.furthest(backwards, data, at, done[k], -1)
+                        if start is None:  # it began inside the match before
+                            if alone[k] is None:
+                                alone[k] = done[k], anywhere.start
+                                self.advanced(anywhere, data, alone, k, at)
+                            continue
+                        alone[k] = None
                         done[k] = end = self.furthest(forwards, data, start, len(data), 1)
                         rule = self.rules[k]
                         if (value_size(data[start:end]) if rule.assigned else end - start) >= rule.least:
@@ -316,7 +339,7 @@ def found_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int =
     """doc_id, matches of each rule, and spans as kind:start:end, of the first rules and of all."""
     scanner = Scanner(rules)
     # What is sent depends on the rules only: some thousand states of 256 numbers.
-    automata = [scanner.all, *(a for pair in scanner.own for a in pair)]
+    automata = [scanner.all, *(a for three in scanner.own for a in three)]
     sent = docs.sparkSession.sparkContext.broadcast(
         [(np.array(a.table, np.int32), a.accepts, a.start, a.accepting, a.dead) for a in automata]
     )
@@ -326,7 +349,7 @@ def found_secrets(docs: DataFrame, rules: tuple[Rule, ...] = RULES, base: int =
         own = Scanner.__new__(Scanner)
         own.rules = rules
         own.all, *rest = (Automaton(moves.tolist(), *rest) for moves, *rest in sent.value)
-        own.own = list(zip(rest[::2], rest[1::2], strict=True))
+        own.own = list(zip(rest[::3], rest[1::3], rest[2::3], strict=True))
         for batch in batches:
             rows = []
             for text in batch["text"]:
