@@ -22,7 +22,7 @@ from __future__ import annotations
 
 import html as references
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 
 import pandas as pd
 from pyspark.ml.classification import DecisionTreeClassifier
@@ -41,6 +41,10 @@ INLINE = (
 ).split()
 VOID = "area base br col embed hr img input link meta param source track wbr".split()
 PARAGRAPH_ENDS = "p div section article main aside nav header footer h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure hr form".split()
+#: Elements whose end tag may be left out, and the tags that end them as the next in a row.
+SIBLINGS = {
+    "li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "td": ("td", "th"), "th": ("td", "th"), "tr": ("td", "th", "tr"),
+}
 MAIN = "article main".split()
 ASIDE = "nav header footer aside form menu dialog button fieldset label".split()
 MAIN_WORDS = set("article articlebody main content post entry story".split())
@@ -129,10 +133,54 @@ def role(tag: str, attributes: str, nested: bool = False) -> str:
     return "m" if tag not in INLINE and any(not MAIN_WORDS.isdisjoint(name) for name in names) else ""
 
 
+class Open:
+    """The open elements, with what is asked of them kept up to date, so that no token walks through all."""
+
+    def __init__(self):
+        self.elements: list[tuple[str, str, str]] = []  # tag, kind, and the place that its text has
+        self.hidden: list[int] = []  # where elements of kind h are
+        self.where: dict[str, list[int]] = {}  # where elements of each tag are
+
+    def push(self, tag: str, kind: str) -> None:
+        place = self.place
+        # The header of an article is its headline; any other aside in it is one.
+        if kind == "m" and not place:
+            place = "m"
+        elif kind == "a" and not (tag == "header" and place == "m"):
+            place = "x" if place in ("m", "x") else "a"
+        if kind == "h":
+            self.hidden.append(len(self.elements))
+        self.where.setdefault(tag, []).append(len(self.elements))
+        self.elements.append((tag, kind, place))
+
+    def close(self, at: int) -> None:
+        """Close the element at a place and all in it."""
+        while len(self.elements) > at:
+            tag, kind, _ = self.elements.pop()
+            self.where[tag].pop()
+            if kind == "h":
+                self.hidden.pop()
+
+    def close_last(self, tags: Collection[str]) -> None:
+        """Close the innermost elements as long as they are of these tags."""
+        while self.elements and self.elements[-1][0] in tags:
+            self.close(len(self.elements) - 1)
+
+    def last(self, tag: str) -> int | None:
+        return self.where[tag][-1] if self.where.get(tag) else None
+
+    @property
+    def place(self) -> str:
+        return self.elements[-1][2] if self.elements else ""
+
+
 def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
-    """Text, words, linked words, place (as in LABELLED) and whether it is a heading, of each block."""
+    """Text, words, linked words, place (as in LABELLED) and whether it is a heading, of each block.
+
+    The time is in proportion to the page, also where elements are never closed.
+    """
     found: list[tuple[str, int, int, str, bool]] = []
-    stack: list[tuple[str, str]] = []
+    stack = Open()
     parts: list[str] = []
     linked, anchor, heading = 0, 0, False
 
@@ -140,21 +188,14 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
         nonlocal linked, heading
         text = " ".join("".join(parts).split())
         if text:
-            place = ""
-            for tag, kind in stack:
-                # The header of an article is its headline; any other aside in it is one.
-                if kind == "m" and not place:
-                    place = "m"
-                elif kind == "a" and not (tag == "header" and place == "m"):
-                    place = "x" if place in ("m", "x") else "a"
             words = len(text.split())
-            found.append((text, words, min(words, linked), place or "-", heading))
+            found.append((text, words, min(words, linked), stack.place or "-", heading))
         parts.clear()
         linked = 0
 
     for token in _TOKEN.finditer(html or ""):
         if token["text"] is not None:
-            if any(kind == "h" for _, kind in stack):
+            if stack.hidden:
                 continue
             text = references.unescape(token["text"])
             parts.append(text)
@@ -166,25 +207,25 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
             continue
         if not token["end"] and tag in PARAGRAPH_ENDS:
             # A film or drawing surface that is never closed ends with its paragraph.
-            opened = next((k for k, (_, kind) in enumerate(stack) if kind == "h"), 0)
-            if opened and stack[opened - 1][0] == "p" and stack[opened][0] in ("video", "audio", "canvas"):
-                del stack[opened:]
-        hidden = any(kind == "h" for _, kind in stack)
+            opened = stack.hidden[0] if stack.hidden else 0
+            if opened and stack.elements[opened - 1][0] == "p" and stack.elements[opened][0] in ("video", "audio", "canvas"):
+                stack.close(opened)
+        hidden = bool(stack.hidden)
         if tag in HIDDEN and not token["end"]:
             if not _CLOSED.search(token["attributes"] or ""):
-                stack.append((tag, "h"))
+                stack.push(tag, "h")
             continue
         if hidden and not token["end"]:
             if tag not in VOID and not _CLOSED.search(token["attributes"] or ""):
-                stack.append((tag, ""))
+                stack.push(tag, "")
             continue
+        at = stack.last(tag)
         if hidden:
             # What is hidden ends by its own tag, which parts no text, or by its parent's.
-            if not any(t == tag for t, _ in stack):
+            if at is None:
                 continue
-            at = max(k for k, (t, _) in enumerate(stack) if t == tag)
-            if any(kind == "h" for _, kind in stack[: at + 1]):
-                del stack[at:]
+            if stack.hidden[0] <= at:
+                stack.close(at)
                 continue
         if tag == "br":
             parts.append(" ")
@@ -193,25 +234,23 @@ def blocks(html: str | None) -> list[tuple[str, int, int, str, bool]]:
         if token["end"]:
             if tag == "a":
                 anchor = 0
-            if any(t == tag for t, _ in stack):
-                while stack.pop()[0] != tag:
-                    pass
+            if at is not None:
+                stack.close(at)
             heading = False
             continue
         if tag not in INLINE:
             heading = len(tag) == 2 and tag[0] == "h" and tag[1].isdigit()
-            while stack and stack[-1][0] == "p":  # a paragraph ends where the next block begins
-                stack.pop()
+            stack.close_last(("p",))  # a paragraph ends where the next block begins
+            stack.close_last(SIBLINGS.get(tag, ()))
         if tag == "a":
             anchor = 1
         if tag in VOID:
             continue
-        kind = role(tag, token["attributes"] or "", any(t == "article" for t, _ in stack))
+        kind = role(tag, token["attributes"] or "", stack.last("article") is not None)
         if tag in MAIN and kind == "m":
-            while stack and stack[-1][0] in ("nav", "header", "p"):  # never closed
-                stack.pop()
+            stack.close_last(("nav", "header", "p"))  # never closed
         if tag not in INLINE or kind:
-            stack.append((tag, kind))
+            stack.push(tag, kind)
     flush()
     return found
 
