@@ -18,6 +18,7 @@ from stallbook.operators.lines import (
     judge,
     judged_lines,
     parsed_lines,
+    stored_lines,
 )
 from stallbook.operators.metrics import category_counts, metrics, metrics_by
 from stallbook.operators.profile import raw_profile
@@ -264,7 +265,7 @@ def line_disposition(spark, folder):
 
 @query
 def eligible_lines_query(spark, folder):
-    return portable(eligible_lines(_judged(spark, folder, numbered=True)))
+    return portable(eligible_lines(stored_lines(_judged(spark, folder, numbered=True))))
 
 
 @query
@@ -307,9 +308,8 @@ def product_summary(spark, folder):
 
 @query
 def product_summary_distributed(spark, folder):
-    """The same table by the way that ranks more products than one task should."""
-    lines = _lines(spark, folder)
-    return portable(summaries.product_summary(lines, single_task_rows=0))
+    """The same table ranked in so many ranges that equal values lie in several."""
+    return portable(summaries.product_summary(_lines(spark, folder), ranges=64))
 
 
 @query
@@ -342,9 +342,8 @@ def customer_summary(spark, folder):
 
 @query
 def customer_summary_distributed(spark, folder):
-    """The same table by the way that orders more customers than one task should."""
-    lines = _lines(spark, folder)
-    return portable(summaries.customer_summary(lines, single_task_rows=0))
+    """The same table ordered in many ranges."""
+    return portable(summaries.customer_summary(_lines(spark, folder), ranges=64))
 
 
 @query
@@ -445,7 +444,7 @@ def metrics_with_duplicates(spark, folder):
 
 @query
 def eligible_lines_without_dedup(spark, folder):
-    return portable(eligible_lines(_every_line(spark, folder, numbered=True)))
+    return portable(eligible_lines(stored_lines(_every_line(spark, folder, numbered=True))))
 
 
 @query

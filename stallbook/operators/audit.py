@@ -207,8 +207,9 @@ def excluded_entries(judged: DataFrame, remove_duplicates: bool = True) -> DataF
     basis = "post_deduplication" if remove_duplicates else "raw"
     status = price_status(F.col("computable"), F.col("price_number"))
     groups = (
-        # Right after deduplication, the rule is the code and nothing else.
-        judged.where(is_excluded(F.col("code")))
+        # Right after deduplication, the rule is the code and nothing else. Both are asked: the
+        # disposition picks the folder of stored lines, the code spares others their judgement.
+        judged.where(is_excluded(F.col("code")) & (F.col("disposition") == "excluded_codes"))
         .withColumn("status", status)
         .groupBy(F.col("code").alias("StockCode"))
         .agg(

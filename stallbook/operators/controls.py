@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stallbook.functions.numbers import times_copies
-from stallbook.operators.lines import COPIES, ELIGIBLE
+from stallbook.operators.lines import COPIES, ELIGIBLE, stored_lines
 from stallbook.schema import AUDIT_COLUMNS, MONEY, VALUE_COLUMNS
 from stallbook.storage import written
 
@@ -45,7 +45,7 @@ def counted() -> list[Column]:
 def written_with_totals(lines: DataFrame, name: str, totals: list[Column]) -> tuple[DataFrame, dict[str, Decimal]]:
     """lines, written, and the totals over them that the writing tasks took."""
     seen = Observation(f"{name} totals")
-    stored = written(lines.observe(seen, *totals), name)
+    stored = stored_lines(lines.observe(seen, *totals), name)
     return stored, seen.get
 
 

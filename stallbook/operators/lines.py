@@ -18,6 +18,7 @@ from stallbook.schema import (
     POSITIVE_SALE,
     RAW_COLUMNS,
 )
+from stallbook.storage import written
 
 COPIES = "copies"
 ELIGIBLE = "eligible"
@@ -116,8 +117,8 @@ def category() -> Column:
 def classified_lines(judged: DataFrame) -> DataFrame:
     """All judged lines, normalised, with signed value, category and copies.
 
-    The reports take these as they are and let removed lines, which have no category,
-    count for nothing. Filtering them out first would make Spark judge every raw line
+    Reports on lines that are not stored take these as they are and let removed lines, which have no
+    category, count for nothing. Filtering them out first would make Spark judge every raw line
     once more below the shuffle, and parse each one again for the filter alone.
     """
     kept = ["source_row"] if "source_row" in judged.columns else []
@@ -141,17 +142,18 @@ def is_eligible() -> Column:
     return F.col("transaction_category").isNotNull()
 
 
+def stored_lines(judged: DataFrame, name: str = "judged") -> DataFrame:
+    """judged, written once in folders by disposition: who asks for some of them reads only theirs."""
+    return written(judged, name, by="disposition")
+
+
 def eligible_lines(judged: DataFrame) -> DataFrame:
     """Survivors of all rules.
 
-    The one-element explode keeps the filter above the judgement, so that each line is
-    parsed once and not again for the filter, nor once more for each raw copy.
+    Of stored lines this reads one folder. Of others the filter goes below the shuffle of the distinct
+    lines, where each copy is judged for it: store them first.
     """
-    return (
-        classified_lines(judged)
-        .withColumn("transaction_category", F.explode(F.array("transaction_category")))
-        .where(is_eligible())
-    )
+    return classified_lines(judged.where(F.col("disposition") == ELIGIBLE))
 
 
 def judge(raw: DataFrame) -> DataFrame:

@@ -22,11 +22,7 @@ from stallbook.operators.metrics import (
     total,
     with_derived,
 )
-from stallbook.operators.ranking import (
-    SINGLE_TASK_ROWS,
-    with_descending_ranks,
-    with_positions,
-)
+from stallbook.operators.ranking import with_descending_ranks, with_positions
 from stallbook.operators.sensitivity import sums_before
 from stallbook.schema import MONEY, POSITIVE_SALE, VALUE_COLUMNS, Settings
 from stallbook.storage import written
@@ -132,14 +128,13 @@ def product_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def product_summary(
-    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def product_summary(lines: DataFrame, ranges: int | None = None) -> DataFrame:
     products = written(product_totals(lines), "products")
     ranked = with_descending_ranks(
         products,
         {"positive_sales_gbp": "positive_sales_rank", "net_value_gbp": "net_value_rank"},
-        single_task_rows,
+        "StockCode",
+        ranges,
     )
     return (
         _share(with_derived(ranked), products, "sales_share_pct")
@@ -229,9 +224,7 @@ def customer_totals(lines: DataFrame) -> DataFrame:
     )
 
 
-def customer_table(
-    customers: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
+def customer_table(customers: DataFrame, ranges: int | None = None) -> DataFrame:
     """Identified customers, best first, with shares of identified sales.
 
     customers holds one row for each customer and must be written.
@@ -241,7 +234,7 @@ def customer_table(
         known.select("CustomerID", "positive_sales_gbp"),
         [("positive_sales_gbp", True), ("CustomerID", False)],
         "display_order",
-        single_task_rows,
+        ranges,
     )
     return (
         _share(placed, known, "share_of_identified_sales_pct")
@@ -251,10 +244,8 @@ def customer_table(
     )
 
 
-def customer_summary(
-    lines: DataFrame, single_task_rows: int = SINGLE_TASK_ROWS
-) -> DataFrame:
-    return customer_table(written(customer_totals(lines), "customers"), single_task_rows)
+def customer_summary(lines: DataFrame, ranges: int | None = None) -> DataFrame:
+    return customer_table(written(customer_totals(lines), "customers"), ranges)
 
 
 def customer_sums(customers: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ CONCURRENT_REPORTS = 4
 class CleanLedger:
     """Judged lines and what follows from them; charged, profile and controls are a few rows.
 
+    lines are those of counted, classified; eligible are the ones of them that the tables are made of.
     judged has distinct lines with their copies; counted has the lines that the tables count, which
     are the same or, with duplicates kept, every copy as a line of its own.
     """
@@ -116,14 +117,14 @@ def build_tables(cleaned: CleanLedger, settings: Settings = Settings()) -> dict[
     The reports are independent jobs, so they run side by side.
     """
     checks.require_lines(cleaned.charged)
-    lines = cleaned.lines
+    lines = cleaned.eligible
     with ThreadPoolExecutor(CONCURRENT_REPORTS) as pool:
         # Two passes over the lines leave all that six of the tables need.
         totals_job = pool.submit(written, summaries.country_month_totals(lines), "totals")
         # The comparison is always of distinct lines with all their copies.
         compared_job = totals_job
         if cleaned.counted is not cleaned.judged:
-            distinct = summaries.country_month_totals(classified_lines(cleaned.judged))
+            distinct = summaries.country_month_totals(eligible_lines(cleaned.judged))
             compared_job = pool.submit(written, distinct, "compared")
         customers_job = pool.submit(written, summaries.customer_totals(lines), "customers")
         reports = {

@@ -24,13 +24,14 @@ def shared_folder(spark: SparkSession) -> str:
     return _local_folder()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """Write df once and return it read back.
 
     Cuts lineage so that lost executors cost a re-read and not a re-run, and
-    lets every reader take only its columns.
+    lets every reader take only its columns; by is a column of few values, none of them null,
+    by which the files are parted, so that readers that filter on it read only theirs.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
+    return spark.read.schema(df.schema).parquet(path).select(*df.columns)
