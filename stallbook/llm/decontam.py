@@ -1,9 +1,9 @@
 """Benchmark decontamination by spaced seeds.
 
 Words of a benchmark item and of a document are hashed through fixed masks, each of which looks at
-some of the words of a window and ignores the others. Equal hashes of the same mask join a place in
-an item to a place in a document, even where words in between were replaced; the overlap around
-each such hit is then verified word by word.
+some of the words of a window and ignores the others. Equal hashes of the same mask join a text to
+an item, even where words in between were replaced; the overlap at each alignment that such a
+hit gives is then verified word by word.
 
 An overlap is the longest stretch, at fixed alignment, that begins and ends in agreement and in which at
 least SIMILARITY of the words agree. It counts if it is as long as LEAST words. An item of fewer words is
@@ -11,9 +11,13 @@ compared whole, its first and last word may be replaced as well. No such overlap
 MASKS together hit FIVE adjacent words with any one replaced, and of a stretch of n words with at most a
 fifth replaced, one of its n // FIVE windows of FIVE has at most one replaced.
 
-Words are runs of letters and digits, lower-cased; all else separates them. Items are taken in
-blocks of at most BLOCK words. Only a block's hashes are sent to the tasks, so what is broadcast is
-bounded; further blocks are further passes, and none is left out.
+Words are runs of letters and digits, lower-cased; all else separates them. Seeds of both sides are
+made in tasks and joined by hash; each text takes part once, however many documents hold it. Before
+the join a bitmap of BITS bits, each seed of the benchmark setting two, sets texts aside that share no
+seed with it. The bitmap is all that the driver sees and all that is broadcast, 8 MB for a benchmark of
+any size; a fuller one lets more texts through to the join, which decides.
+A text is compared with at most BLOCK words of items in a row, with more of them in further rows, and
+takes memory in proportion to its own length and an item's.
 
 Cases: null and empty texts have no words and match nothing. Items of fewer than FIVE words are no
 evidence and match nothing. Repeated items are all reported, and items without an id as null. Empty tables give no rows, or no matches. Other
@@ -28,24 +32,31 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.tables import table
+from stallbook.llm.tables import fresh, join_side, table
+from stallbook.storage import written
 
 #: Places of a window of FIVE that each mask looks at; the first also finds the last four words of one.
 MASKS = ((0, 1, 2, 3), (0, 2, 3, 4), (0, 1, 3, 4), (0, 1, 2, 4))
 FIVE = 5
 SIMILARITY = 0.8
 LEAST = 13
-#: Words of the benchmark that one pass over the documents looks for.
-BLOCK = 500_000
-#: Texts that a task searches at once.
+#: Words of items, and one item more, that a text is compared with in one row.
+BLOCK = 20_000
+#: Bits of the bitmap of seeds, as a power of two, and of each of its pieces, which Spark fixes.
+BITS = 26
+PIECE = 15
+#: Texts whose seeds a task makes at once.
 AT_ONCE = 256
 #: Distinct words whose hashes a task remembers.
 REMEMBERED = 1 << 19
 
 HITS = "array<struct<item_id:long,first_word:int,words:int,similarity:double>>"
+#: Of item_seeds and verified.
+ITEM_SEEDS = "struct<n_words:long,seeds:array<long>>"
+FOUND = "array<struct<k:int,first_word:int,words:int,similarity:double>>"
 
 _ODD = np.random.default_rng(7).integers(1, 1 << 63, size=(4, 8), dtype=np.uint64) | np.uint64(1)
 
@@ -74,71 +85,60 @@ def seeds(words: np.ndarray, mask: tuple[int, ...], number: int) -> np.ndarray:
     return out * np.uint64(0x9E3779B97F4A7C15)
 
 
+def alignments(words: np.ndarray, items: list[np.ndarray]) -> Iterator[tuple[int, np.ndarray]]:
+    """(item, where it would begin in words) for all alignments at which they share a seed.
+
+    One flag for each alignment, so repeated words give no more than there are alignments.
+    """
+    sides = []
+    for number, mask in enumerate(MASKS):
+        here = seeds(words, mask, number)
+        order = np.argsort(here)
+        sides.append((number, mask, here[order], order))
+    for n, item in enumerate(items):
+        flags = np.zeros(len(words) + len(item), bool)
+        for number, mask, here, order in sides:
+            wanted = seeds(item, mask, number)
+            low, high = np.searchsorted(here, wanted), np.searchsorted(here, wanted, "right")
+            for place in np.flatnonzero(low < high).tolist():
+                flags[order[low[place] : high[place]] + (len(item) - place)] = True
+        starts = np.flatnonzero(flags) - len(item)
+        if len(starts):
+            yield n, starts
+
+
 class Block:
-    """Words and seed hashes of some items, ready to be looked up."""
+    """Words of some items, ready to be compared with texts."""
 
     def __init__(self, items: list[tuple[int, np.ndarray]]):
         self.ids = [i for i, _ in items]
         self.words = [w for _, w in items]
-        self.masks = list(MASKS)
-        self.lookup = []
-        for number, mask in enumerate(self.masks):
-            parts = [(seeds(w, mask, number), n) for n, w in enumerate(self.words)]
-            hashes = np.concatenate([h for h, _ in parts] or [np.empty(0, np.uint64)])
-            item = np.concatenate([np.full(len(h), n) for h, n in parts] or [np.empty(0, np.int64)])
-            place = np.concatenate([np.arange(len(h)) for h, _ in parts] or [np.empty(0, np.int64)])
-            order = np.argsort(hashes, kind="stable")
-            self.lookup.append((hashes[order], item[order], place[order]))
-        bits = max(16, min(24, int(128 * sum(len(w) for w in self.words) + 1).bit_length()))
-        self.shift = np.uint64(64 - bits)
-        self.seen = np.zeros(1 << bits, bool)
-        for hashes, _, _ in self.lookup:
-            self.seen[hashes >> self.shift] = True
-
-    def candidates(self, words: np.ndarray) -> list[tuple[int, int, int]]:
-        """(place, item, alignment) where a seed is shared; alignment is where the item would begin."""
-        found: set[tuple[int, int, int]] = set()
-        for number, mask in enumerate(self.masks):
-            hashes, item, place = self.lookup[number]
-            here = seeds(words, mask, number)
-            at = np.flatnonzero(self.seen[here >> self.shift])
-            if not len(at) or not len(hashes):
-                continue
-            low, high = np.searchsorted(hashes, here[at]), np.searchsorted(hashes, here[at], "right")
-            hit = low < high
-            for x, a, b in zip(at[hit].tolist(), low[hit].tolist(), high[hit].tolist(), strict=True):
-                found.update((x, n, x - p) for n, p in zip(item[a:b].tolist(), place[a:b].tolist(), strict=True))
-        return sorted(found)
 
     def matches(self, texts: list[np.ndarray]) -> list[list[tuple[int, int, int, float]]]:
-        """For each text its verified overlaps with the items, the best of each item.
-
-        The texts are searched as one array; a window over the end of a text fails verification.
-        """
-        ends = np.cumsum([len(t) for t in texts])
-        best: list[dict[int, tuple]] = [{} for _ in texts]
-        verified = set()
-        for x, number, start in self.candidates(np.concatenate(texts) if texts else np.empty(0, np.uint64)):
-            which = int(np.searchsorted(ends, x, "right"))
-            words, item = texts[which], self.words[number]
-            start -= int(ends[which]) - len(words)
-            if (which, number, start) in verified:
-                continue
-            verified.add((which, number, start))
-            first, last = max(0, -start), min(len(item), len(words) - start)
-            if last <= first:
-                continue
-            agree = item[first:last] == words[start + first : start + last]
-            if len(item) < LEAST:
-                whole = len(agree) == len(item) and agree.sum() * 100 >= round(100 * SIMILARITY) * len(item)
-                stretch = (0, len(item)) if whole else None
-            else:
-                stretch = longest(agree)
-            if stretch and stretch[1] - stretch[0] >= min(LEAST, len(item)):
-                a, b = stretch
-                row = (int(agree[a:b].sum()), -(start + first + a), b - a)
-                best[which][number] = max(best[which].get(number, (0,)), row)
-        return [[(self.ids[n], -at, size, hits / size) for n, (hits, at, size) in sorted(x.items())] for x in best]
+        """For each text its verified overlaps with the items, the best of each item."""
+        return [self._of(words) for words in texts]
+
+    def _of(self, words: np.ndarray) -> list[tuple[int, int, int, float]]:
+        found = []
+        for number, starts in alignments(words, self.words):
+            item, best = self.words[number], (0, 0, 0)
+            for start in starts.tolist():
+                first, last = max(0, -start), min(len(item), len(words) - start)
+                if last - first < max(best[0], min(LEAST, len(item))):
+                    continue
+                agree = item[first:last] == words[start + first : start + last]
+                if len(item) < LEAST:
+                    whole = agree.sum() * 100 >= round(100 * SIMILARITY) * len(item)
+                    stretch = (0, len(item)) if whole else None
+                else:
+                    stretch = longest(agree)
+                if stretch and stretch[1] - stretch[0] >= min(LEAST, len(item)):
+                    a, b = stretch
+                    best = max(best, (int(agree[a:b].sum()), -(start + first + a), b - a))
+            if best[0]:
+                hits, at, size = best
+                found.append((self.ids[number], -at, size, hits / size))
+        return found
 
 
 def longest(agree: np.ndarray) -> tuple[int, int] | None:
@@ -155,53 +155,137 @@ def longest(agree: np.ndarray) -> tuple[int, int] | None:
     return int(starts[k]), int(ends[k])
 
 
-def blocks(benchmark: DataFrame, id_column: str = "item_id") -> Iterator[Block]:
-    """The items in blocks of at most BLOCK words, or of one item that is longer."""
-    hashed, items, size = Words(), [], 0
-    rows = benchmark.select(F.col(id_column).alias("i"), F.col("text").alias("t")).where("t IS NOT NULL")
-    for row in rows.toLocalIterator():
-        words = hashed.of(row["t"])
-        if len(words) < FIVE:
-            continue
-        if items and size + len(words) > BLOCK:
-            yield Block(items)
-            items, size = [], 0
-        items.append((row["i"], words))
-        size += len(words)
-    if items:
-        yield Block(items)
-
-
-def matcher(spark: SparkSession, block: Block):
-    """A column function: text to its verified overlaps with the items of a block."""
-    sent = spark.sparkContext.broadcast(
-        (block.ids, block.words, block.masks, block.lookup, block.shift, block.seen)
+def item_seeds(columns: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """The number of words of an item and its different seeds; none of an item that is no evidence."""
+    hashed = Words()
+    for column in columns:
+        sizes, found = [], []
+        for text in column:
+            words = hashed.of(text)
+            sizes.append(len(words))
+            parts = [seeds(words, mask, number) for number, mask in enumerate(MASKS)] if len(words) >= FIVE else []
+            found.append(np.unique(np.concatenate(parts)).view(np.int64) if parts else np.empty(0, np.int64))
+        yield pd.DataFrame({"n_words": sizes, "seeds": found})
+
+
+def bitmap(keys: DataFrame) -> np.ndarray:
+    """The bits that the seeds in keys set, packed; it comes in at most 2^(BITS - PIECE) pieces of 4 KB."""
+    first = F.shiftrightunsigned("seed", 64 - BITS)
+    second = F.shiftrightunsigned(F.shiftleft("seed", BITS), 64 - BITS)
+    pieces = (
+        keys.select(F.explode(F.array(first, second)).alias("bit"))
+        .groupBy(F.shiftright("bit", PIECE).alias("piece"))
+        .agg(F.bitmap_construct_agg(F.col("bit") % (1 << PIECE)).alias("bits"))
     )
+    size = 1 << (PIECE - 3)
+    out = np.zeros(1 << (BITS - 3), np.uint8)
+    for row in pieces.collect():
+        out[row["piece"] * size : (row["piece"] + 1) * size] = np.frombuffer(row["bits"], np.uint8)
+    return out
 
-    @F.pandas_udf(HITS)
-    def matched(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known, hashed = Block.__new__(Block), Words()
-        known.ids, known.words, known.masks, known.lookup, known.shift, known.seen = sent.value
-        names = ("item_id", "first_word", "words", "similarity")
-        for column in columns:
-            found: list[list[dict]] = []
-            for low in range(0, len(column), AT_ONCE):
-                texts = [hashed.of(x) for x in column.iloc[low : low + AT_ONCE]]
-                found += [[dict(zip(names, hit, strict=True)) for hit in hits] for hits in known.matches(texts)]
-            yield pd.Series(found)
 
-    return matched
+def maybe_shared(spark: SparkSession, bits: np.ndarray):
+    """A column function: text to its different seeds that are in the bitmap, null for none; and the broadcast."""
+    sent = spark.sparkContext.broadcast(bits)
 
+    def among(known: np.ndarray, at: np.ndarray) -> np.ndarray:
+        return (known[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
 
-def overlaps(docs: DataFrame, benchmark: DataFrame) -> Column:
-    """A column of the overlaps of docs' `text` with all items."""
-    parts = [matcher(docs.sparkSession, block)(F.col("text")) for block in blocks(benchmark)]
-    return F.concat(*parts) if parts else F.lit(None).cast(HITS)
+    @F.pandas_udf("array<long>")
+    def shared(columns: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known, hashed, rest = sent.value, Words(), np.uint64(64 - BITS)
+        for column in columns:
+            found: list[np.ndarray | None] = []
+            for low in range(0, len(column), AT_ONCE):
+                # Searched as one array: a window over the end of a text is one more chance hit of that text.
+                texts = [hashed.of(x) for x in column.iloc[low : low + AT_ONCE]]
+                ends, whole = np.cumsum([len(t) for t in texts]), np.concatenate(texts)
+                places, hits = [], []
+                for number, mask in enumerate(MASKS):
+                    here = seeds(whole, mask, number)
+                    at = np.flatnonzero(among(known, here >> rest))
+                    at = at[among(known, (here[at] << np.uint64(BITS)) >> rest)]
+                    places.append(at)
+                    hits.append(here[at])
+                place, hit = np.concatenate(places), np.concatenate(hits)
+                of: list[np.ndarray | None] = [None] * len(texts)
+                which = np.searchsorted(ends, place, "right")
+                for k in np.unique(which).tolist():
+                    of[k] = np.unique(hit[which == k]).view(np.int64)
+                found += of
+            yield pd.Series(found, dtype=object)
+
+    return shared, sent
+
+
+def verified(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+    """The overlaps of a text with the items beside it, which are named by their places in the array."""
+    hashed, names = Words(), ("k", "first_word", "words", "similarity")
+    for texts, items in columns:
+        found = []
+        for text, beside in zip(texts, items, strict=True):
+            block = Block([(k, hashed.of(x)) for k, x in enumerate(beside)])
+            found.append([dict(zip(names, hit, strict=True)) for hit in block.matches([hashed.of(text)])[0]])
+        yield pd.Series(found)
+
+
+def text_mark() -> Column:
+    return F.md5(F.col("text").cast("binary"))
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id") -> DataFrame:
+    """mark and overlaps of each text in docs that overlaps an item; a row for all documents that hold it."""
+    spark = docs.sparkSession
+    items = written(
+        benchmark.select(
+            F.monotonically_increasing_id().alias("number"),
+            F.col(id_column).cast("long").alias("item_id"),
+            "text",
+            F.pandas_udf(item_seeds, ITEM_SEEDS)(F.col("text")).alias("made"),
+        )
+        .select("number", "item_id", "text", "made.*")
+        .where(F.size("seeds") > 0),
+        "items",
+    )
+    keys = written(items.select("number", F.explode("seeds").alias("seed")), "item-seeds")
+    shared, sent = maybe_shared(spark, bitmap(keys))
+    found = docs.select("text").select("text", shared(F.col("text")).alias("seeds")).where("seeds IS NOT NULL")
+    texts = written(found.withColumn("mark", text_mark()).dropDuplicates(["mark"]), "candidates")
+    sent.destroy()
+    pairs = (
+        texts.select("mark", F.explode("seeds").alias("seed"))
+        .join(join_side(keys), "seed")
+        .select("mark", "number")
+        .distinct()
+    )
+    compared = F.pandas_udf(verified, FOUND)(F.col("text"), F.col("items.item"))
+    so_far = Window.partitionBy("mark").orderBy("number")
+    rows = (
+        pairs.join(items.select("number", "n_words"), "number")
+        .select("mark", "number", F.floor(F.sum("n_words").over(so_far) / BLOCK).alias("part"))
+        .join(items.select("number", "item_id", F.col("text").alias("item")), "number")
+        .groupBy("mark", "part")
+        .agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+        .join(texts.select("mark", "text"), "mark")
+        .select("mark", "items.item_id", compared.alias("found"))
+        .where(F.size("found") > 0)
+    )
+    named = F.transform(
+        "found",
+        lambda x: F.struct(F.get("item_id", x["k"]).alias("item_id"), x["first_word"], x["words"], x["similarity"]),
+    )
+    return written(
+        rows.select("mark", named.cast(HITS).alias("overlaps"))
+        .groupBy("mark")
+        .agg(F.sort_array(F.flatten(F.collect_list("overlaps"))).alias("overlaps")),
+        "overlaps",
+    )
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, contaminated, the items found in each document and the overlaps."""
-    return docs.select("doc_id", F.coalesce(overlaps(docs, benchmark), F.array().cast(HITS)).alias("overlaps")).select(
+    found = docs.select("doc_id", text_mark().alias("mark")).join(overlaps(docs, benchmark), "mark", "left")
+    return found.select("doc_id", F.coalesce("overlaps", F.array().cast(HITS)).alias("overlaps")).select(
         "doc_id",
         (F.size("overlaps") > 0).alias("contaminated"),
         F.array_sort(F.array_distinct("overlaps.item_id")).alias("item_ids"),
@@ -211,9 +295,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """docs without those that overlap an item, all columns unchanged."""
-    for block in blocks(benchmark):
-        docs = docs.where(F.size(matcher(docs.sparkSession, block)(F.col("text"))) == 0)
-    return docs
+    (name,) = fresh(docs, "found_mark")
+    side = join_side(overlaps(docs, benchmark).select(F.col("mark").alias(name)))
+    return docs.join(side, text_mark() == F.col(name), "left_anti")
 
 
 def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:

@@ -3,11 +3,13 @@
 import random
 import re
 import time
+import tracemalloc
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from stallbook.llm import exact, secret_scan
+from stallbook.llm import decontam, exact, secret_scan
 from stallbook.llm.page_text import blocks
 
 
@@ -93,3 +95,12 @@ def test_secrets_that_begin_in_a_match_against_regular_expressions():
         want |= {(m.start(), m.end(), 1) for m in re.finditer(r"AKIA[A-Z0-9]+", text) if len(m[0]) >= 20}
         want |= {(m.start(), m.end(), 2) for m in re.finditer(r"[0-9a-f]+", text) if len(m[0]) >= 24}
         assert {s for s in scanner.spans(text.encode()) if s[2] < 3} == want, text
+
+
+def test_a_repeated_word_takes_memory_in_proportion():
+    text, item = np.full(8000, 5, np.uint64), np.full(800, 5, np.uint64)
+    tracemalloc.start()
+    found = decontam.Block([(3, item)]).matches([text])
+    _, most = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert found == [[(3, 0, 800, 1.0)]] and most < 20_000_000

@@ -220,6 +220,24 @@ def test_overlaps_against_all_alignments():
     assert 10 < sum(map(bool, found)) < 60
 
 
+@pytest.mark.parametrize("bits", [16, 26])
+def test_decontamination_by_joins_against_all_alignments(spark, monkeypatch, bits):
+    monkeypatch.setattr(decontam, "BITS", bits)
+    monkeypatch.setattr(decontam, "BLOCK", 40)
+    draw = random.Random(11)
+    items = [[draw.randrange(40) for _ in range(draw.choice([4, 5, 8, 12, 14, 20]))] for _ in range(40)]
+    items += [items[7], [6] * 9]
+    texts = [[draw.randrange(40) for _ in range(draw.randrange(25))] for _ in range(30)] + [[6] * 50, []]
+    texts += [[w if draw.random() < 0.85 else 99 for w in x] + [draw.randrange(40) for _ in range(8)] for x in items]
+    texts += texts[-5:] * 3
+    docs = spark.createDataFrame([(k, ", ".join(f"W{w}" for w in t)) for k, t in enumerate(texts)], "doc_id long, text string")
+    table = spark.createDataFrame([(k, " ".join(f"w{w}" for w in x)) for k, x in enumerate(items)], "item_id long, text string")
+    expected = {k: [i for i, x in enumerate(items) if len(x) > 4 and all_alignments(x, t)] for k, t in enumerate(texts)}
+    assert {r["doc_id"]: r["item_ids"] for r in decontam.contaminated(docs, table).collect()} == expected
+    assert {r["doc_id"] for r in decontam.keep_clean(docs, table).collect()} == {k for k, x in expected.items() if not x}
+    assert 20 < sum(map(bool, expected.values())) < 80
+
+
 def test_longest_stretch_begins_and_ends_in_agreement():
     agree = np.array([1] * 12 + [0] * 3 + [1] * 11 + [0, 1, 0, 1] + [0] * 6, bool)
     stretches = [(a, b) for a in range(len(agree)) for b in range(a + 1, len(agree) + 1)]
