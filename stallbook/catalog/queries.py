@@ -15,10 +15,11 @@ from stallbook.operators.lines import (
     classified_lines,
     distinct_lines,
     eligible_lines,
+    every_copy,
     judge,
-    judged_lines,
     parsed_lines,
     stored_lines,
+    with_copy_key,
 )
 from stallbook.operators.metrics import category_counts, metrics, metrics_by
 from stallbook.operators.profile import raw_profile
@@ -76,8 +77,9 @@ def _lines(spark, folder, numbered=False):
 
 
 def _every_line(spark, folder, numbered=False):
-    """Judged lines with duplicates kept: each copy is a line of its own."""
-    return judged_lines(_raw(spark, folder, numbered).withColumn("copies", F.lit(1).cast("long")))
+    """Judged lines with duplicates kept: each copy is a line of its own, under the judgement of the first."""
+    raw = _raw(spark, folder, numbered)
+    return every_copy(stored_lines(with_copy_key(judge(raw)).drop(*RAW_COLUMNS)), raw)
 
 
 # --- sources and scalar functions, on every raw line
@@ -444,7 +446,7 @@ def metrics_with_duplicates(spark, folder):
 
 @query
 def eligible_lines_without_dedup(spark, folder):
-    return portable(eligible_lines(stored_lines(_every_line(spark, folder, numbered=True))))
+    return portable(eligible_lines(_every_line(spark, folder, numbered=True)))
 
 
 @query

@@ -21,6 +21,7 @@ from stallbook.schema import (
 from stallbook.storage import written
 
 COPIES = "copies"
+COPY_KEY = "copy_key"
 ELIGIBLE = "eligible"
 
 
@@ -159,3 +160,31 @@ def eligible_lines(judged: DataFrame) -> DataFrame:
 def judge(raw: DataFrame) -> DataFrame:
     """Raw lines to judged distinct lines."""
     return judged_lines(distinct_lines(raw))
+
+
+def line_key() -> Column:
+    """128 bits that name a raw line. Each cell has its length before it, so no two lines are spelled alike."""
+    cells = [
+        F.coalesce(F.concat(F.length(cell).cast("string"), F.lit(":"), cell), F.lit("-")) for cell in map(F.col, RAW_COLUMNS)
+    ]
+    return F.unhex(F.md5(F.concat(*cells).cast("binary")))
+
+
+def with_copy_key(judged: DataFrame) -> DataFrame:
+    """judged, lines with copies also under the key that finds these copies again."""
+    return judged.withColumn(COPY_KEY, F.when(F.col(COPIES) > 1, line_key()))
+
+
+def every_copy(judged: DataFrame, raw: DataFrame) -> DataFrame:
+    """Each raw line as a line of its own, as its distinct line was judged; judged is stored and has copy keys.
+
+    A line without copies is already there. Of raw only the keys and row numbers are read for the others,
+    and nothing is parsed again. The repeated lines are the smaller side: with few of them no raw line is
+    shuffled, and a line that makes up much of the data is a skewed key of raw alone, which adaptive
+    execution splits.
+    """
+    placed = raw.select(line_key().alias("key_of_copy"), *[name for name in ("source_row",) if name in raw.columns])
+    repeated = judged.where(F.col(COPIES) > 1).drop("source_row")
+    copies = repeated.join(placed, F.col(COPY_KEY) == F.col("key_of_copy"))
+    single = judged.where(F.col(COPIES) == 1)
+    return single.unionByName(copies.select(*judged.columns)).drop(COPY_KEY).withColumn(COPIES, F.lit(1).cast("long"))

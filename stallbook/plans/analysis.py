@@ -7,10 +7,9 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from stallbook.operators import audit, checks, controls, summaries
-from stallbook.operators.lines import COPIES, classified_lines, eligible_lines, judge, judged_lines
+from stallbook.operators.lines import classified_lines, eligible_lines, every_copy, judge, with_copy_key
 from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import comparison_table
 from stallbook.plans.publish import in_published_order
@@ -56,12 +55,12 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     counts, under otherwise equal rules.
     """
     both = controls.audited() + controls.counted()
-    judged, totals = controls.written_with_totals(judge(ledger.lines).drop(*RAW_COLUMNS), "judged", both)
+    lines = judge(ledger.lines) if remove_duplicates else with_copy_key(judge(ledger.lines))
+    judged, totals = controls.written_with_totals(lines.drop(*RAW_COLUMNS), "judged", both)
     counted = judged
     if not remove_duplicates:
-        single = ledger.lines.withColumn(COPIES, F.lit(1).cast("long"))
         counted, kept = controls.written_with_totals(
-            judged_lines(single).drop(*RAW_COLUMNS), "judged-copies", controls.counted()
+            every_copy(judged, ledger.lines), "judged-copies", controls.counted()
         )
         totals = {**totals, **kept}
     charged, profile = audit_and_profile(judged, ledger.column_names, remove_duplicates)

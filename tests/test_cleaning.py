@@ -6,10 +6,11 @@ import pytest
 from conftest import DEFAULT, line
 
 from stallbook.operators import audit
-from stallbook.operators.lines import distinct_lines, eligible_lines, judge
+from stallbook.operators.lines import distinct_lines, eligible_lines, every_copy, judge, judged_lines, stored_lines, with_copy_key
 from stallbook.operators.metrics import category_counts
 from stallbook.plans.analysis import build_analysis
-from stallbook.schema import EXCLUDED_CODES, REMOVAL_STEPS
+from stallbook.schema import EXCLUDED_CODES, RAW_COLUMNS, REMOVAL_STEPS
+from stallbook.sources.order_lines import raw_order_lines
 
 
 def steps(cleaned):
@@ -165,6 +166,25 @@ def test_every_copy_counts_in_all_tables_with_duplicates_kept(cleaned):
     assert removed.net_value_gbp == 7.5
 
 
+def test_copies_are_found_again_as_if_each_had_been_judged(spark):
+    lines = raw_order_lines(spark, "/root/testdata/sf0.001", numbered=True)
+    found = every_copy(stored_lines(with_copy_key(judge(lines)).drop(*RAW_COLUMNS)), lines)
+    again = judged_lines(lines.selectExpr("*", "1L AS copies")).drop(*RAW_COLUMNS)
+    assert found.count() == again.count() == lines.count()
+    assert found.select(*again.columns).exceptAll(again).isEmpty()
+    # What parses a quantity is in the plan of the judged lines alone.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast" not in plan.lower() and "rlike" not in plan.lower()
+
+
+def test_copies_of_lines_that_nearly_agree_are_kept_apart(raw):
+    cells = [("12", None), (None, "12"), ("1", "2"), ("-", None), (None, "-"), (None, None), ("", "3:abc"), ("3:abc", "")]
+    lines = raw(*[line(InvoiceNo=a, StockCode=b) for a, b in cells * 3])
+    found = every_copy(stored_lines(with_copy_key(judge(lines)).drop(*RAW_COLUMNS)), lines)
+    texts = {row.source_row: (row.invoice, row.code) for row in found.collect()}
+    assert texts == {k: tuple((c or "").strip() for c in cell) for k, cell in enumerate(cells * 3, 2)}
+
+
 def test_only_cancellations_are_a_valid_population(cleaned):
     result = cleaned(line(InvoiceNo="C1", Quantity="-2"))
     assert result.eligible.first().transaction_category == "cancellation"
