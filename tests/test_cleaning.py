@@ -6,6 +6,7 @@ import pytest
 from conftest import DEFAULT, line
 
 from stallbook.operators import audit
+from stallbook.operators import lines as operators
 from stallbook.operators.lines import distinct_lines, eligible_lines, every_copy, judge, judged_lines, stored_lines, with_copy_key
 from stallbook.operators.metrics import category_counts
 from stallbook.plans.analysis import build_analysis
@@ -268,3 +269,17 @@ def test_line_order_and_partitions_do_not_matter(spark, raw):
         expected = expected or found
         assert found == expected
     assert DEFAULT["StockCode"] == found[0][1]
+
+
+def test_copies_without_row_numbers_come_from_their_count(raw, monkeypatch):
+    monkeypatch.setattr(operators, "COPIES_AT_ONCE", 3)
+    cells = [("7", None), (None, "7"), ("8", "K1"), ("9", "K2")]
+    times = [10, 3, 4, 1]
+    rows = [line(InvoiceNo=a, StockCode=b) for (a, b), n in zip(cells, times) for _ in range(n)]
+    lines = raw(*rows).drop("source_row")
+    found = every_copy(stored_lines(with_copy_key(judge(lines)).drop(*RAW_COLUMNS)), lines)
+    counted = {(row.invoice, row.code): row["count"] for row in found.groupBy("invoice", "code").count().collect()}
+    assert counted == {(a or "", b or ""): n for (a, b), n in zip(cells, times)}
+    assert {row.copies for row in found.collect()} == {1}
+    # The raw lines are not derived again.
+    assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
