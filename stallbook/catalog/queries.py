@@ -16,6 +16,7 @@ from stallbook.operators.lines import (
     distinct_lines,
     eligible_lines,
     every_copy,
+    for_lines,
     judge,
     parsed_lines,
     stored_lines,
@@ -76,10 +77,15 @@ def _lines(spark, folder, numbered=False):
     return classified_lines(_judged(spark, folder, numbered))
 
 
+def _raw_once(spark, folder):
+    """Numbered raw lines, written, for queries that read them more than once: deriving them takes three joins."""
+    return written(_raw(spark, folder, numbered=True), "raw")
+
+
 def _every_line(spark, folder, numbered=False):
     """Judged lines with duplicates kept: each copy is a line of its own, under the judgement of the first."""
-    raw = _raw(spark, folder, numbered)
-    return every_copy(stored_lines(with_copy_key(judge(raw)).drop(*RAW_COLUMNS)), raw)
+    raw = _raw_once(spark, folder) if numbered else _raw(spark, folder)
+    return every_copy(stored_lines(for_lines(with_copy_key(judge(raw)))), raw)
 
 
 # --- sources and scalar functions, on every raw line

@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from conftest import DEFAULT, line
 
+from stallbook.catalog import queries
 from stallbook.operators import audit
 from stallbook.operators import lines as operators
 from stallbook.operators.lines import distinct_lines, eligible_lines, every_copy, judge, judged_lines, stored_lines, with_copy_key
@@ -283,3 +284,8 @@ def test_copies_without_row_numbers_come_from_their_count(raw, monkeypatch):
     assert {row.copies for row in found.collect()} == {1}
     # The raw lines are not derived again.
     assert "Join" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_lines_without_dedup_derive_the_raw_lines_once(spark):
+    found = queries._every_line(spark, "/root/testdata/sf0.001", numbered=True)
+    assert not [file for file in found.inputFiles() if "/root/testdata" in file]
