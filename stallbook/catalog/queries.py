@@ -273,7 +273,7 @@ def line_disposition(spark, folder):
 
 @query
 def eligible_lines_query(spark, folder):
-    return portable(eligible_lines(stored_lines(_judged(spark, folder, numbered=True))))
+    return portable(eligible_lines(stored_lines(for_lines(_judged(spark, folder, numbered=True)))))
 
 
 @query

@@ -289,3 +289,10 @@ def test_copies_without_row_numbers_come_from_their_count(raw, monkeypatch):
 def test_lines_without_dedup_derive_the_raw_lines_once(spark):
     found = queries._every_line(spark, "/root/testdata/sf0.001", numbered=True)
     assert not [file for file in found.inputFiles() if "/root/testdata" in file]
+
+
+def test_eligible_lines_store_only_what_they_show(spark, monkeypatch):
+    stored = []
+    monkeypatch.setattr(queries, "stored_lines", lambda judged: stored.append(judged.columns) or stored_lines(judged))
+    assert queries.REGISTERED["eligible_lines"](spark, "/root/testdata/sf0.001").count()
+    assert not {*RAW_COLUMNS, "missing", "price_number", "computable"}.intersection(stored[0])
