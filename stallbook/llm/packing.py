@@ -40,7 +40,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.tables import join_side, table, texts
+from stallbook.llm.tables import in_small_batches, join_side, table, texts
 from stallbook.storage import written
 
 CAPACITY = 4096
@@ -48,8 +48,9 @@ END = 1
 SALTS = 64
 NODES = 20_000
 WIDTH = 3
-#: A task remembers the ids of the last words it met, one to two times as many; of long ones fewer, by characters.
-REMEMBERED, REMEMBERED_CHARACTERS = 1 << 16, 1 << 20
+#: A task remembers the words it met last and their ids, up to so many bytes besides those of the texts at hand. Of
+#: each word the numbers kept beside its letters and ids take so many.
+REMEMBERED, WORD_BYTES = 8 << 20, 12
 #: Bytes of text tokenized at once, and words of letters given to the tokenizer together.
 AT_ONCE = 2 << 20
 JOINED = 256
@@ -68,7 +69,11 @@ def vocabulary() -> str:
 
 
 class Encoder:
-    """Ids of whole texts; words seen before are not encoded again."""
+    """Ids of whole texts; words met before are not encoded again, if met of late.
+
+    The words that are remembered are one array, their ids lie in one pool, so a word takes its letters, its ids and
+    a few numbers.
+    """
 
     def __init__(self, model: str):
         from tokenizers import Tokenizer
@@ -77,61 +82,115 @@ class Encoder:
         vocabulary = self.tokenizer.get_vocab()
         self.closes = np.zeros(max(vocabulary.values()) + 1, bool)  # tokens that end a word
         self.closes[[n for token, n in vocabulary.items() if token.endswith(WORD_END)]] = True
-        # Words met of late, and those met before them that have not come up since.
-        self.cores: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
-
-    def encode_cores(self, cores: list[str]) -> None:
-        """Words of Latin letters are encoded many at once and parted where a token ends a word."""
-        plain = [x for x in cores if x.isalpha() and max(x) <= "\u024f" and x.lower().isalpha()]
-        groups = [plain[at : at + JOINED] for at in range(0, len(plain), JOINED)]
-        apart = list(set(cores).difference(plain))
-        joined = self.tokenizer.encode_batch_fast([" ".join(x) for x in groups], add_special_tokens=False)
-        for group, found in zip(groups, joined, strict=True):
-            ids = np.array(found.ids, "<u4")
-            stops = (4 * (np.flatnonzero(self.closes[ids]) + 1)).tolist()
-            if len(stops) != len(group) or stops[-1] != 4 * len(ids):
-                apart += group  # a vocabulary that does not mark the ends of words
-                continue
-            raw = ids.tobytes()
-            for core, low, high in zip(group, [0, *stops], stops):
-                self.cores[core] = raw[low:high]
-        for core, found in zip(apart, self.tokenizer.encode_batch_fast(apart, add_special_tokens=False), strict=True):
-            self.cores[core] = np.array(found.ids, "<u4").tobytes()
-
-    def words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian 32-bit bytes."""
-        unmet = set(words) - self.cores.keys()
-        again = unmet & self.earlier.keys()
-        self.cores.update((word, self.earlier[word]) for word in again)
-        self.encode_cores(list(unmet - again - {""}))
-        cores = self.cores
-        cores[""] = b""
-        found = [cores[word] for word in words]
-        if len(cores) > REMEMBERED or sum(map(len, cores)) > REMEMBERED_CHARACTERS:
-            self.earlier, self.cores = cores, {}
-        return found
+        self.known = pa.array([], pa.string())
+        self.pool, self.sizes = np.zeros(0, "<u4"), np.zeros(0, np.int32)
+        self.used, self.turn = np.zeros(0, np.int32), 0  # the turn in which each word was last met
+
+    def encode_alone(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and their number for each word."""
+        found = self.tokenizer.encode_batch_fast(words.to_pylist(), add_special_tokens=False)
+        ids = [np.array(x.ids, "<u4") for x in found]
+        return np.concatenate([np.zeros(0, "<u4"), *ids]), np.fromiter(map(len, ids), np.int32, len(ids))
+
+    def encode_joined(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same for words of letters, many at once, parted where a token ends a word.
+
+        And which words it went well for; a vocabulary that does not mark the ends of words leaves others.
+        """
+        borders = np.minimum(np.arange(0, len(words) + JOINED, JOINED), len(words)).astype(np.int32)
+        lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(borders), words), " ").to_pylist()
+        ids = [np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)]
+        stops = [np.flatnonzero(self.closes[x]) + 1 for x in ids]
+        want = np.diff(borders)
+        good = [len(at) == n and at[-1] == len(x) for at, n, x in zip(stops, want, ids)]
+        kept = [(x, np.diff(at, prepend=0)) for x, at, well in zip(ids, stops, good) if well]
+        return (
+            np.concatenate([np.zeros(0, "<u4"), *(x for x, _ in kept)]),
+            np.concatenate([np.zeros(0, np.int32), *(n for _, n in kept)]).astype(np.int32),
+            np.repeat(np.array(good, bool), want),
+        )
+
+    def learn(self, words: pa.Array) -> np.ndarray:
+        """Remember different words that are not known; the place of each among the known."""
+        letters = pc.ascii_is_alpha(words).to_numpy(zero_copy_only=False)
+        for at in np.flatnonzero(~letters).tolist():
+            x = words[at].as_py()
+            letters[at] = x.isalpha() and max(x) <= "\u024f" and x.lower().isalpha()
+        plain = np.flatnonzero(letters)
+        ids, sizes, well = self.encode_joined(words.take(pa.array(plain)))
+        apart = np.concatenate([np.flatnonzero(~letters), plain[~well]])
+        other_ids, other_sizes = self.encode_alone(words.take(pa.array(apart)))
+        order = np.concatenate([plain[well], apart])
+        places = np.empty(len(words), np.int64)
+        places[order] = len(self.known) + np.arange(len(order))
+        self.known = pa.concat_arrays([self.known, words.take(pa.array(order))])
+        self.pool = np.concatenate([self.pool, ids, other_ids])
+        self.sizes = np.concatenate([self.sizes, sizes, other_sizes])
+        self.used = np.concatenate([self.used, np.full(len(order), self.turn, np.int32)])
+        return places
+
+    def forget(self) -> None:
+        """Of more than REMEMBERED bytes, keep the words met last, up to half of them."""
+        costs = pc.binary_length(self.known).to_numpy() + 4 * self.sizes + WORD_BYTES
+        if costs.sum() <= REMEMBERED:
+            return
+        latest = np.argsort(-self.used, kind="stable")
+        kept = np.sort(latest[np.cumsum(costs[latest]) <= REMEMBERED // 2])
+        starts = np.cumsum(self.sizes, dtype=np.int64) - self.sizes
+        self.pool = self.pool[runs(starts[kept], self.sizes[kept])]
+        self.known = self.known.take(pa.array(kept))
+        self.sizes, self.used = self.sizes[kept], self.used[kept]
+
+    def places(self, words: pa.Array) -> np.ndarray:
+        """The place of each of different words among the known, which they are from then on."""
+        self.turn += 1
+        found = pc.index_in(words, self.known)
+        unmet = pc.is_null(found)
+        places = found.fill_null(0).to_numpy().astype(np.int64)
+        missing = unmet.to_numpy(zero_copy_only=False)
+        self.used[places[~missing]] = self.turn
+        if missing.any():
+            places[missing] = self.learn(words.filter(unmet))
+        return places
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in a row, each closed by END, and where each text ends.
 
         Each different word is looked up once for all texts, its ids are then copied to its places.
         """
+        self.forget()
         split = pc.ascii_split_whitespace(texts.fill_null(""))
         placed = split.flatten().dictionary_encode()
         core, tail = (part.dictionary_encode() for part in parted(placed.dictionary))
-        ids = self.words(core.dictionary.to_pylist() + tail.dictionary.to_pylist()) + [np.array([END], "<u4").tobytes()]
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids)) // 4
-        pool, starts = np.frombuffer(b"".join(ids), "<u4"), np.cumsum(sizes, dtype=np.int32) - sizes
-        at = placed.indices.to_numpy()
-        both = np.column_stack([core.indices.to_numpy()[at], tail.indices.to_numpy()[at] + np.int32(len(core.dictionary))])
-        last = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64))
-        order = np.insert(both.ravel(), 2 * last, len(ids) - 1)
+        both = pa.concat_arrays([core.dictionary, tail.dictionary]).dictionary_encode()
+        known = self.places(both.dictionary)[both.indices.to_numpy()]
+        n = len(core.dictionary)
+        # The ids of each different word with what follows it, in a row, and END after them all.
+        halves = np.column_stack([known[core.indices.to_numpy()], known[n + tail.indices.to_numpy()]])
+        sizes = self.sizes[halves]
+        starts = np.cumsum(self.sizes, dtype=np.int32) - self.sizes
+        pool = np.append(self.pool[runs(starts[halves.ravel()], sizes.ravel())], np.uint32(END))
+        sizes = np.append(sizes.sum(axis=1, dtype=np.int32), np.int32(1))
+        starts = np.cumsum(sizes, dtype=np.int32) - sizes
+        # Where each text ends there is one place more.
+        last = np.cumsum(pc.list_value_length(split).to_numpy().astype(np.int64)) + np.arange(1, len(split) + 1)
+        order = np.full(last[-1] if len(last) else 0, len(sizes) - 1, np.int32)
+        inside = np.ones(len(order), bool)
+        inside[last - 1] = False
+        order[inside] = placed.indices.to_numpy()
         taken = sizes[order]
-        after = np.cumsum(taken, dtype=np.int32)
-        source = np.repeat(starts[order] - after + taken, taken)
-        source += np.arange(after[-1], dtype=np.int32)
-        return pool[source], after[2 * last + np.arange(len(last))].astype(np.int64)
+        ends = np.cumsum(taken, dtype=np.int64)[last - 1]
+        return pool[runs(starts[order], taken)], ends
+
+
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The places start, start + 1, ... of each run, so many as its size, in a row."""
+    after = np.cumsum(sizes, dtype=np.int64)
+    total = int(after[-1]) if len(after) else 0
+    kind = np.int32 if total < 1 << 31 else np.int64
+    out = np.repeat((starts - after + sizes).astype(kind), sizes)
+    out += np.arange(total, dtype=kind)
+    return out
 
 
 def parted(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
@@ -157,7 +216,9 @@ def parted(chunks: pa.Array) -> tuple[pa.Array, pa.Array]:
 def groups_of(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Rows from and to, of about AT_ONCE bytes of text together; a longer text is alone."""
     sizes = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    borders = [0, *(np.flatnonzero(np.diff(sizes // AT_ONCE)) + 1).tolist(), len(texts)]
+    total = int(sizes[-1]) if len(sizes) else 0
+    share = max(1, -(-total // max(1, round(total / AT_ONCE))))  # equal shares, so that none is a small rest
+    borders = [0, *(np.flatnonzero(np.diff(np.maximum(sizes - 1, 0) // share)) + 1).tolist(), len(texts)]
     return ((low, high) for low, high in zip(borders, borders[1:]) if low < high)
 
 
@@ -460,7 +521,7 @@ def sequences(docs: DataFrame, capacity: int = CAPACITY, path: str | None = None
     """Every piece of every document with its sequence and its token offset there."""
     with open(path or vocabulary(), encoding="utf-8") as file:
         model = docs.sparkSession.sparkContext.broadcast(file.read())  # a vocabulary file of fixed size
-    cut = written(pieces(docs, capacity, model), "pieces")
+    cut = written(pieces(in_small_batches(docs), capacity, model), "pieces")
     model.unpersist()
     counts = np.zeros(capacity + 1, np.int64)
     for row in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect():  # at most capacity rows

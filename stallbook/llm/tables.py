@@ -11,12 +11,21 @@ from stallbook.storage import written
 #: A side of a join is broadcast only when it is counted to have at most so many rows of a few
 #: numbers or one digest each, which is a few tens of megabytes at most.
 BROADCAST_ROWS = 500_000
+#: Bytes of rows that Python workers get at once, beyond which a batch ends. Spark's own limits, 10,000 rows and 64 MB,
+#: let each task hold several copies of tens of megabytes of text, beside the heap and in its worker.
+BATCH_BYTES = 4 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def in_small_batches(docs: DataFrame) -> DataFrame:
+    """docs; what its session plans from now on sends them to Python workers in batches of about BATCH_BYTES."""
+    docs.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return docs
+
+
 def texts(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Only id and text, so that no other column of the input can clash with a new one."""
     return docs.select(F.col(id_column).alias("doc_id"), F.col(text_column).alias("text"))
