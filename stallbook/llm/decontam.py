@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from stallbook.llm.tables import fresh, join_side, table
+from stallbook.llm.tables import fresh, in_small_batches, join_side, table
 from stallbook.storage import written
 
 #: Places of a window of FIVE that each mask looks at; the first also finds the last four words of one.
@@ -215,7 +215,8 @@ def maybe_shared(spark: SparkSession, bits: np.ndarray):
                 found += of
             yield pd.Series(found, dtype=object)
 
-    return shared, sent
+    # What is filtered by its result is not computed a second time below the filter, in a second worker for each task.
+    return shared.asNondeterministic(), sent
 
 
 def verified(columns: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
@@ -235,13 +236,13 @@ def text_mark() -> Column:
 
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id") -> DataFrame:
     """mark and overlaps of each text in docs that overlaps an item; a row for all documents that hold it."""
-    spark = docs.sparkSession
+    spark = in_small_batches(docs).sparkSession
     items = written(
         benchmark.select(
             F.monotonically_increasing_id().alias("number"),
             F.col(id_column).cast("long").alias("item_id"),
             "text",
-            F.pandas_udf(item_seeds, ITEM_SEEDS)(F.col("text")).alias("made"),
+            F.pandas_udf(item_seeds, ITEM_SEEDS).asNondeterministic()(F.col("text")).alias("made"),
         )
         .select("number", "item_id", "text", "made.*")
         .where(F.size("seeds") > 0),
@@ -258,7 +259,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_column: str = "item_id")
         .select("mark", "number")
         .distinct()
     )
-    compared = F.pandas_udf(verified, FOUND)(F.col("text"), F.col("items.item"))
+    compared = F.pandas_udf(verified, FOUND).asNondeterministic()(F.col("text"), F.col("items.item"))
     so_far = Window.partitionBy("mark").orderBy("number")
     rows = (
         pairs.join(items.select("number", "n_words"), "number")

@@ -32,7 +32,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stallbook.llm.tables import table
+from stallbook.llm.tables import in_small_batches, table
 
 HELD_OUT = 5
 SAMPLE_DOCS = 400
@@ -149,7 +149,7 @@ def predictor(model: list[tuple[str, bytes]]):
 def identified(docs: DataFrame, lang: str = "lang") -> DataFrame:
     """doc_id, held_out, lang_pred, score and accepted of every document."""
     predict = predictor(learnt(docs, lang))
-    return docs.select(
+    return in_small_batches(docs).select(
         F.col("doc_id"), held_out(F.col("doc_id")).alias("held_out"), predict(F.col("text")).alias("p")
     ).select("doc_id", "held_out", "p.*")
 
@@ -157,7 +157,7 @@ def identified(docs: DataFrame, lang: str = "lang") -> DataFrame:
 def keep_identified(docs: DataFrame, lang: str = "lang") -> DataFrame:
     """docs without those whose language is rejected, all columns unchanged."""
     predict = predictor(learnt(docs, lang))
-    return docs.where(predict(F.col("text"))["accepted"])
+    return in_small_batches(docs).where(predict(F.col("text"))["accepted"])
 
 
 def op7_language(spark: SparkSession, folder: str) -> DataFrame:

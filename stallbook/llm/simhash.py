@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.llm.components import stars
-from stallbook.llm.tables import first_of_repeats, join_side, table, texts, without_rows
+from stallbook.llm.tables import first_of_repeats, in_small_batches, join_side, table, texts, without_rows
 from stallbook.storage import written
 
 WORDS = 4
@@ -238,7 +238,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, budget: int = BUDGET) -
     root, a fingerprint, names the component even where doc_ids are null; mark is a hash of the text.
     """
     digests = written(
-        texts(docs).select("doc_id", fingerprint_column(words)("text").alias("fp"), F.xxhash64("text").alias("mark")), "simhash"
+        texts(in_small_batches(docs)).select("doc_id", fingerprint_column(words)("text").alias("fp"), F.xxhash64("text").alias("mark")), "simhash"
     )
     first = written(digests.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     grown = written(stars(links(first.select("fp"), budget)), "stars")
