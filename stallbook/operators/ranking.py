@@ -71,12 +71,16 @@ def _ranked(table: DataFrame, value: str, key: str, rank: str, ranges: int | Non
 
 
 def with_descending_ranks(
-    table: DataFrame, ranks: dict[str, str], key: str, ranges: int | None = None
+    table: DataFrame, ranks: dict[str, str], key: str | int | None = None, ranges: int | None = None
 ) -> DataFrame:
     """Add minimum ranks (1, 1, 3), largest value first: {value column: rank column}.
 
-    key is unique. Nulls come last and are equal to each other.
+    key is unique; without one, the first column is taken, and the number of ranges may come in its place. Nulls come
+    last and are equal to each other.
     """
+    if isinstance(key, int):
+        key, ranges = None, key
+    key = key or table.columns[0]
     for value, rank in ranks.items():
         table = _ranked(table, value, key, rank, ranges)
     return table
