@@ -32,8 +32,8 @@ from stallbook.schema import RAW_COLUMNS, Settings
 from stallbook.sources.files import RawLedger, read_ledger
 from stallbook.sources.fingerprint import changed_files, fingerprint, ordered_digest
 from stallbook.sources.numbering import number_parquet_rows
-from stallbook.sources.order_lines import raw_order_lines
-from stallbook.storage import shared_folder, written
+from stallbook.sources.order_lines import raw_order_lines, raw_order_shares
+from stallbook.storage import shared_folder, written, written_in_shares
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,8 +78,8 @@ def _lines(spark, folder, numbered=False):
 
 
 def _raw_once(spark, folder):
-    """Numbered raw lines, written, for queries that read them more than once: deriving them takes three joins."""
-    return written(_raw(spark, folder, numbered=True), "raw")
+    """Numbered raw lines, written in shares, for queries that read them more than once: deriving them takes three joins."""
+    return written_in_shares(raw_order_shares(spark, folder), "raw")
 
 
 def _every_line(spark, folder, numbered=False):
@@ -475,7 +475,7 @@ def reconciliation(spark, folder):
 @query
 def control_totals(spark, folder):
     """What the rules were charged with and the tables, each beside its control total."""
-    cleaned = clean(RawLedger(_raw(spark, folder, numbered=True), RAW_COLUMNS))
+    cleaned = clean(RawLedger(_raw_once(spark, folder), RAW_COLUMNS, stored=True))
     return portable(compare_controls(cleaned, build_tables(cleaned, SETTINGS)))
 
 

@@ -8,15 +8,15 @@ share neither categories nor groups nor stored columns with the reports.
 
 from __future__ import annotations
 
-from decimal import Decimal
+from decimal import Decimal, localcontext
 
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stallbook.functions.numbers import times_copies
-from stallbook.operators.lines import COPIES, ELIGIBLE, stored_lines
+from stallbook.operators.lines import COPIES, ELIGIBLE
 from stallbook.schema import AUDIT_COLUMNS, MONEY, VALUE_COLUMNS
-from stallbook.storage import written
+from stallbook.storage import written, written_in_shares
 
 RAW_ROWS = "raw_rows"
 CONTROL_COLUMNS = [RAW_ROWS, *AUDIT_COLUMNS, *VALUE_COLUMNS]
@@ -42,11 +42,18 @@ def counted() -> list[Column]:
     return [_sum(each, name) for each, name in zip(sums, VALUE_COLUMNS)]
 
 
-def written_with_totals(lines: DataFrame, name: str, totals: list[Column]) -> tuple[DataFrame, dict[str, Decimal]]:
-    """lines, written, and the totals over them that the writing tasks took."""
-    seen = Observation(f"{name} totals")
-    stored = stored_lines(lines.observe(seen, *totals), name)
-    return stored, seen.get
+def _added(totals: list[dict[str, Decimal]]) -> dict[str, Decimal]:
+    """The totals of all shares, exact to the last of the 38 digits of MONEY."""
+    with localcontext(prec=60):
+        return {name: sum((each[name] for each in totals), Decimal(0)) for name in totals[0]}
+
+
+def written_with_totals(shares: list[DataFrame], name: str, totals: list[Column]) -> tuple[DataFrame, dict[str, Decimal]]:
+    """The shares of some lines, written by disposition, and the totals over all that the writing tasks took."""
+    seen = [Observation(f"{name} totals {number}") for number in range(len(shares))]
+    watched = (share.observe(each, *totals) for share, each in zip(shares, seen))
+    stored = written_in_shares(watched, name, by="disposition")
+    return stored, _added([each.get for each in seen])
 
 
 def controls(raw: DataFrame, totals: dict[str, Decimal]) -> DataFrame:

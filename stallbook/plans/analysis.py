@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 
 from stallbook.operators import audit, checks, controls, summaries
-from stallbook.operators.lines import classified_lines, eligible_lines, every_copy, judge, with_copy_key
+from stallbook.operators.lines import classified_lines, eligible_lines, every_copy, judge, line_shares, with_copy_key
 from stallbook.operators.profile import combined_profile, profile_sums
 from stallbook.operators.sensitivity import comparison_table
 from stallbook.plans.publish import in_published_order
@@ -52,15 +52,17 @@ def clean(ledger: RawLedger, remove_duplicates: bool = True) -> CleanLedger:
     """Judge the raw lines once and write them; all reports read only their columns.
 
     With remove_duplicates off, the duplicate rule removes nothing and every copy
-    counts, under otherwise equal rules.
+    counts, under otherwise equal rules. Stored lines are judged in shares.
     """
     both = controls.audited() + controls.counted()
-    lines = judge(ledger.lines) if remove_duplicates else with_copy_key(judge(ledger.lines))
-    judged, totals = controls.written_with_totals(lines.drop(*RAW_COLUMNS), "judged", both)
+    shares = [judge(share) for share in (line_shares(ledger.lines) if ledger.stored else [ledger.lines])]
+    if not remove_duplicates:
+        shares = [with_copy_key(share) for share in shares]
+    judged, totals = controls.written_with_totals([share.drop(*RAW_COLUMNS) for share in shares], "judged", both)
     counted = judged
     if not remove_duplicates:
         counted, kept = controls.written_with_totals(
-            every_copy(judged, ledger.lines), "judged-copies", controls.counted()
+            [every_copy(judged, ledger.lines)], "judged-copies", controls.counted()
         )
         totals = {**totals, **kept}
     charged, profile = audit_and_profile(judged, ledger.column_names, remove_duplicates)

@@ -30,11 +30,15 @@ ENDINGS = {CSV: (".csv", ".csv.gz", ".csv.bz2", ".csv.zst"), PARQUET: (".parquet
 
 @dataclass(frozen=True)
 class RawLedger:
-    """Raw lines (eight text columns and source_row), the columns the source had, and rejected rows if any can be."""
+    """Raw lines (eight text columns and source_row), the columns the source had, and rejected rows if any can be.
+
+    stored lines lie in a table of their own, where reading them several times costs little.
+    """
 
     lines: DataFrame
     column_names: list[str]
     rejects: DataFrame | None = None
+    stored: bool = False
 
 
 def _load(spark: SparkSession, path: str, form: str, **options: str) -> DataFrame:

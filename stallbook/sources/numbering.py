@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from stallbook.storage import written
+from stallbook.storage import shares_of, written
 
 FIRST_ROW = 2
 BLOCK_ROWS = 1 << 16
@@ -19,12 +19,12 @@ SPLIT_ERROR = "The input splits changed while rows were being numbered; run agai
 
 
 def _starts(counted: DataFrame) -> DataFrame:
-    """(file, piece, rows) -> rows before the piece, in file then piece order.
+    """(file, piece, rows) -> rows before the piece, in file then piece order; the pieces are counted once and written."""
+    return _starts_of(written(counted, "pieces"))
 
-    The pieces are counted once and written. Only the per-file totals meet in one
-    task, one row for each input file.
-    """
-    pieces = written(counted, "pieces")
+
+def _starts_of(pieces: DataFrame) -> DataFrame:
+    """The starts of written pieces. Only the per-file totals meet in one task, one row for each input file."""
     earlier = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
     files = (
         pieces.groupBy("file")
@@ -91,23 +91,36 @@ def number_repeated_rows(df: DataFrame, file: Column, index: Column, order: Colu
 
     Blocks hold at most BLOCK_ROWS source rows whatever the data, so no task gets a hot one.
     """
+    return _numbered_blocks(df, file, index, order)[0]
+
+
+def numbered_shares(df: DataFrame, file: Column, index: Column, order: Column) -> list[DataFrame]:
+    """The rows of number_repeated_rows in shares of whole blocks, so that no more than one has to be shuffled at once."""
+    return _numbered_blocks(df, file, index, order, in_shares=True)
+
+
+def _numbered_blocks(
+    df: DataFrame, file: Column, index: Column, order: Column, in_shares: bool = False
+) -> list[DataFrame]:
     columns = df.columns
     piece = F.floor(index / BLOCK_ROWS)
     placed = df.select(
         *columns, file.alias("file"), piece.alias("piece"), index.alias("index"), order.alias("order")
     )
-    starts = _starts(placed.groupBy("file", "piece").agg(F.count(F.lit(1)).alias("rows")))
+    pieces = written(placed.groupBy("file", "piece").agg(F.count(F.lit(1)).alias("rows")), "pieces")
+    starts = _starts_of(pieces)
     place = F.row_number().over(Window.partitionBy("file", "piece").orderBy("index", "order"))
-    return (
-        placed.withColumn("place", place)
-        .join(starts, ["file", "piece"])
-        .select(
-            *columns,
-            (F.col("file_start") + F.col("piece_start") + F.col("place") - 1 + FIRST_ROW).alias(
-                "source_row"
-            ),
-        )
-    )
+    number = F.col("file_start") + F.col("piece_start") + F.col("place") - 1 + FIRST_ROW
+
+    def numbered(rows: DataFrame) -> DataFrame:
+        located = rows.withColumn("place", place).join(starts, ["file", "piece"])
+        return located.select(*columns, number.alias("source_row"))
+
+    count = shares_of(pieces.agg(F.sum("rows")).first()[0] or 0) if in_shares else 1
+    if count == 1:
+        return [numbered(placed)]
+    share = F.pmod(F.xxhash64("file", "piece"), F.lit(count))
+    return [numbered(placed.where(share == each)) for each in range(count)]
 
 
 def number_frame_rows(df: DataFrame) -> DataFrame:

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stallbook.schema import EXCLUDED_CODES, RAW_COLUMNS
-from stallbook.sources.numbering import number_repeated_rows
+from stallbook.sources.numbering import number_repeated_rows, numbered_shares
+from stallbook.storage import written
 
 # What is read of each table; naming the types spares a look into the files.
 TABLES = {
@@ -104,17 +105,13 @@ def _raw_text() -> list[Column]:
     return [value.alias(name) for name, value in zip(RAW_COLUMNS, values)]
 
 
-def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) -> DataFrame:
-    """The eight raw columns, and source_row in file order when numbered is set.
-
-    Lines marked 40 to 49 come twice. Orders meet their customers before the far
-    larger line table; outer joins keep every line, so the numbers have no gaps.
-    """
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
-    def table(name: str) -> DataFrame:
-        return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
-    lines = table("lineitem")
+def _order_lines(spark: SparkSession, folder: str, numbered: bool) -> DataFrame:
+    """Order lines with their marks, and with their places when numbered is set; lines marked 40 to 49 come twice."""
+    lines = _table(spark, folder, "lineitem")
     columns = [*lines.columns, _mark().alias("mark")]
     if numbered:
         columns += [
@@ -124,20 +121,45 @@ def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) ->
     copies = F.when(F.col("mark").between(40, 49), F.array(F.lit(0), F.lit(1))).otherwise(
         F.array(F.lit(0))
     )
-    lines = lines.select(*columns).withColumn("copy", F.explode(copies))
-    if numbered:
-        lines = number_repeated_rows(
-            lines, F.col("file_path"), F.col("row_index"), F.col("copy")
-        )
+    return lines.select(*columns).withColumn("copy", F.explode(copies))
 
-    orders = (
-        table("orders")
-        .join(table("customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
-        .join(table("nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+
+def _placed(lines: DataFrame) -> tuple:
+    return lines, F.col("file_path"), F.col("row_index"), F.col("copy")
+
+
+def _orders(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders meet their customers before the far larger line table."""
+    return (
+        _table(spark, folder, "orders")
+        .join(_table(spark, folder, "customer"), F.col("o_custkey") == F.col("c_custkey"), "left")
+        .join(_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"), "left")
+        .select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "n_name")
     )
-    number = ["source_row"] if numbered else []
+
+
+def _texts(lines: DataFrame, orders: DataFrame, part: DataFrame) -> DataFrame:
+    """Raw texts of lines; outer joins keep every line, so the numbers have no gaps."""
+    number = ["source_row"] if "source_row" in lines.columns else []
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "left")
-        .join(table("part"), F.col("l_partkey") == F.col("p_partkey"), "left")
+        .join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
         .select(*_raw_text(), *number)
     )
+
+
+def raw_order_lines(spark: SparkSession, folder: str, numbered: bool = False) -> DataFrame:
+    """The eight raw columns, and source_row in file order when numbered is set."""
+    lines = _order_lines(spark, folder, numbered)
+    if numbered:
+        lines = number_repeated_rows(*_placed(lines))
+    return _texts(lines, _orders(spark, folder), _table(spark, folder, "part"))
+
+
+def raw_order_shares(spark: SparkSession, folder: str) -> list[DataFrame]:
+    """raw_order_lines, numbered, in shares to be written one after the other; orders meet their customers once for all."""
+    shares = numbered_shares(*_placed(_order_lines(spark, folder, numbered=True)))
+    orders, part = _orders(spark, folder), _table(spark, folder, "part")
+    if len(shares) > 1:
+        orders = written(orders, "orders")
+    return [_texts(lines, orders, part) for lines in shares]

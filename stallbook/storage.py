@@ -3,11 +3,22 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections import Counter
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Large tables are worked on in shares of about this many rows, one after the other.
+SHARE_ROWS = 80 << 20
+# With it Spark removes the shuffle files of a statement at its end, else when the driver collects its garbage.
+FREEING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+_freeing_lock, _freeing_now = threading.Lock(), Counter()
+
 
 @cache
 def _local_folder() -> str:
@@ -35,3 +46,43 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+@contextmanager
+def _freeing(spark: SparkSession) -> Iterator[None]:
+    """Shuffle files of what is run within are removed as it ends, unless the session has a choice of its own."""
+    session = id(spark)
+    with _freeing_lock:
+        set_here = _freeing_now[session] > 0 or spark.conf.get(FREEING, None) is None
+        if set_here:
+            spark.conf.set(FREEING, "true")
+            _freeing_now[session] += 1
+    try:
+        yield
+    finally:
+        if set_here:
+            with _freeing_lock:
+                _freeing_now[session] -= 1
+                if not _freeing_now[session]:
+                    spark.conf.unset(FREEING)
+
+
+def shares_of(rows: int) -> int:
+    """How many shares a table of so many rows makes."""
+    return max(1, -(-rows // SHARE_ROWS))
+
+
+def written_in_shares(shares: Iterable[DataFrame], name: str, by: str | None = None) -> DataFrame:
+    """Write the shares of one table, one after the other, and return it read back; by as for written.
+
+    For the largest tables: the disk holds the table, packed closer than others, and the shuffles of one share, as
+    those of the last are removed before the next begins.
+    """
+    path, first = None, None
+    for share in shares:
+        if first is None:
+            first, path = share, f"{shared_folder(share.sparkSession)}/{name}-{uuid.uuid4().hex}"
+        writer = share.write.mode("append").option("compression", "zstd")
+        with _freeing(share.sparkSession):
+            (writer.partitionBy(by) if by else writer).parquet(path)
+    return first.sparkSession.read.schema(first.schema).parquet(path).select(*first.columns)
